@@ -65,8 +65,10 @@ def parse_items(lines: DataFrame, value_col: str = "value") -> DataFrame:
     bare = F.from_json(v, ITEM_DDL)
     wrapped = F.from_json(v, WRAPPED_DDL)["Item"]
     item = F.when(F.instr(v, '"Item"') > 0, F.coalesce(wrapped, bare)).otherwise(bare)
+    # The parsed map is produced by a one-row generator: later filters and projections
+    # then refer to it as a column instead of inlining (re-running) from_json per use.
     return (lines.where(F.trim(v) != "")
-                 .withColumn("item", item)
+                 .select("*", F.inline(F.array(F.struct(item.alias("item")))))
                  .withColumn("malformed", F.col("item").isNull()))
 
 
@@ -125,7 +127,7 @@ def item_rows(items: DataFrame, default_company: str, dispatch: bool = True) ->
 
 def explode_rows(per_item: DataFrame) -> DataFrame:
     """One output row per (item, numeric tag); ts parsed to UTC (quarantine NULLs later)."""
-    return (per_item.where(F.col("n_rows") > 0)
+    return (per_item
                     .select("file", "pos", "company_id", "process_id", "ts_text",
                             F.explode("rows").alias("r"))
                     .select("file", "pos", "company_id", "process_id",

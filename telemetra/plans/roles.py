@@ -239,3 +239,29 @@ resolved AS (
               WHEN q.level IS NULL THEN 'null_level' WHEN q.level = 'root' THEN NULL ELSE 'depth' END AS error,
          CAST(CASE WHEN l.revisit OR q.process_id IS NULL OR q.level IS NULL OR q.level = 'root' THEN l.idx ELSE 100 END AS INTEGER) AS depth
   FROM last_step l LEFT JOIN proc q ON q.process_id = l.cur)"""
+
+
+def events_prediction_lines(spark, sf_dir) -> DataFrame:
+    """Prediction items: index = value (NaN/1e400 injected), threshold = (e % 10)/10;
+    e % 3 = 0 → only a "ts" key (predictions read "timestamp" only → discarded);
+    e % 11 = 0 → threshold "abc"; e % 13 = 0 → no threshold; other rules as above."""
+    ev = table(spark, sf_dir, "events")
+    e, u = _e(), F.col("user_id")
+    ts_text = F.when(e % 7 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm")) \
+               .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    val_text = (F.when(e % 97 == 0, F.lit("NaN")).when(e % 89 == 0, F.lit("1e400"))
+                 .otherwise(F.col("value").cast("string")))
+    pid = F.when(e % 37 == 0, F.lit("")).otherwise(
+        _attr("process_id", "S", F.concat(F.lit("P-"), u.cast("string"))))
+    tsa = F.when(e % 3 == 0, _attr("ts", "S", ts_text)).otherwise(_attr("timestamp", "S", ts_text))
+    comp = (F.when(e % 4 == 1, _attr("company_id", "S", F.concat(F.lit("co"), (u % 3).cast("string"))))
+             .when(e % 4 == 0, F.lit(',"company_id":{"S":""}')).otherwise(F.lit("")))
+    thr = (F.when(e % 11 == 0, _attr("threshold", "S", F.lit("abc"))).when(e % 13 == 0, F.lit(""))
+            .otherwise(_attr("threshold", "N", ((e % 10) / 10.0).cast("string"))))
+    body = F.concat(F.lit("{"), F.substring(F.concat(pid, tsa, comp, _attr("index", "N", val_text), thr,
+                                                     _attr("model", "S", F.lit("m1"))), 2, 1 << 20),
+                    F.lit("}"))
+    line = (F.when(e % 53 == 0, F.lit("")).when(e % 59 == 0, F.lit("not json {"))
+             .when(e % 2 == 0, F.concat(F.lit('{"Item":'), body, F.lit("}"))).otherwise(body))
+    return ev.select(F.concat(F.lit("dump/"), F.col("event_type"), F.lit(".json.gz")).alias("file"),
+                     e.alias("pos"), line.alias("value"), "event_type")

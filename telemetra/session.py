@@ -56,6 +56,7 @@ def builder(master: str | None = None, app: str = "telemetra") -> SparkSession.B
     if master:
         b = b.master(master)
     return (b.config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
