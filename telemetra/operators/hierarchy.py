@@ -35,11 +35,15 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= STATE_BROADCAST_BOUND else df
 
 
+def _nodes(process: DataFrame) -> DataFrame:
+    return (process.select(F.col("process_id").cast("string").alias("node"),
+                           F.col("level").cast("string").alias("level"))
+                   .where(F.col("node").isNotNull())
+                   .groupBy("node").agg(F.first("level", ignorenulls=True).alias("level")))
+
+
 def _initial_state(process: DataFrame) -> DataFrame:
-    nodes = (process.select(F.col("process_id").cast("string").alias("node"),
-                            F.col("level").cast("string").alias("level"))
-                    .where(F.col("node").isNotNull())
-                    .groupBy("node").agg(F.first("level", ignorenulls=True).alias("level")))
+    nodes = _nodes(process)
     present = nodes.select(F.col("node").alias("_p"))
     s = nodes.join(present, nodes["level"] == present["_p"], "left")
     kind = (F.when(F.col("level") == ROOT_LEVEL, F.lit("root"))
@@ -48,40 +52,26 @@ def _initial_state(process: DataFrame) -> DataFrame:
     anc = F.when(F.col("level") == ROOT_LEVEL, F.col("node")).when(F.col("level").isNull(), F.col("node")) \
            .otherwise(F.col("level"))
     dist = F.when((F.col("level") == ROOT_LEVEL) | F.col("level").isNull(), F.lit(0)).otherwise(F.lit(1))
-    return s.select("node", anc.alias("anc"), dist.alias("dist"), kind.alias("kind"))
+    # path = the nodes walked so far (indices 0 .. dist-1); kept only while the node is open
+    path = F.when(kind.isNull(), F.array(F.col("node")))
+    return s.select("node", anc.alias("anc"), dist.alias("dist"), kind.alias("kind"), path.alias("path"))
 
 
 def _double(state: DataFrame, rows: int) -> DataFrame:
     closed = state.where(F.col("kind").isNotNull())
     open_ = state.where(F.col("kind").isNull()).alias("o")
     right = _maybe_broadcast(state.select(F.col("node").alias("r_node"), F.col("anc").alias("r_anc"),
-                                          F.col("dist").alias("r_dist"), F.col("kind").alias("r_kind")), rows)
+                                          F.col("dist").alias("r_dist"), F.col("kind").alias("r_kind"),
+                                          F.col("path").alias("r_path")), rows)
     stepped = (open_.join(right, F.col("o.anc") == F.col("r_node"), "inner")
                     .select(F.col("o.node").alias("node"), F.col("r_anc").alias("anc"),
                             (F.col("o.dist") + F.col("r_dist")).alias("dist"),
-                            F.col("r_kind").alias("kind")))
+                            F.col("r_kind").alias("kind"),
+                            F.when(F.col("r_kind").isNull(), F.concat(F.col("o.path"), F.col("r_path")))
+                             .alias("path")))
     return closed.unionByName(stepped)
 
 
-def _cycle_flags(state: DataFrame, parents: DataFrame) -> DataFrame:
-    """For nodes still open: ``repeat_idx`` = index of the first revisited node (< MAX_DEPTH)."""
-    open_ids = state.where(F.col("kind").isNull()).select("node")
-    # path window of length 1 and the parent pointer, for open nodes only
-    cur = (open_ids.join(parents, "node", "inner")
-                   .select("node", F.array(F.col("node")).alias("path"), F.col("level").alias("nxt")))
-    for _ in range(ROUNDS):
-        cur = cur.checkpoint(eager=True)
-        r = cur.select(F.col("node").alias("r_node"), F.col("path").alias("r_path"),
-                       F.col("nxt").alias("r_nxt"))
-        cur = (cur.join(r, F.col("nxt") == F.col("r_node"), "inner")
-                  .select("node", F.concat("path", "r_path").alias("path"), F.col("r_nxt").alias("nxt")))
-    path = F.col("path")
-    # 0-based index i revisits when the node at i first occurs earlier in the path
-    revisits = F.filter(F.sequence(F.lit(1), F.lit(MAX_DEPTH - 1)),
-                        lambda i: F.array_position(path, F.element_at(path, i + 1)) < i + 1)
-    return cur.select("node", F.element_at(revisits, 1).alias("repeat_idx"))
-
-
 def resolve_roots(process: DataFrame) -> DataFrame:
     """For every process: ``unit_id`` (its root) or ``error`` in
     {cycle, missing, null_level, depth}, plus ``depth`` = index of the deciding node."""
@@ -93,26 +83,21 @@ def resolve_roots(process: DataFrame) -> DataFrame:
         state = _double(state, rows).checkpoint(eager=True)
     limit = MAX_DEPTH - 1
     within = F.col("dist") <= limit
-    closed = state.where(F.col("kind").isNotNull()).select(
+    path = F.col("path")
+    # still open after 128 hops: the first revisit among the first MAX_DEPTH nodes → cycle
+    revisit = F.element_at(F.filter(F.sequence(F.lit(1), F.lit(MAX_DEPTH - 1)),
+                                    lambda i: F.array_position(path, F.element_at(path, i + 1)) < i + 1), 1)
+    is_open = F.col("kind").isNull()
+    ok = (F.col("kind") == "root") & within
+    return state.select(
         F.col("node").alias("process_id"),
-        F.when((F.col("kind") == "root") & within, F.col("anc")).alias("unit_id"),
-        F.when((F.col("kind") == "root") & within, F.lit(None).cast("string"))
-         .when(within, F.col("kind")).otherwise(F.lit("depth")).alias("error"),
-        F.least(F.col("dist"), F.lit(MAX_DEPTH)).cast("int").alias("depth"))
-    if state.where(F.col("kind").isNull()).isEmpty():
-        return closed
-    parents = (process.select(F.col("process_id").cast("string").alias("node"),
-                              F.col("level").cast("string").alias("level"))
-                      .groupBy("node").agg(F.first("level", ignorenulls=True).alias("level")))
-    flags = _cycle_flags(state, parents)
-    open_rows = (state.where(F.col("kind").isNull()).select("node")
-                      .join(flags, "node", "left")
-                      .select(F.col("node").alias("process_id"),
-                              F.lit(None).cast("string").alias("unit_id"),
-                              F.when(F.col("repeat_idx").isNotNull(), F.lit("cycle"))
-                               .otherwise(F.lit("depth")).alias("error"),
-                              F.coalesce(F.col("repeat_idx"), F.lit(MAX_DEPTH)).cast("int").alias("depth")))
-    return closed.unionByName(open_rows)
+        F.when(ok, F.col("anc")).alias("unit_id"),
+        F.when(ok, F.lit(None).cast("string"))
+         .when(is_open & revisit.isNotNull(), F.lit("cycle"))
+         .when(~is_open & within, F.col("kind"))
+         .otherwise(F.lit("depth")).alias("error"),
+        F.when(is_open, F.coalesce(revisit, F.lit(MAX_DEPTH)))
+         .otherwise(F.least(F.col("dist"), F.lit(MAX_DEPTH))).cast("int").alias("depth"))
 
 
 def lookup_configs(configs: DataFrame, roots: DataFrame) -> DataFrame:

@@ -29,5 +29,6 @@ def register(key: str, ids: str, sql: str | None = None):
     return deco
 
 
-def with_ctes(*ctes: str, body: str) -> str:
-    return "WITH " + ",".join(c.strip("\n") for c in ctes) + "\n" + body
+def with_ctes(*ctes: str, body: str, recursive: bool = False) -> str:
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",".join(c.strip("\n") for c in ctes) + "\n" + body
