@@ -265,3 +265,35 @@ def events_prediction_lines(spark, sf_dir) -> DataFrame:
              .when(e % 2 == 0, F.concat(F.lit('{"Item":'), body, F.lit("}"))).otherwise(body))
     return ev.select(F.concat(F.lit("dump/"), F.col("event_type"), F.lit(".json.gz")).alias("file"),
                      e.alias("pos"), line.alias("value"), "event_type")
+
+
+# --- events as the source warehouse table ---------------------------------------------
+
+def events_source(spark, sf_dir) -> DataFrame:
+    """``processId`` (NULL for e % 13 = 0), ``timestamp``, ``tagId``, ``value``."""
+    e = _e()
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.when(e % 13 == 0, F.lit(None).cast("long")).otherwise(F.col("user_id")).alias("processId"),
+        F.col("ts").alias("timestamp"), F.col("event_type").alias("tagId"), "value")
+
+
+SQL_EVENTS_SOURCE = """
+src AS (
+  SELECT event_id, CASE WHEN event_id % 13 = 0 THEN NULL ELSE user_id END AS processId,
+         ts AS "timestamp", event_type AS tagId, value
+  FROM events)"""
+
+SQL_MONTHS = f"""
+months AS (
+  SELECT CAST(m AS TIMESTAMP) AS start, CAST(m + INTERVAL 1 MONTH AS TIMESTAMP) AS "end", strftime(m, '%Y-%m') AS label
+  FROM (SELECT unnest(generate_series(date_trunc('month', TIMESTAMP '{EXTRACT_NOW}' - INTERVAL {EXTRACT_DAYS} DAY),
+                                      TIMESTAMP '{EXTRACT_NOW}', INTERVAL 1 MONTH)) AS m))"""
+
+SQL_GRID = """
+procs AS (SELECT DISTINCT CAST(processId AS VARCHAR) AS process_id FROM src WHERE processId IS NOT NULL),
+grid AS (SELECT p.process_id, m.start, m."end", m.label FROM procs p CROSS JOIN months m)"""
+
+# pairs that already have output: user_id % 5 = 0 in 2024-01, and every process in 2023-12
+SQL_DONE = """
+done AS (SELECT process_id, label FROM grid
+         WHERE (CAST(process_id AS BIGINT) % 5 = 0 AND label = '2024-01') OR label = '2023-12')"""
