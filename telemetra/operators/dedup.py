@@ -68,7 +68,8 @@ def compact_touched(spark: SparkSession, table_path: str, touched: DataFrame, ke
         table.join(touched.select("month", "company_id").distinct(), ["month", "company_id"], "left_semi")
     merged = replace_dedup(part, key, seq, keep_seq=True)
     merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").partitionBy("month", "company_id").parquet(table_path))
+    (merged.hint("rebalance", "month", "company_id")
+           .write.mode("overwrite").partitionBy("month", "company_id").parquet(table_path))
     return merged
 
 

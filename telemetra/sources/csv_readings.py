@@ -18,7 +18,8 @@ CSV_SCHEMA = "ts STRING, tag_id STRING, value STRING"
 
 
 def scan_readings_csv(spark: SparkSession, paths, keep_text: bool = False) -> DataFrame:
-    """S3: all ``*.csv`` under ``paths`` (recursive) → ``file, ts, tag_id, value`` (+ sort keys).
+    """S3: all ``*.csv`` under ``paths`` (recursive) → ``file, ts, ts_text, tag_id, value``
+    (+ sort keys).
 
     ``value`` is DOUBLE where the text is a finite decimal number, else NULL — which P4 then
     rejects as ``bad_value``; with ``keep_text`` the raw text is kept as ``value_text``.
@@ -35,7 +36,7 @@ def scan_readings_csv(spark: SparkSession, paths, keep_text: bool = False) -> Da
                      F.coalesce(hive_pid, parse_csv_name_process(f)).alias("file_process"),
                      F.coalesce(hive_month, parent_dir(f)).alias("file_month"),
                      parse_csv_name_part(f).alias("file_part"),
-                     parse_utc(F.col("ts")).alias("ts"), F.col("tag_id"),
+                     parse_utc(F.col("ts")).alias("ts"), F.col("ts").alias("ts_text"), F.col("tag_id"),
                      finite_double(F.col("value")).alias("value"),
                      F.col("value").alias("value_text"))
     return out if keep_text else out.drop("value_text")

@@ -7,24 +7,32 @@ contents are never read to list them (binary-file source with the content column
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetra.operators.ledger import IMPORT_LEDGER, upsert_by_key
 
 
+def norm_path(c) -> "F.Column":
+    """Comparable form of a path: the ``file:`` scheme and extra leading slashes removed."""
+    return F.regexp_replace(c, r"^file:/+", "/")
+
+
+def relative_to(root: str, c) -> "F.Column":
+    """Path relative to ``root`` (the whole path when it lies outside)."""
+    root_norm = "/" + re.sub(r"^file:/+", "", root).strip("/")
+    p = norm_path(c)
+    rel = F.regexp_extract(p, "^" + re.escape(root_norm) + "/(.*)$", 1)
+    return F.when(rel == "", p).otherwise(rel)
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
     """``path`` (absolute) and ``file`` (relative to ``root``) of every matching file."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                     .option("pathGlobFilter", glob).load(root).select("path"))
-    root_norm = root.rstrip("/").replace("file://", "").replace("file:", "")
-    rel = F.regexp_extract(F.col("path"), r"^(?:file:)?(?://)?" + _re_escape(root_norm) + r"/(.*)$", 1)
-    return listing.select("path", F.when(rel == "", F.col("path")).otherwise(rel).alias("file"))
-
-
-def _re_escape(s: str) -> str:
-    import re
-    return re.escape(s)
+    return listing.select("path", relative_to(root, F.col("path")).alias("file"))
 
 
 def read_ledger(spark: SparkSession, path: str, schema=IMPORT_LEDGER) -> DataFrame:

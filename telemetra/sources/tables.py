@@ -43,6 +43,10 @@ def sink_append(df: DataFrame, path: str, partitioned: bool = True, batch_rows:
     """Append rows to a parquet table (partitioned by month and company unless not).
     ``batch_rows`` bounds rows per written file."""
     out = with_partition_cols(df) if partitioned and "month" not in df.columns else df
+    if partitioned:
+        # AQE rebalance: rows of one (month, company) meet in few tasks (few files), a hot
+        # partition is split across tasks instead of landing in one
+        out = out.hint("rebalance", "month", "company_id")
     w = out.write.mode("append")
     if batch_rows:
         w = w.option("maxRecordsPerFile", batch_rows)
