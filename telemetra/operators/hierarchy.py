@@ -85,8 +85,9 @@ def resolve_roots(process: DataFrame) -> DataFrame:
     within = F.col("dist") <= limit
     path = F.col("path")
     # still open after 128 hops: the first revisit among the first MAX_DEPTH nodes → cycle
-    revisit = F.element_at(F.filter(F.sequence(F.lit(1), F.lit(MAX_DEPTH - 1)),
-                                    lambda i: F.array_position(path, F.element_at(path, i + 1)) < i + 1), 1)
+    revisit = F.try_element_at(
+        F.filter(F.sequence(F.lit(1), F.lit(MAX_DEPTH - 1)),
+                 lambda i: F.array_position(path, F.try_element_at(path, i + 1)) < i + 1), F.lit(1))
     is_open = F.col("kind").isNull()
     ok = (F.col("kind") == "root") & within
     return state.select(
