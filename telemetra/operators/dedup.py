@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from telemetra.session import materialize
 
 from telemetra.functions.timefmt import month_key
 
@@ -55,9 +56,9 @@ def compact_touched(spark: SparkSession, table_path: str, touched: DataFrame, ke
     """Consolidate only the (month, company_id) partitions an import wrote.
 
     Reads the partitioned parquet table restricted to the touched partitions (a semi-join on
-    partition columns → partition pruning at scan), dedups them, cuts lineage with a
-    reliable ``checkpoint()`` (the input and the output are the same folder) and rewrites
-    them with dynamic partition overwrite. Partitions not touched are never read or
+    partition columns → partition pruning at scan), dedups them, stages the result as a
+    table under the checkpoint folder (the input and the output are the same folder, so
+    lineage must be cut) and rewrites them with dynamic partition overwrite. Partitions not touched are never read or
     written. Returns the consolidated rows that were written.
     """
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -67,7 +68,7 @@ def compact_touched(spark: SparkSession, table_path: str, touched: DataFrame, ke
         if touched.count() <= 100_000 else \
         table.join(touched.select("month", "company_id").distinct(), ["month", "company_id"], "left_semi")
     merged = replace_dedup(part, key, seq, keep_seq=True)
-    merged = merged.checkpoint(eager=True)
+    merged = merged.transform(materialize)
     (merged.hint("rebalance", "month", "company_id")
            .write.mode("overwrite").partitionBy("month", "company_id").parquet(table_path))
     return merged
@@ -76,9 +77,9 @@ def compact_touched(spark: SparkSession, table_path: str, touched: DataFrame, ke
 def compact_table(spark: SparkSession, table_path: str, key: list[str], seq: str = "ingest_seq",
                   inserted_rows: int = 1) -> DataFrame | None:
     """Whole-table consolidation of an unpartitioned table, opt-in and only when rows
-    were inserted. Lineage is cut with ``checkpoint()`` before overwriting the same path."""
+    were inserted. The result is staged (lineage cut) before overwriting the same path."""
     if inserted_rows <= 0:
         return None
-    merged = replace_dedup(spark.read.parquet(table_path), key, seq, keep_seq=True).checkpoint(eager=True)
+    merged = replace_dedup(spark.read.parquet(table_path), key, seq, keep_seq=True).transform(materialize)
     merged.write.mode("overwrite").parquet(table_path)
     return merged

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from telemetra.session import materialize
 
 from telemetra.constants import DAYS_BACK, SOURCE_ROW_CAP
 from telemetra.functions.text import csv_part_name
@@ -91,8 +92,8 @@ def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE
     """T5 (re-aimed): halve every range holding more than ``cap`` rows until none does.
 
     Each source row carries its current range; one level = one aggregate of the row counts
-    per range and one equi-join of the (small) split decisions back onto the rows. Rows are
-    checkpointed per level. Returns ``(process_id, label, start, end, rows)`` for the
+    per range and one equi-join of the (small) split decisions back onto the rows. The rows
+    are written as a stage table per level (lineage cut, restartable). Returns ``(process_id, label, start, end, rows)`` for the
     non-empty final ranges; together they hold exactly the rows of the unsplit ranges.
     """
     r = ranges.select(F.col("process_id").alias("_rp"), F.col("start").alias("_rs"),
@@ -105,7 +106,7 @@ def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE
                           F.col("_re").alias("end")))
     key = ["process_id", "label", "start", "end"]
     for _ in range(max_levels):
-        rows = rows.checkpoint(eager=True)
+        rows = rows.transform(materialize)
         counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"))
         over = counts.where(F.col("rows") > cap).select(*key, midpoint("start", "end").alias("mid"))
         if over.isEmpty():

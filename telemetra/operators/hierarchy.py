@@ -8,8 +8,9 @@ is ``'root'`` (ok → its id is the unit). Otherwise the walk fails with ``depth
 
 Set-at-a-time resolution by pointer doubling: after round k every open node knows its
 ancestor 2^k hops up, closed nodes know their terminal and its distance. 7 rounds cover
-128 ≥ MAX_DEPTH hops whatever the number of nodes. Each round is one join and a reliable
-``checkpoint()`` (the self-join would otherwise double the plan every round). Nodes still
+128 ≥ MAX_DEPTH hops whatever the number of nodes. Each round is one join; every second
+round is cut by staging the state as a table in the checkpoint folder (the self-join
+doubles the plan per round). Nodes still
 open after that are on, or lead into, a cycle (or a chain longer than 128): their first
 128 ancestors are gathered by the same doubling over arrays — at most 128 ids per node,
 only for these error nodes — and the first repeat within the first MAX_DEPTH nodes means
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from telemetra.session import materialize
 
 from telemetra.constants import (
     MAX_DEPTH, OUTCOME_ERROR, OUTCOME_SKIPPED, OUTCOME_UPDATED, ROOT_LEVEL,
@@ -75,19 +77,23 @@ def _double(state: DataFrame, rows: int) -> DataFrame:
 def resolve_roots(process: DataFrame) -> DataFrame:
     """For every process: ``unit_id`` (its root) or ``error`` in
     {cycle, missing, null_level, depth}, plus ``depth`` = index of the deciding node."""
-    state = _initial_state(process).checkpoint(eager=True)
+    state = _initial_state(process).transform(materialize)
     rows = state.count()
-    for _ in range(ROUNDS):
-        if state.where(F.col("kind").isNull()).isEmpty():
-            break
-        state = _double(state, rows).checkpoint(eager=True)
+    for r in range(ROUNDS):
+        state = _double(state, rows)
+        # lineage is cut every second round (the plan holds at most 4 copies of the last
+        # checkpoint in between); early exit once no node is open
+        if r % 2 == 1 or r == ROUNDS - 1:
+            state = state.transform(materialize)
+            if state.where(F.col("kind").isNull()).isEmpty():
+                break
     limit = MAX_DEPTH - 1
     within = F.col("dist") <= limit
-    path = F.col("path")
-    # still open after 128 hops: the first revisit among the first MAX_DEPTH nodes → cycle
-    revisit = F.try_element_at(
-        F.filter(F.sequence(F.lit(1), F.lit(MAX_DEPTH - 1)),
-                 lambda i: F.array_position(path, F.try_element_at(path, i + 1)) < i + 1), F.lit(1))
+    # still open after 128 hops: the walk's ids are all distinct up to its first revisit and
+    # every later id repeats one of them, so the first revisit index equals the number of
+    # distinct ids among the first MAX_DEPTH (when that is below MAX_DEPTH) → cycle
+    distinct_head = F.size(F.array_distinct(F.slice(F.col("path"), 1, MAX_DEPTH)))
+    revisit = F.when(distinct_head < MAX_DEPTH, distinct_head)
     is_open = F.col("kind").isNull()
     ok = (F.col("kind") == "root") & within
     return state.select(

@@ -20,6 +20,7 @@ from telemetra.constants import HEADER_KEYS, PREDICTIONS_COLUMNS, PROJECTIONS_CO
 from telemetra.functions.numbers import finite_double
 from telemetra.functions.timefmt import parse_utc
 from telemetra.operators.clock import clock_shift
+from telemetra.session import spread
 
 ATTR_DDL = ("STRUCT<S: STRING, N: STRING, BOOL: BOOLEAN, `NULL`: BOOLEAN, L: STRING, "
             "M: STRING, SS: STRING, NS: STRING, BS: STRING, B: STRING>")
@@ -67,7 +68,7 @@ def parse_items(lines: DataFrame, value_col: str = "value") -> DataFrame:
     item = F.when(F.instr(v, '"Item"') > 0, F.coalesce(wrapped, bare)).otherwise(bare)
     # The parsed map is produced by a one-row generator: later filters and projections
     # then refer to it as a column instead of inlining (re-running) from_json per use.
-    return (lines.where(F.trim(v) != "")
+    return (spread(lines.where(F.trim(v) != ""))
                  .select("*", F.inline(F.array(F.struct(item.alias("item")))))
                  .withColumn("malformed", F.col("item").isNull()))
 

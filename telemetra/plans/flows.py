@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from telemetra.session import materialize
 
 from telemetra import session
 from telemetra.constants import MAX_PAST_HOURS, READINGS_COLUMNS
@@ -91,17 +92,17 @@ def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, led
                              F.count_if(F.col("reason").isNull()).alias("inserted"),
                              F.count_if(F.col("reason").isNotNull()).alias("discarded"))
                         .withColumn("elapsed", F.lit(round(time.time() - t0, 3))))
-        run = per_file.select("file", "read", "inserted", "discarded", "elapsed").checkpoint(eager=True)
+        run = per_file.select("file", "read", "inserted", "discarded", "elapsed").transform(materialize)
         inc.write_ledger(spark, ledger_path, old, run)
-        touched = dedup.touched_partitions(valid).checkpoint(eager=True)
+        touched = dedup.touched_partitions(valid).transform(materialize)
         if compact and not touched.isEmpty():
             try:
                 dedup.compact_touched(spark, table_path, touched, dedup.READINGS_KEY)
             except Exception as exc:  # noqa: BLE001 — consolidation failure is a warning; data stays
                 print(f"warning: consolidation failed ({exc}); rows are stored, run it again later")
         audit = good.where(F.col("reason").isNotNull()).withColumn("company_id", F.lit(company_id)) \
-                    .select("company_id", "tag_id", "value", "ts", "reason", "file").checkpoint(eager=True)
-        failed_cp = failed.checkpoint(eager=True)
+                    .select("company_id", "tag_id", "value", "ts", "reason", "file").transform(materialize)
+        failed_cp = failed.transform(materialize)
         return ImportResult(run, failed_cp, run_totals(run, failed_cp), touched, audit)
     finally:
         marked.unpersist()
@@ -168,7 +169,7 @@ def backfill_units(configs: DataFrame, process: DataFrame, config_type: str,
     outcomes = hierarchy.backfill_outcomes(hierarchy.lookup_configs(active, hierarchy.resolve_roots(process)))
     counts = hierarchy.outcome_counts(outcomes)
     if apply_to:
-        updated = hierarchy.apply_updates(configs, hierarchy.change_set(outcomes)).checkpoint(eager=True)
+        updated = hierarchy.apply_updates(configs, hierarchy.change_set(outcomes)).transform(materialize)
         updated.write.mode("overwrite").parquet(apply_to)
     return outcomes, counts
 

@@ -96,7 +96,7 @@ def _attr(key: str | Column, letter: str, val: Column, quote: bool = True) -> Co
 
 
 def events_typed_lines(spark, sf_dir) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = session.spread(table(spark, sf_dir, "events"))
     e, u = _e(), F.col("user_id")
     ts_text = F.when(e % 7 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm")) \
                .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
@@ -245,7 +245,7 @@ def events_prediction_lines(spark, sf_dir) -> DataFrame:
     """Prediction items: index = value (NaN/1e400 injected), threshold = (e % 10)/10;
     e % 3 = 0 → only a "ts" key (predictions read "timestamp" only → discarded);
     e % 11 = 0 → threshold "abc"; e % 13 = 0 → no threshold; other rules as above."""
-    ev = table(spark, sf_dir, "events")
+    ev = session.spread(table(spark, sf_dir, "events"))
     e, u = _e(), F.col("user_id")
     ts_text = F.when(e % 7 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm")) \
                .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))

@@ -61,3 +61,29 @@ def builder(master: str | None = None, app: str = "telemetra") -> SparkSession.B
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.driver.memory", os.environ.get("TELEMETRA_DRIVER_MEM", "16g")))
+
+
+def spread(df, min_partitions: int | None = None):
+    """Parallelism floor before CPU-heavy per-row work (JSON parsing, rendering).
+
+    A small input can arrive as one partition (one small file, one gzip file); this
+    repartitions it round-robin to the cluster's default parallelism. Inputs that already
+    have that many partitions — every real, multi-file input — are returned unchanged, so
+    no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint folder and
+    reading it back.
+
+    Used instead of ``Dataset.checkpoint()`` for iterative plans: the plan runs once (a
+    reliable RDD checkpoint of an unpersisted plan computes it twice), the files are
+    columnar and compressed, and the stage survives the loss of any executor because it
+    lives on the shared storage named by ``spark.checkpoint.dir``.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

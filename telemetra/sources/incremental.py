@@ -11,6 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from telemetra.session import materialize
 
 from telemetra.operators.ledger import IMPORT_LEDGER, upsert_by_key
 
@@ -49,9 +50,9 @@ def pending_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def write_ledger(spark: SparkSession, path: str, old: DataFrame, run: DataFrame) -> DataFrame:
-    """Upsert this run's entries and rewrite the ledger. The new ledger is
-    checkpointed first because it is derived from the folder it overwrites."""
-    merged = upsert_by_key(old, run.select(*old.columns)).checkpoint(eager=True)
+    """Upsert this run's entries and rewrite the ledger. The new ledger is staged
+    first because it is derived from the folder it overwrites."""
+    merged = upsert_by_key(old, run.select(*old.columns)).transform(materialize)
     merged.write.mode("overwrite").parquet(path)
     return merged
 
