@@ -61,7 +61,6 @@ def compact_touched(spark: SparkSession, table_path: str, touched: DataFrame, ke
     lineage must be cut) and rewrites them with dynamic partition overwrite. Partitions not touched are never read or
     written. Returns the consolidated rows that were written.
     """
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     table = spark.read.parquet(table_path)
     part = table.join(F.broadcast(touched.select("month", "company_id").distinct()),
                       ["month", "company_id"], "left_semi") \
@@ -70,7 +69,8 @@ def compact_touched(spark: SparkSession, table_path: str, touched: DataFrame, ke
     merged = replace_dedup(part, key, seq, keep_seq=True)
     merged = merged.transform(materialize)
     (merged.hint("rebalance", "month", "company_id")
-           .write.mode("overwrite").partitionBy("month", "company_id").parquet(table_path))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("month", "company_id").parquet(table_path))
     return merged
 
 
