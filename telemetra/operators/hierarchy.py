@@ -8,7 +8,7 @@ is ``'root'`` (ok → its id is the unit). Otherwise the walk fails with ``depth
 
 Set-at-a-time resolution by pointer doubling: after round k every open node knows its
 ancestor 2^k hops up, closed nodes know their terminal and its distance. 7 rounds cover
-128 ≥ MAX_DEPTH hops whatever the number of nodes. Each round is one join; every second
+128 ≥ MAX_DEPTH hops whatever the number of nodes. Each round is one join; every third
 round is cut by staging the state as a table in the checkpoint folder (the self-join
 doubles the plan per round). Nodes still
 open after that are on, or lead into, a cycle (or a chain longer than 128): their first
@@ -29,12 +29,6 @@ from telemetra.constants import (
 from telemetra.operators.filters import changed
 
 ROUNDS = 7  # 2**7 = 128 >= MAX_DEPTH
-# Right-hand state broadcast only below this many rows (ids + two small columns each).
-STATE_BROADCAST_BOUND = 2_000_000
-
-
-def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= STATE_BROADCAST_BOUND else df
 
 
 def _nodes(process: DataFrame) -> DataFrame:
@@ -59,12 +53,15 @@ def _initial_state(process: DataFrame) -> DataFrame:
     return s.select("node", anc.alias("anc"), dist.alias("dist"), kind.alias("kind"), path.alias("path"))
 
 
-def _double(state: DataFrame, rows: int) -> DataFrame:
+def _double(state: DataFrame) -> DataFrame:
     closed = state.where(F.col("kind").isNotNull())
     open_ = state.where(F.col("kind").isNull()).alias("o")
-    right = _maybe_broadcast(state.select(F.col("node").alias("r_node"), F.col("anc").alias("r_anc"),
-                                          F.col("dist").alias("r_dist"), F.col("kind").alias("r_kind"),
-                                          F.col("path").alias("r_path")), rows)
+    # the state is a staged parquet table: the planner sees its real size and broadcasts it
+    # only under spark.sql.autoBroadcastJoinThreshold (AQE re-checks at run time); a larger
+    # state is a shuffle join with AQE skew splitting for hot ancestors
+    right = state.select(F.col("node").alias("r_node"), F.col("anc").alias("r_anc"),
+                         F.col("dist").alias("r_dist"), F.col("kind").alias("r_kind"),
+                         F.col("path").alias("r_path"))
     stepped = (open_.join(right, F.col("o.anc") == F.col("r_node"), "inner")
                     .select(F.col("o.node").alias("node"), F.col("r_anc").alias("anc"),
                             (F.col("o.dist") + F.col("r_dist")).alias("dist"),
@@ -78,12 +75,11 @@ def resolve_roots(process: DataFrame) -> DataFrame:
     """For every process: ``unit_id`` (its root) or ``error`` in
     {cycle, missing, null_level, depth}, plus ``depth`` = index of the deciding node."""
     state = _initial_state(process).transform(materialize)
-    rows = state.count()
     for r in range(ROUNDS):
-        state = _double(state, rows)
-        # lineage is cut every second round (the plan holds at most 4 copies of the last
-        # checkpoint in between); early exit once no node is open
-        if r % 2 == 1 or r == ROUNDS - 1:
+        state = _double(state)
+        # lineage is cut every third round (the plan holds at most 8 copies of the last
+        # staged table in between); early exit once no node is open
+        if r % 3 == 2 or r == ROUNDS - 1:
             state = state.transform(materialize)
             if state.where(F.col("kind").isNull()).isEmpty():
                 break
