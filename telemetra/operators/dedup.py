@@ -31,11 +31,21 @@ def replace_dedup(df: DataFrame, key: list[str], seq: str = "ingest_seq",
 
 
 def last_write_rank(df: DataFrame, key: list[str], seq: str = "ingest_seq") -> DataFrame:
-    """``rank_in_key`` = 1 for the winning row, 2.. for older duplicates (window form)."""
+    """W1, window form: ``rank_in_key`` = 1 for the winning row, 2.. for older duplicates.
+    A window puts each key in one task — use ``last_write_flag`` when keys can be hot."""
     w = Window.partitionBy(*key).orderBy(F.col(seq).desc())
     return df.withColumn("rank_in_key", F.row_number().over(w).cast("long"))
 
 
+def last_write_flag(df: DataFrame, key: list[str], seq: str = "ingest_seq") -> DataFrame:
+    """W1, skew-safe: ``is_last`` marks the row that wins its key. The winning sequence per
+    key is a partial-aggregated ``max`` (a hot key is reduced map-side) joined back on the
+    key (AQE splits a hot key on the big side; the per-key side is small)."""
+    last = df.groupBy(*key).agg(F.max(seq).alias("_last"))
+    return (df.join(last, key, "left")
+              .withColumn("is_last", F.col(seq) == F.col("_last")).drop("_last"))
+
+
 def touched_partitions(df: DataFrame, ts: str = "ts", company: str = "company_id") -> DataFrame:
     """Distinct ``(company_id, month)`` pairs (month = yyyyMM of the shifted ts)."""
     return df.select(F.col(company).alias("company_id"), month_key(F.col(ts)).alias("month")).distinct()

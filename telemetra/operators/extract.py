@@ -49,10 +49,14 @@ def months(spark, now, days: int = DAYS_BACK) -> DataFrame:
                        month_dash(F.col("start")).alias("label"))
 
 
-def work_grid(processes: DataFrame, month_table: DataFrame) -> DataFrame:
-    """Every process × every month. The month table has at most a few dozen rows
-    (bounded by the look-back), so it is broadcast and the product stays a map-side join."""
-    return processes.crossJoin(F.broadcast(month_table))
+def work_grid(processes: DataFrame, now, days: int = DAYS_BACK) -> DataFrame:
+    """Every process × every month of the look-back, as ``(process_id, start, end,
+    label)``. Each process row explodes the month array (a few dozen entries at most,
+    bounded by the look-back) — a per-row generator, no join."""
+    m = F.explode(month_series(_lit_ts(now), days)).alias("start")
+    return (processes.select("*", m)
+                     .withColumn("end", F.col("start") + F.expr("INTERVAL 1 MONTH"))
+                     .withColumn("label", month_dash(F.col("start"))))
 
 
 def pending(grid: DataFrame, done: DataFrame, keys=("process_id", "label")) -> DataFrame:

@@ -48,12 +48,11 @@ def export_totals(ledger: DataFrame) -> DataFrame:
 
 def run_totals(run: DataFrame, failed: DataFrame | None = None) -> DataFrame:
     """Files, read, inserted, discarded of one run, and the number of failed files."""
-    out = run.agg(F.count(F.lit(1)).alias("files"), F.sum("read").cast("long").alias("read"),
-                  F.sum("inserted").cast("long").alias("inserted"),
-                  F.sum("discarded").cast("long").alias("discarded"))
-    nfail = failed.agg(F.count(F.lit(1)).alias("failed_files")) if failed is not None else \
-        run.sparkSession.range(1).select(F.lit(0).cast("long").alias("failed_files"))
-    return out.crossJoin(nfail)
+    nfail = failed.count() if failed is not None else 0  # one number (files that failed)
+    return run.agg(F.count(F.lit(1)).alias("files"), F.sum("read").cast("long").alias("read"),
+                   F.sum("inserted").cast("long").alias("inserted"),
+                   F.sum("discarded").cast("long").alias("discarded"),
+                   F.lit(nfail).cast("long").alias("failed_files"))
 
 
 def running_total(df: DataFrame, order_col: str, value_col: str, out_col: str = "running",

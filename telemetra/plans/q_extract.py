@@ -27,7 +27,7 @@ def _src(spark, sf):
 
 
 def _grid(spark, sf):
-    return ex.work_grid(ex.distinct_processes(_src(spark, sf)), ex.months(spark, NOW, DAYS))
+    return ex.work_grid(ex.distinct_processes(_src(spark, sf)), NOW, DAYS)
 
 
 def _done(grid):

@@ -140,4 +140,4 @@ CROSS JOIN (SELECT count(*) AS rows FROM ev_m WHERE reason IS NULL) c"""))
 def dry_run_q(spark, sf):
     valid, _ = validate.apply_ingest_rules(roles.events_readings(spark, sf), NOW, roles.COMPANY, H)
     sample, count = dry_run(valid, 5, ["ts", "tag_id"])
-    return sample.crossJoin(count)
+    return sample.withColumn("rows", F.lit(count.first()["rows"]).cast("long"))

@@ -133,6 +133,16 @@ def last_write_wins(spark, sf):
     return dedup.last_write_rank(o, ["o_custkey", "month"], "o_orderkey")
 
 
+@register("last_write_flag", "W1 A8", """
+SELECT o_custkey, strftime(o_orderdate, '%Y%m') AS month, o_orderkey,
+       o_orderkey = max(o_orderkey) OVER (PARTITION BY o_custkey, strftime(o_orderdate, '%Y%m')) AS is_last
+FROM orders""")
+def last_write_flag(spark, sf):
+    o = roles.table(spark, sf, "orders").select(
+        "o_custkey", fn_t.month_key("o_orderdate").alias("month"), "o_orderkey")
+    return dedup.last_write_flag(o, ["o_custkey", "month"], "o_orderkey")
+
+
 # --- reshape ------------------------------------------------------------------------------
 
 _HOURLY = """

@@ -50,8 +50,7 @@ def test_midpoint_rounds_half_to_even(spark):
 
 def test_pending_grid(spark):
     procs = spark.createDataFrame([("1",), ("2",)], "process_id string")
-    months = ex.months(spark, "2024-02-10 00:00:00", 10)
-    grid = ex.work_grid(procs, months)
+    grid = ex.work_grid(procs, "2024-02-10 00:00:00", 10)
     done = spark.createDataFrame([("1", "2024-01")], "process_id string, label string")
     assert sorted((r.process_id, r.label) for r in ex.pending(grid, done).collect()) == \
         [("1", "2024-02"), ("2", "2024-01"), ("2", "2024-02")]
