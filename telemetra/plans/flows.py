@@ -52,13 +52,16 @@ class ImportResult:
 
 def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, ledger_path: str,
                         now, company_id: str, max_past_hours: int = MAX_PAST_HOURS,
-                        compact: bool = True, run_id: int | None = None) -> ImportResult:
+                        compact: bool = True, run_id: int | None = None,
+                        archive_dir: str | None = None) -> ImportResult:
     """Interchange CSV import.
 
     Pending files = listing − ledger. Rows of a file whose timestamps do not all parse fail
     the file as a whole (not written, not in the ledger, retried next run). Valid rows are
     appended with an ``ingest_seq`` (run, file order, row order) so consolidation keeps the
-    last write; the (month, company) partitions touched are then consolidated.
+    last write; the (month, company) partitions touched are then consolidated. With
+    ``archive_dir`` the files recorded in the ledger are moved there (sub-path kept); the
+    ledger stays the record of what is done, so a failed move only leaves a file in place.
     """
     session.configure(spark)
     run_id = int(time.time()) if run_id is None else run_id
@@ -94,6 +97,10 @@ def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, led
                         .withColumn("elapsed", F.lit(round(time.time() - t0, 3))))
         run = per_file.select("file", "read", "inserted", "discarded", "elapsed").transform(materialize)
         inc.write_ledger(spark, ledger_path, old, run)
+        if archive_dir:
+            done = {r["file"] for r in run.select("file").collect()}  # this run's file names
+            inc.archive_files(spark, [r["path"] for r in pend.select("path", "file").collect()
+                                      if r["file"] in done], dump_dir, archive_dir)
         touched = dedup.touched_partitions(valid).transform(materialize)
         if compact and not touched.isEmpty():
             try:

@@ -62,3 +62,26 @@ def failed_files(per_row: DataFrame) -> DataFrame:
     inserted nor recorded, and stay pending for the next run."""
     return (per_row.where(F.col("ts").isNull() & F.col("ts_text").isNotNull())
                    .select("file").distinct())
+
+
+def archive_files(spark: SparkSession, paths: list[str], src_root: str, dst_root: str) -> list[str]:
+    """Move processed files from the dump folder to the done folder, keeping their path
+    relative to the dump folder. A file outside the dump folder is left where it is (it
+    was loaded from an explicit path). File-system metadata operations only (renames),
+    as a Spark user does with the Hadoop FileSystem API. Returns the new locations."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src = "/" + re.sub(r"^file:/+", "", src_root).strip("/")
+    moved = []
+    for p in paths:
+        local = "/" + re.sub(r"^file:/+", "", p).lstrip("/")
+        if not local.startswith(src + "/"):
+            continue
+        rel = local[len(src) + 1:]
+        target = jvm.org.apache.hadoop.fs.Path(dst_root.rstrip("/") + "/" + rel)
+        source = jvm.org.apache.hadoop.fs.Path(p)
+        fs = source.getFileSystem(conf)
+        fs.mkdirs(target.getParent())
+        if fs.rename(source, target):
+            moved.append(target.toString())
+    return moved

@@ -119,3 +119,16 @@ def test_stream_only_new_files_and_replay(spark):
     touched = spark.read.parquet(f"{base}/touch").distinct()
     dedup.compact_touched(spark, f"{base}/tbl", touched, dedup.PROJECTIONS_KEY)
     assert spark.read.parquet(f"{base}/tbl").count() == 10  # … removed by consolidation
+
+
+def test_csv_import_archives_done_files(spark):
+    dump = session.local_path(session.scratch_dir(spark, "t-arch"))
+    made = session.local_path(session.scratch_dir(spark, "t-made"))
+    base = session.scratch_dir(spark, "t-arch-out")
+    _csv(f"{dump}/2024-05/processo_1.csv", [("2024-05-31 10:00:00+00:00", "T", "1.5")])
+    _csv(f"{dump}/2024-05/processo_2.csv", [("garbage", "T", "1")])
+    flows.import_readings_csv(spark, dump, f"{base}/t", f"{base}/l", "2024-06-01 12:00:00", "acme",
+                              4320, run_id=1, archive_dir=made)
+    assert os.path.exists(f"{made}/2024-05/processo_1.csv")
+    assert not os.path.exists(f"{dump}/2024-05/processo_1.csv")
+    assert os.path.exists(f"{dump}/2024-05/processo_2.csv")  # failed: stays for retry
