@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from telemetra.session import materialize
 
 from telemetra.functions.timefmt import month_key
@@ -30,11 +31,34 @@ def replace_dedup(df: DataFrame, key: list[str], seq: str = "ingest_seq",
     return out.select(*cols)
 
 
-def last_write_rank(df: DataFrame, key: list[str], seq: str = "ingest_seq") -> DataFrame:
-    """W1, window form: ``rank_in_key`` = 1 for the winning row, 2.. for older duplicates.
-    A window puts each key in one task — use ``last_write_flag`` when keys can be hot."""
+# Keys with more rows than this are ranked by the distributed prefix count; smaller keys by
+# a window (a window sorts one key inside one task, so its size must stay bounded).
+HOT_KEY_ROWS = 1_000_000
+
+
+def last_write_rank(df: DataFrame, key: list[str], seq: str = "ingest_seq",
+                    hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """``rank_in_key`` = 1 for the winning row, 2.. for older duplicates.
+
+    Hot keys are split off first (per-key counts are a partial aggregate; the hot-key list
+    is at most rows/hot_rows long and broadcast): they are ranked by the distributed
+    per-key prefix count (``ledger.running_total`` with quantile buckets), so a key holding a
+    third of all rows is ranked by many tasks; every other key uses a plain window whose
+    group is bounded by ``hot_rows``. A non-numeric ``seq`` (e.g. a struct) uses the window.
+    """
+    from telemetra.operators.ledger import running_total
     w = Window.partitionBy(*key).orderBy(F.col(seq).desc())
-    return df.withColumn("rank_in_key", F.row_number().over(w).cast("long"))
+    if isinstance(df.schema[seq].dataType, (T.StructType, T.StringType)):
+        return df.withColumn("rank_in_key", F.row_number().over(w).cast("long"))
+    hot = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*key)
+    hot = F.broadcast(hot.transform(materialize))  # ≤ rows / hot_rows keys
+    cold = df.join(hot, key, "left_anti").withColumn("rank_in_key", F.row_number().over(w).cast("long"))
+    hot_rows_df = df.join(hot, key, "left_semi").withColumn("_one", F.lit(1).cast("long"))
+    if hot_rows_df.isEmpty():
+        return cold
+    ranked = running_total(hot_rows_df, seq, "_one", "rank_in_key", partition_cols=key, descending=True)
+    ranked = ranked.drop("_one").withColumn("rank_in_key", F.col("rank_in_key").cast("long"))
+    return cold.unionByName(ranked.select(*cold.columns))
 
 
 def last_write_flag(df: DataFrame, key: list[str], seq: str = "ingest_seq") -> DataFrame:

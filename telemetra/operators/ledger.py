@@ -56,29 +56,37 @@ def run_totals(run: DataFrame, failed: DataFrame | None = None) -> DataFrame:
 
 
 def running_total(df: DataFrame, order_col: str, value_col: str, out_col: str = "running",
-                  buckets: int = 64, seconds_col: str | None = None) -> DataFrame:
-    """Cumulative sum of ``value_col`` in ``order_col`` order (rows up to the current).
-
-    Distributed prefix sum, no single-task window: rows are cut into ``buckets`` ranges by
-    approximate quantiles of the order column, each bucket's total is offset by the totals
-    of the buckets before it (a tiny table, broadcast), and the running sum inside a bucket
-    is a window partitioned by bucket. With ``seconds_col`` also the cumulative rate (F19).
+                  buckets: int = 64, seconds_col: str | None = None, partition_cols=(),
+                  descending: bool = False) -> DataFrame:
+    """Cumulative sum of ``value_col`` in ``order_col`` order (rows up to the current),
+    optionally restarting per ``partition_cols`` group.
+
+    Distributed prefix sum, no single-task window even when one group holds a third of all
+    rows: rows are cut into ``buckets`` ranges by approximate quantiles of the (numeric)
+    order column, each (group, bucket) total is offset by the totals of the group's earlier
+    buckets (a small table: at most groups × buckets rows), and the running sum inside a
+    (group, bucket) is a window over that slice only. With ``seconds_col`` also the
+    cumulative rate (F19).
     """
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.approxQuantile(order_col, probs, 0.001))) if buckets > 1 else []
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
+    parts = list(partition_cols)
     o = F.col(order_col).cast("double")
-    b = F.size(F.filter(arr, lambda x: x < o)) if bounds else F.lit(0)
-    tagged = df.withColumn("_bucket", b)
+    tagged = df.withColumn("_o", -o if descending else o)
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(tagged.approxQuantile("_o", probs, 0.001))) if buckets > 1 else []
+    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else None
+    b = F.size(F.filter(arr, lambda x: x < F.col("_o"))) if bounds else F.lit(0)
+    tagged = tagged.withColumn("_bucket", b)
     cols = [value_col] + ([seconds_col] if seconds_col else [])
-    totals = tagged.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}")
-                                         for c in cols])
-    w = Window.partitionBy("_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = tagged.join(F.broadcast(offsets), "_bucket", "left")
+    totals = tagged.groupBy(*parts, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*parts, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}")
+                                                 for c in cols])
+    if not parts:
+        offsets = F.broadcast(offsets)  # at most `buckets` rows
+    w = Window.partitionBy(*parts, "_bucket").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
+    out = tagged.join(offsets, [*parts, "_bucket"], "left")
     out = out.withColumn(out_col, (F.sum(value_col).over(w) + F.col(f"_o_{value_col}")))
     if seconds_col:
         out = out.withColumn("_cum_s", F.sum(seconds_col).over(w) + F.col(f"_o_{seconds_col}"))
         out = out.withColumn("rate", safe_rate(F.col(out_col), F.col("_cum_s"))).drop("_cum_s")
-    return out.drop("_bucket", *[f"_o_{c}" for c in cols])
+    return out.drop("_bucket", "_o", *[f"_o_{c}" for c in cols])

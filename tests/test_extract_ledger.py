@@ -73,3 +73,19 @@ def test_running_total_is_exact(spark):
         acc += i % 3
         want[i] = acc
     assert got == want
+
+
+def test_running_total_per_group_and_rank(spark):
+    from telemetra.operators.dedup import last_write_rank
+    # one hot group holding most rows, plus small groups
+    rows = [("hot", i) for i in range(3000)] + [(f"g{i % 7}", 10_000 + i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, seq long")
+    got = {(r.k, r.seq): r.rank_in_key for r in last_write_rank(df, ["k"], "seq", hot_rows=1000).collect()}
+    want = {}
+    by = {}
+    for k, s in rows:
+        by.setdefault(k, []).append(s)
+    for k, seqs in by.items():
+        for rank, s in enumerate(sorted(seqs, reverse=True), start=1):
+            want[(k, s)] = rank
+    assert got == want
