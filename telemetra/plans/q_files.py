@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from telemetra import session
 from telemetra.constants import EXPORT_TS_COLUMN
-from telemetra.functions.text import export_file_name, period_label
-from telemetra.functions.timefmt import month_key
 from telemetra.operators import dedup, reshape, typed_json as tj, validate
 from telemetra.operators.clock import clock_shift
 from telemetra.operators.ledger import import_totals, upsert_by_key
@@ -262,25 +260,39 @@ def touched_accumulate(spark, sf):
 
 
 _SEQ2 = 1_000_000_000
-_BATCHES = with_ctes(OR, f"""
-b AS (SELECT company_id, process_id, tag_id, value, ts, o_orderkey AS seq FROM ord_r
-      UNION ALL SELECT company_id, process_id, tag_id, value * 2, ts, o_orderkey + {_SEQ2} FROM ord_r WHERE tag_id = 'F'),
+# events as projections, company = co<user_id % 3>. Batch 1: every event (seq = event_id)
+# plus the 'view' events again with value × 2 (raw duplicates in every partition).
+# Batch 2: the 'click' events of company co1 with value × 3 → touches only (202401, co1).
+_BATCHES = f"""
+WITH b AS (
+  SELECT 'co' || CAST(user_id % 3 AS VARCHAR) AS company_id, CAST(user_id AS VARCHAR) AS process_id,
+         event_type AS tag_id, value, ts, event_id AS seq FROM events
+  UNION ALL SELECT 'co' || CAST(user_id % 3 AS VARCHAR), CAST(user_id AS VARCHAR), event_type, value * 2, ts,
+         event_id + {_SEQ2} FROM events WHERE event_type = 'view'
+  UNION ALL SELECT 'co' || CAST(user_id % 3 AS VARCHAR), CAST(user_id AS VARCHAR), event_type, value * 3, ts,
+         event_id + 2 * {_SEQ2} FROM events WHERE event_type = 'click' AND user_id % 3 = 1),
 bm AS (SELECT *, strftime(ts, '%Y%m') AS month FROM b),
-t AS (SELECT DISTINCT month, company_id FROM bm WHERE seq >= {_SEQ2}),
+t AS (SELECT DISTINCT month, company_id FROM bm WHERE seq >= 2 * {_SEQ2}),
 ins AS (SELECT bm.* FROM bm JOIN t USING (month, company_id)),
-outs AS (SELECT bm.* FROM bm ANTI JOIN t USING (month, company_id))""", body="""
+outs AS (SELECT bm.* FROM bm ANTI JOIN t USING (month, company_id))
 SELECT company_id, process_id, tag_id, value, ts, month FROM outs
 UNION ALL
 SELECT company_id, process_id, tag_id, value, ts, month FROM ins
-QUALIFY row_number() OVER (PARTITION BY company_id, process_id, tag_id, ts ORDER BY seq DESC) = 1""")
-
-
-def _order_batches(spark, sf):
-    o = roles.orders_readings(spark, sf)
-    b1 = o.select("company_id", "process_id", "tag_id", "value", "ts", F.col("o_orderkey").alias("ingest_seq"))
-    b2 = o.where(F.col("tag_id") == "F").select("company_id", "process_id", "tag_id",
-                                                (F.col("value") * 2).alias("value"), "ts",
-                                                (F.col("o_orderkey") + _SEQ2).alias("ingest_seq"))
+QUALIFY row_number() OVER (PARTITION BY company_id, process_id, tag_id, ts ORDER BY seq DESC) = 1"""
+
+
+def _event_batches(spark, sf):
+    ev = roles.table(spark, sf, "events")
+    base = ev.select(F.concat(F.lit("co"), (F.col("user_id") % 3).cast("string")).alias("company_id"),
+                     F.col("user_id").cast("string").alias("process_id"), F.col("event_type").alias("tag_id"),
+                     "value", "ts", "event_id")
+    b1 = base.select("company_id", "process_id", "tag_id", "value", "ts", F.col("event_id").alias("ingest_seq")) \
+        .unionByName(base.where(F.col("tag_id") == "view").select(
+            "company_id", "process_id", "tag_id", (F.col("value") * 2).alias("value"), "ts",
+            (F.col("event_id") + _SEQ2).alias("ingest_seq")))
+    b2 = base.where((F.col("tag_id") == "click") & (F.col("company_id") == "co1")).select(
+        "company_id", "process_id", "tag_id", (F.col("value") * 3).alias("value"), "ts",
+        (F.col("event_id") + 2 * _SEQ2).alias("ingest_seq"))
     return b1, b2
 
 
@@ -290,7 +302,7 @@ _TABLE_SCHEMA = ("company_id STRING, process_id STRING, tag_id STRING, value DOU
 
 @register("compact_touched", "A9 A8 S9", _BATCHES)
 def compact_touched(spark, sf):
-    b1, b2 = _order_batches(spark, sf)
+    b1, b2 = _event_batches(spark, sf)
     path = session.scratch_dir(spark, "projections")
     sink_append(b1, path)
     sink_append(b2, path)
@@ -394,3 +406,44 @@ def replay_idempotence(spark, sf):
     dedup.compact_touched(spark, f"{base}/table", touched, dedup.PROJECTIONS_KEY)
     return spark.read.schema(_PROJ_TABLE).parquet(f"{base}/table").select(
         "company_id", "process_id", "tag_id", "value", "ts")
+
+
+# --- whole flows --------------------------------------------------------------------------
+
+@register("export_wide_flow", "S5 A8 R2 O2 F12 F14 F15 S10 S14", with_ctes(OR, """
+s AS (SELECT ts, tag_id, value FROM ord_r
+      WHERE company_id = '1-URGENT' AND ts >= TIMESTAMP '1996-01-01' AND ts <= TIMESTAMP '1997-12-31'
+      QUALIFY row_number() OVER (PARTITION BY company_id, tag_id, ts ORDER BY o_orderkey DESC) = 1)""", body=f"""
+SELECT strftime(ts, '%Y-%m-%d %H:%M') AS "{EXPORT_TS_COLUMN}",
+       max(value) FILTER (WHERE tag_id = 'F') AS F, max(value) FILTER (WHERE tag_id = 'O') AS O,
+       max(value) FILTER (WHERE tag_id = 'P') AS P
+FROM s GROUP BY ts"""))
+def export_wide_flow(spark, sf):
+    from telemetra.operators.ledger import EXPORT_LEDGER
+    readings = roles.orders_readings(spark, sf).withColumnRenamed("o_orderkey", "ingest_seq")
+    out, led = session.scratch_dir(spark, "export"), session.scratch_dir(spark, "export-ledger")
+    flows.export_wide(spark, readings, "1-URGENT", "1996-01-01-00:00", "1997-12-31 00:00:00", None,
+                      out, led, now=roles.ORDERS_NOW)
+    assert read_ledger(spark, led, EXPORT_LEDGER).count() == 1
+    back = read_wide_csv(spark, out)
+    return back.select(EXPORT_TS_COLUMN, *[F.col(c).cast("double").alias(c) for c in back.columns
+                                           if c != EXPORT_TS_COLUMN])
+
+
+@register("source_to_readings", "S4 F10 P7 P17 P20", with_ctes(roles.SQL_EVENTS_SOURCE, roles.SQL_MONTHS,
+                                                             roles.SQL_GRID, f"""
+x AS (SELECT s.tagId AS tag_id, s.value,
+             s."timestamp" + to_hours(CASE WHEN s.processId IN ({_OV}) THEN 4 ELSE 3 END) AS ts
+      FROM src s JOIN grid g ON g.process_id = CAST(s.processId AS VARCHAR)
+       AND s."timestamp" >= g.start AND s."timestamp" < g."end")""", body=f"""
+SELECT '{C}' AS company_id, tag_id, value, ts FROM x
+WHERE NOT (value IS NULL OR isnan(value) OR isinf(value)) AND NOT ts > TIMESTAMP '{NOW}'
+  AND NOT ts < TIMESTAMP '{NOW}' - INTERVAL {H} HOUR"""))
+def source_to_readings(spark, sf):
+    """Extraction → clock shift → ingest rules: rows shifted past ``now`` become future."""
+    from telemetra.operators import extract as ex
+    src = roles.events_source(spark, sf)
+    grid = ex.work_grid(ex.distinct_processes(src), roles.EXTRACT_NOW, roles.EXTRACT_DAYS)
+    rows = ex.scan_source_range(src, grid, [str(u) for u in roles.OVERRIDE_USERS])
+    valid, _ = validate.apply_ingest_rules(rows, NOW, C, H)
+    return valid

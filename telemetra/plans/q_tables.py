@@ -342,8 +342,8 @@ def interval_midpoint(spark, sf):
 
 
 @register("throughput_rate", "F19", """
-SELECT event_type, CASE WHEN epoch(max(ts)) - epoch(min(ts)) > 0
-                        THEN CAST(count(*) AS DOUBLE) / (epoch(max(ts)) - epoch(min(ts))) ELSE 0.0 END AS rate
+SELECT event_type, CASE WHEN (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 > 0
+                        THEN CAST(count(*) AS DOUBLE) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) ELSE 0.0 END AS rate
 FROM events GROUP BY event_type""")
 def throughput_rate(spark, sf):
     ev = roles.table(spark, sf, "events")

@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from telemetra.operators import typed_json as tj
 
 
