@@ -90,15 +90,50 @@ def scan_source_range(source: DataFrame, ranges: DataFrame, overrides=None,
     return clock_shift(joined.drop("_rp", "_rs", "_re"), overrides)
 
 
+LEVELS_PER_PASS = 8
+
+
+def _us(c):
+    return F.unix_micros(c.cast("timestamp"))
+
+
+def _ts_from_us(c):
+    return F.timestamp_micros(c).cast("timestamp_ntz")
+
+
+def _halving_counts(rows: DataFrame, levels: int) -> DataFrame:
+    """Counts of every range the halving can produce in ``levels`` steps below each row's
+    current range ``[_s0, _e0)`` (micros). Each row walks down arithmetically (one select
+    per level, the midpoint rounds half to even like the original), then the (range,
+    parent) tuples of all levels are counted with a partial aggregate: a pass produces at
+    most 2^(levels+1) ranges per starting range, however many rows it holds."""
+    cur = rows
+    for d in range(1, levels + 1):
+        s, e = F.col(f"_s{d - 1}"), F.col(f"_e{d - 1}")
+        mid = s + F.bround((e - s).cast("double") / 2.0).cast("long")
+        cur = cur.select("*", F.when(F.col("_t") >= mid, mid).otherwise(s).alias(f"_s{d}"),
+                         F.when(F.col("_t") < mid, mid).otherwise(e).alias(f"_e{d}"))
+    steps = F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"_s{d}").alias("s"), F.col(f"_e{d}").alias("e"),
+                               F.col(f"_s{d - 1}").alias("ps"), F.col(f"_e{d - 1}").alias("pe"))
+                      for d in range(1, levels + 1)])
+    return (cur.select("process_id", "label", F.explode(steps).alias("x"))
+               .groupBy("process_id", "label", "x.d", "x.s", "x.e", "x.ps", "x.pe")
+               .agg(F.count(F.lit(1)).alias("rows")))
+
+
 def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE_ROW_CAP,
                          col: str = "processId", ts: str = "timestamp",
-                         max_levels: int = 40) -> DataFrame:
+                         max_levels: int = 64) -> DataFrame:
     """T5 (re-aimed): halve every range holding more than ``cap`` rows until none does.
 
-    Each source row carries its current range; one level = one aggregate of the row counts
-    per range and one equi-join of the (small) split decisions back onto the rows. The rows
-    are written as a stage table per level (lineage cut, restartable). Returns ``(process_id, label, start, end, rows)`` for the
-    non-empty final ranges; together they hold exactly the rows of the unsplit ranges.
+    Month ranges within the cap are final after one aggregate. Rows of over-cap ranges are
+    projected to (process, month, ts) and staged once; each pass then computes 8 halving
+    levels for those rows in one scan (see ``_halving_counts``), keeps as final every range
+    with ≤ cap rows whose parent had more, and carries only the still-over-cap deepest
+    ranges (and their rows, via a broadcast semi-join on the small range table) into the
+    next pass. Row data is never rewritten per level. Returns
+    ``(process_id, label, start, end, rows)`` for the non-empty final ranges; together they
+    hold exactly the rows of the unsplit ranges.
     """
     r = ranges.select(F.col("process_id").alias("_rp"), F.col("start").alias("_rs"),
                       F.col("end").alias("_re"), F.col("label"))
@@ -106,23 +141,46 @@ def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE
                   .join(F.broadcast(r) if r.count() <= RANGE_BROADCAST_BOUND else r,
                         (F.col("process_id") == F.col("_rp")) & (F.col("ts") >= F.col("_rs"))
                         & (F.col("ts") < F.col("_re")), "inner")
-                  .select("process_id", "label", "ts", F.col("_rs").alias("start"),
-                          F.col("_re").alias("end")))
+                  .select("process_id", "label", "ts", F.col("_rs").alias("start"), F.col("_re").alias("end")))
     key = ["process_id", "label", "start", "end"]
-    for _ in range(max_levels):
-        rows = rows.transform(materialize)
-        counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows"))
-        over = counts.where(F.col("rows") > cap).select(*key, midpoint("start", "end").alias("mid"))
-        if over.isEmpty():
-            return counts
-        n_over = over.count()
-        rows = (rows.join(F.broadcast(over) if n_over <= RANGE_BROADCAST_BOUND else over, key, "left")
-                    .withColumn("start", F.when(F.col("mid").isNotNull() & (F.col("ts") >= F.col("mid")),
-                                                F.col("mid")).otherwise(F.col("start")))
-                    .withColumn("end", F.when(F.col("mid").isNotNull() & (F.col("ts") < F.col("mid")),
-                                              F.col("mid")).otherwise(F.col("end")))
-                    .drop("mid"))
-    raise RuntimeError(f"ranges still above {cap} rows after {max_levels} halvings")
+    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).transform(materialize)
+    final = counts.where(F.col("rows") <= cap)
+    over = counts.where(F.col("rows") > cap).select(*key)
+    if over.isEmpty():
+        return final
+    n_over = over.count()
+    # rows of the over-cap months, staged once: (process, month, ts in micros, month bounds)
+    live = (rows.join(F.broadcast(over) if n_over <= RANGE_BROADCAST_BOUND else over, key, "left_semi")
+                .select("process_id", "label", _us(F.col("ts")).alias("_t"),
+                        _us(F.col("start")).alias("_s0"), _us(F.col("end")).alias("_e0"))
+                .transform(materialize))
+    done_levels = 0
+    while True:
+        c = _halving_counts(live, LEVELS_PER_PASS).transform(materialize)
+        parent = c.select("process_id", "label", (F.col("d") + 1).alias("d"), F.col("s").alias("ps"),
+                          F.col("e").alias("pe"), F.col("rows").alias("prow"))
+        first = c.where(F.col("d") == 1)          # parent = the pass's starting range (over cap)
+        deeper = c.where(F.col("d") > 1).join(parent, ["process_id", "label", "d", "ps", "pe"], "inner") \
+                  .where(F.col("prow") > cap).drop("prow")
+        cand = first.unionByName(deeper)
+        leaves = cand.where(F.col("rows") <= cap).select(
+            "process_id", "label", _ts_from_us(F.col("s")).alias("start"),
+            _ts_from_us(F.col("e")).alias("end"), "rows")
+        final = final.unionByName(leaves)
+        still = cand.where((F.col("d") == LEVELS_PER_PASS) & (F.col("rows") > cap)) \
+                    .select("process_id", "label", F.col("s").alias("_s0"), F.col("e").alias("_e0"))
+        done_levels += LEVELS_PER_PASS
+        if still.isEmpty():
+            return final.transform(materialize)
+        if done_levels >= max_levels:
+            raise RuntimeError(f"ranges still above {cap} rows after {done_levels} halvings")
+        n_still = still.count()
+        s_b = F.broadcast(still) if n_still <= RANGE_BROADCAST_BOUND else still
+        live = (live.select("process_id", "label", "_t")
+                    .join(s_b, (live["process_id"] == s_b["process_id"]) & (live["label"] == s_b["label"])
+                          & (F.col("_t") >= F.col("_s0")) & (F.col("_t") < F.col("_e0")), "inner")
+                    .select(live["process_id"], live["label"], "_t", "_s0", "_e0")
+                    .transform(materialize))
 
 
 def number_parts(chunks: DataFrame) -> DataFrame:

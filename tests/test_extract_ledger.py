@@ -89,3 +89,17 @@ def test_running_total_per_group_and_rank(spark):
         for rank, s in enumerate(sorted(seqs, reverse=True), start=1):
             want[(k, s)] = rank
     assert got == want
+
+
+def test_adaptive_split_deep_multi_pass(spark):
+    # rows clustered in one hour of the month with a tiny cap: more than 8 halvings → 2+ passes
+    base = datetime(2024, 1, 10, 5)
+    ts = [base + timedelta(seconds=(i * 37) % 3600, microseconds=i) for i in range(1500)]
+    ts += [datetime(2024, 1, 1) + timedelta(days=d) for d in range(20)]
+    src = spark.createDataFrame([("p", t, "tag", 1.0) for t in ts],
+                                "processId string, timestamp timestamp_ntz, tagId string, value double")
+    ranges = spark.createDataFrame([("p", datetime(2024, 1, 1), datetime(2024, 2, 1), "2024-01")],
+                                   "process_id string, start timestamp_ntz, end timestamp_ntz, label string")
+    got = sorted((r.start, r.end, r.rows) for r in ex.adaptive_range_split(src, ranges, cap=5).collect())
+    want = sorted(_brute_split(ts, datetime(2024, 1, 1), datetime(2024, 2, 1), 5))
+    assert got == want and sum(r[2] for r in got) == len(ts)
