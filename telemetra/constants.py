@@ -58,8 +58,16 @@ EXPORT_TS_FORMAT = "yyyy-MM-dd HH:mm"
 EXPORT_TS_COLUMN = "TIMESTAMP"
 # Prefix of export manifests that discovery skips.
 MANIFEST_PREFIX = "manifest-"
-# Interchange CSV name pattern: processo_<id>[-parteN].csv
+# Interchange CSV name pattern: processo_<id>[-parteN].csv, and the two name formats.
 CSV_NAME_PATTERN = r"processo_(.+?)(?:-parte(\d+))?\.csv$"
+CSV_SINGLE_NAME = "processo_%s.csv"
+CSV_PART_NAME = "processo_%s-parte%d.csv"
+# Wide export file name: <company>_<start>_a_<end>.csv, stamps as below.
+EXPORT_NAME = "%s_%s_a_%s.csv"
+EXPORT_NAME_STAMP = "yyyy-MM-dd_HHmmss"
+# Period label: "<start> → <end>", second precision.
+PERIOD_LABEL_SEP = " → "
+PERIOD_LABEL_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Backfill outcomes.
 OUTCOME_UPDATED = "updated"
 OUTCOME_SKIPPED = "skipped"

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from telemetra.constants import CSV_NAME_PATTERN
+from telemetra.constants import (
+    CSV_NAME_PATTERN, CSV_PART_NAME, CSV_SINGLE_NAME, EXPORT_NAME, EXPORT_NAME_STAMP, PERIOD_LABEL_FORMAT,
+    PERIOD_LABEL_SEP,
+)
 
 
 def _c(x) -> Column:
@@ -57,18 +60,18 @@ def parse_csv_name_part(path) -> Column:
 
 def csv_part_name(process_id, part, parts) -> Column:
     """``processo_<id>.csv`` for a single chunk, ``processo_<id>-parte<i>.csv`` otherwise."""
-    return F.when(_c(parts) <= 1, F.format_string("processo_%s.csv", _c(process_id))).otherwise(
-        F.format_string("processo_%s-parte%d.csv", _c(process_id), _c(part)))
+    return F.when(_c(parts) <= 1, F.format_string(CSV_SINGLE_NAME, _c(process_id))).otherwise(
+        F.format_string(CSV_PART_NAME, _c(process_id), _c(part)))
 
 
 def export_file_name(company_id, start, end) -> Column:
     """``<company>_<yyyy-MM-dd_HHmmss>_a_<yyyy-MM-dd_HHmmss>.csv``."""
-    return F.format_string("%s_%s_a_%s.csv", _c(company_id),
-                           F.date_format(_c(start), "yyyy-MM-dd_HHmmss"),
-                           F.date_format(_c(end), "yyyy-MM-dd_HHmmss"))
+    return F.format_string(EXPORT_NAME, _c(company_id),
+                           F.date_format(_c(start), EXPORT_NAME_STAMP),
+                           F.date_format(_c(end), EXPORT_NAME_STAMP))
 
 
 def period_label(start, end) -> Column:
     """``<start> → <end>`` with second precision."""
-    return F.concat_ws(" → ", F.date_format(_c(start), "yyyy-MM-dd HH:mm:ss"),
-                       F.date_format(_c(end), "yyyy-MM-dd HH:mm:ss"))
+    return F.concat_ws(PERIOD_LABEL_SEP, F.date_format(_c(start), PERIOD_LABEL_FORMAT),
+                       F.date_format(_c(end), PERIOD_LABEL_FORMAT))
