@@ -132,3 +132,29 @@ def test_csv_import_archives_done_files(spark):
     assert os.path.exists(f"{made}/2024-05/processo_1.csv")
     assert not os.path.exists(f"{dump}/2024-05/processo_1.csv")
     assert os.path.exists(f"{dump}/2024-05/processo_2.csv")  # failed: stays for retry
+
+
+def test_shift_moves_row_into_next_month_partition(spark):
+    from telemetra.operators import typed_json as tj
+    line = json.dumps({"Item": {"process_id": {"S": "AB-1"}, "timestamp": {"S": "2024-01-31 22:30"},
+                                "company_id": {"S": "c"}, "T": {"N": "1"}}})
+    lines = spark.createDataFrame([("f", 0, line)], "file string, pos long, value string")
+    rows = tj.projections(lines, "d", overrides=["ab1"])           # +4 h (normalised id matches)
+    assert [str(r.ts) for r in rows.collect()] == ["2024-02-01 02:30:00"]
+    assert [(r.company_id, r.month) for r in dedup.touched_partitions(rows).collect()] == [("c", "202402")]
+
+
+def test_duplicate_keys_last_write_wins_within_file_and_across_runs(spark):
+    dump = session.local_path(session.scratch_dir(spark, "t-dups"))
+    base = session.scratch_dir(spark, "t-dups-out")
+    now = "2024-06-01 12:00:00"
+    t1, t2 = "2024-05-31 10:00:00+00:00", "2024-05-31 11:00:00+00:00"
+    _csv(f"{dump}/2024-05/processo_1.csv", [(t1, "T", "1.0"), (t1, "T", "2.0")])      # later line wins
+    _csv(f"{dump}/2024-05/processo_1-parte2.csv", [(t2, "T", "5.0"), (t1, "T", "3.0")])  # later part wins
+    flows.import_readings_csv(spark, dump, f"{base}/t", f"{base}/l", now, "acme", 4320, run_id=1)
+    got = {str(r.ts): r.value for r in flows.read_table(spark, f"{base}/t").collect()}
+    assert got == {"2024-05-31 10:00:00": 3.0, "2024-05-31 11:00:00": 5.0}
+    _csv(f"{dump}/2024-05/processo_0.csv", [(t2, "T", "7.0")])                        # a later run wins
+    flows.import_readings_csv(spark, dump, f"{base}/t", f"{base}/l", now, "acme", 4320, run_id=2)
+    got = {str(r.ts): r.value for r in flows.read_table(spark, f"{base}/t").collect()}
+    assert got == {"2024-05-31 10:00:00": 3.0, "2024-05-31 11:00:00": 7.0}
