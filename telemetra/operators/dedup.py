@@ -85,6 +85,19 @@ def with_partition_cols(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn("month", month_key(F.col(ts)))
 
 
+PARTITION_COLS = ("month", "company_id")
+
+
+def read_partitioned(spark: SparkSession, path: str, partition_cols=PARTITION_COLS) -> DataFrame:
+    """Read a (month, company)-partitioned table keeping partition values as STRING —
+    type inference would turn a company id such as ``0123`` into the number 123 and a
+    rewrite would then move its rows to another partition."""
+    inferred = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType(), True) if f.name in partition_cols else f
+              for f in inferred.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def compact_touched(spark: SparkSession, table_path: str, touched: DataFrame, key: list[str],
                     seq: str = "ingest_seq") -> DataFrame:
     """Consolidate only the (month, company_id) partitions an import wrote.
@@ -95,7 +108,7 @@ def compact_touched(spark: SparkSession, table_path: str, touched: DataFrame, ke
     lineage must be cut) and rewrites them with dynamic partition overwrite. Partitions not touched are never read or
     written. Returns the consolidated rows that were written.
     """
-    table = spark.read.parquet(table_path)
+    table = read_partitioned(spark, table_path)
     part = table.join(F.broadcast(touched.select("month", "company_id").distinct()),
                       ["month", "company_id"], "left_semi") \
         if touched.count() <= 100_000 else \

@@ -66,3 +66,14 @@ def test_compact_touched_leaves_other_partitions(spark):
                              "ingest_seq long, month string").parquet(path)
     got = sorted((r.company_id, r.month, r.value) for r in back.collect())
     assert got == [("a", "202401", 1.0), ("b", "202403", 5.0), ("b", "202403", 6.0)]
+
+
+def test_compaction_keeps_numeric_looking_company_ids(spark):
+    path = session.scratch_dir(spark, "t-compact-ids")
+    df = spark.createDataFrame([("0123", "t", "2024-01-05 00:00:00", 1.0, 1), ("0123", "t", "2024-01-05 00:00:00", 2.0, 2)],
+                               "company_id string, tag_id string, ts string, value double, ingest_seq long") \
+              .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    sink_append(df, path)
+    dedup.compact_touched(spark, path, dedup.touched_partitions(df), ["company_id", "tag_id", "ts"])
+    back = dedup.read_partitioned(spark, path).collect()
+    assert [(r.company_id, r.month, r.value) for r in back] == [("0123", "202401", 2.0)]
