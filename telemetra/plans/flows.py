@@ -29,7 +29,7 @@ from telemetra.operators.ledger import EXPORT_LEDGER, run_totals, upsert_by_key
 from telemetra.sources import incremental as inc
 from telemetra.sources.csv_readings import scan_readings_csv
 from telemetra.sources.tables import scan_active_configs, scan_readings_slice, sink_append, sink_wide_csv
-from telemetra.sources.typed_json_files import read_lines
+from telemetra.sources.typed_json_files import read_lines, spread_lines
 
 READINGS_TABLE_SCHEMA = ("company_id STRING, tag_id STRING, value DOUBLE, ts TIMESTAMP_NTZ, "
                          "ingest_seq STRUCT<run: BIGINT, process: STRING, month: STRING, part: INT, pos: BIGINT>, "
@@ -124,7 +124,7 @@ def import_typed_json(spark: SparkSession, dump_dir: str, table_path: str, flow:
     lines = read_lines(spark, dump_dir)
     if limit_per_file is not None:
         lines = _limit(lines, limit_per_file).drop("line_no")
-    lines = lines.drop("block")
+    lines = spread_lines(lines.drop("block"))
     if flow == "predictions":
         stats = typed_json.per_file_stats(typed_json.prediction_items(lines, default_company), rows_mode=False)
         rows = typed_json.predictions(lines, default_company, overrides, keep_source=True)

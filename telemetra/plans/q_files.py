@@ -16,7 +16,7 @@ from telemetra.plans.registry import register, with_ctes
 from telemetra.sources.csv_readings import scan_readings_csv
 from telemetra.sources.incremental import read_ledger, write_ledger
 from telemetra.sources.tables import read_wide_csv, sink_append, sink_wide_csv
-from telemetra.sources.typed_json_files import discover_files, limit_per_file, read_lines, write_lines
+from telemetra.sources.typed_json_files import discover_files, limit_per_file, read_lines, spread_lines, write_lines
 from telemetra.streaming.file_stream import stream_import
 
 R, M, TI, PR = roles.SQL_EVENTS_READINGS, roles.SQL_REASON, roles.SQL_TYPED_ITEMS, roles.SQL_PROJ_ROWS
@@ -334,7 +334,7 @@ SELECT company_id, process_id, tag_id, value, ts FROM proj"""))
 def scan_typed_json(spark, sf):
     dump = session.scratch_dir(spark, "typed")
     write_typed_files(spark, sf, dump)
-    lines = read_lines(spark, dump).drop("block")
+    lines = spread_lines(read_lines(spark, dump).drop("block"))
     return tj.projections(lines, C, overrides=roles.override_ids())
 
 

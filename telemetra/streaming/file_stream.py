@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from telemetra.constants import MANIFEST_PREFIX
 from telemetra.functions.text import base_name
+from telemetra.session import spread
 from telemetra.operators import typed_json as tj
 from telemetra.operators.dedup import touched_partitions
 from telemetra.sources.tables import sink_append
@@ -23,9 +24,9 @@ from telemetra.sources.tables import sink_append
 def _batch_writer(table_path: str, ledger_path: str, touched_path: str, default_company: str,
                   flow: str, overrides):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        lines = (batch.select(F.col("file"), F.col("value"))
-                      .where(~base_name(F.col("file")).startswith(MANIFEST_PREFIX))
-                      .withColumn("pos", F.monotonically_increasing_id()))
+        lines = spread(batch.select(F.col("file"), F.col("value"))
+                           .where(~base_name(F.col("file")).startswith(MANIFEST_PREFIX))
+                           .withColumn("pos", F.monotonically_increasing_id()))
         lines = lines.persist()
         try:
             if flow == "predictions":
