@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from telemetra.session import materialize
+from telemetra.session import materialize, release
 
 from telemetra.constants import DAYS_BACK, SOURCE_ROW_CAP
 from telemetra.functions.text import csv_part_name
@@ -155,8 +155,10 @@ def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE
                         _us(F.col("start")).alias("_s0"), _us(F.col("end")).alias("_e0"))
                 .transform(materialize))
     done_levels = 0
+    stages = [counts]
     while True:
         c = _halving_counts(live, LEVELS_PER_PASS).transform(materialize)
+        stages.append(c)
         parent = c.select("process_id", "label", (F.col("d") + 1).alias("d"), F.col("s").alias("ps"),
                           F.col("e").alias("pe"), F.col("rows").alias("prow"))
         first = c.where(F.col("d") == 1)          # parent = the pass's starting range (over cap)
@@ -171,16 +173,20 @@ def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE
                     .select("process_id", "label", F.col("s").alias("_s0"), F.col("e").alias("_e0"))
         done_levels += LEVELS_PER_PASS
         if still.isEmpty():
-            return final.transform(materialize)
+            out = final.transform(materialize)
+            release(live, *stages)   # row and count stages are not read by the result
+            return out
         if done_levels >= max_levels:
             raise RuntimeError(f"ranges still above {cap} rows after {done_levels} halvings")
         n_still = still.count()
         s_b = F.broadcast(still) if n_still <= RANGE_BROADCAST_BOUND else still
+        prev = live
         live = (live.select("process_id", "label", "_t")
                     .join(s_b, (live["process_id"] == s_b["process_id"]) & (live["label"] == s_b["label"])
                           & (F.col("_t") >= F.col("_s0")) & (F.col("_t") < F.col("_e0")), "inner")
                     .select(live["process_id"], live["label"], "_t", "_s0", "_e0")
                     .transform(materialize))
+        release(prev)
 
 
 def number_parts(chunks: DataFrame) -> DataFrame:

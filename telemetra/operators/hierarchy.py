@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from telemetra.session import materialize
+from telemetra.session import materialize, release
 
 from telemetra.constants import (
     MAX_DEPTH, OUTCOME_ERROR, OUTCOME_SKIPPED, OUTCOME_UPDATED, ROOT_LEVEL,
@@ -75,12 +75,15 @@ def resolve_roots(process: DataFrame) -> DataFrame:
     """For every process: ``unit_id`` (its root) or ``error`` in
     {cycle, missing, null_level, depth}, plus ``depth`` = index of the deciding node."""
     state = _initial_state(process).transform(materialize)
+    staged = state
     for r in range(ROUNDS):
         state = _double(state)
         # lineage is cut every third round (the plan holds at most 8 copies of the last
         # staged table in between); early exit once no node is open
         if r % 3 == 2 or r == ROUNDS - 1:
             state = state.transform(materialize)
+            release(staged)          # the previous stage is no longer read
+            staged = state
             if state.where(F.col("kind").isNull()).isEmpty():
                 break
     limit = MAX_DEPTH - 1

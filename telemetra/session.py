@@ -86,4 +86,22 @@ def materialize(df, name: str = "stage"):
     """
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGES[id(out)] = path
+    return out
+
+
+_STAGES: dict[int, str] = {}
+
+
+def release(*frames) -> None:
+    """Delete the staged tables behind frames returned by ``materialize`` once nothing reads
+    them any more (e.g. the previous round of an iterative plan after the next round was
+    staged). Frames that are not stages are ignored."""
+    for df in frames:
+        path = _STAGES.pop(id(df), None) if df is not None else None
+        if path is None:
+            continue
+        jvm = df.sparkSession.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
