@@ -1,8 +1,9 @@
 """Last-write-wins consolidation.
 
 "Last" needs an order: ``ingest_seq`` (larger = inserted later). The consolidation is a
-``max_by(struct, ingest_seq)`` aggregate — a hash aggregate with a map-side partial step,
-so a key holding a third of all rows is reduced inside each task before the shuffle. The
+``max_by(struct, ingest_seq)`` aggregate with a map-side partial step (sort-based: the
+buffer is a struct), so a key holding a third of all rows is reduced inside each task
+before the shuffle. The
 window form (``row_number``) is kept for callers who need the losing rows too.
 """
 
