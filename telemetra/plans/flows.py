@@ -115,10 +115,13 @@ def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, led
         marked.unpersist()
 
 
-def import_typed_json(spark: SparkSession, dump_dir: str, table_path: str, flow: str,
+def import_typed_json(spark: SparkSession, dump_dir: str, table_path: str | None, flow: str,
                       default_company: str, overrides=None, limit_per_file: int | None = None,
-                      seq_run: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Typed-JSON batch import (S1, S2, P1…P18, R1, W3, A2, S9): returns (rows written, per-file stats)."""
+                      seq_run: int = 0, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Typed-JSON batch import (S1, S2, P1…P18, R1, W3, A2, S9): returns (rows, per-file stats).
+
+    ``dry_run`` (S16) writes nothing and returns the first 5 rows (by ts, process, tag) and
+    the per-file counts instead."""
     from telemetra.sources.typed_json_files import limit_per_file as _limit
     session.configure(spark)
     lines = read_lines(spark, dump_dir)
@@ -136,6 +139,9 @@ def import_typed_json(spark: SparkSession, dump_dir: str, table_path: str, flow:
         rows = build(lines, default_company, overrides, keep_source=True)
     rows = rows.withColumn("ingest_seq", F.struct(F.lit(seq_run).cast("long").alias("run"), F.col("file"),
                                                   F.col("pos"))).drop("file", "pos")
+    if dry_run:
+        order = ["ts", "process_id"] + (["tag_id"] if flow == "projections" else [])
+        return rows.drop("ingest_seq").orderBy(*[c for c in order if c in rows.columns]).limit(5), stats
     sink_append(rows, table_path, partitioned=(flow != "predictions"))
     return rows, stats
 

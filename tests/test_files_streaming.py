@@ -158,3 +158,15 @@ def test_duplicate_keys_last_write_wins_within_file_and_across_runs(spark):
     flows.import_readings_csv(spark, dump, f"{base}/t", f"{base}/l", now, "acme", 4320, run_id=2)
     got = {str(r.ts): r.value for r in flows.read_table(spark, f"{base}/t").collect()}
     assert got == {"2024-05-31 10:00:00": 3.0, "2024-05-31 11:00:00": 7.0}
+
+
+def test_typed_json_dry_run_writes_nothing(spark):
+    root = _dump(spark)
+    table = session.scratch_dir(spark, "t-dry-table")
+    sample, stats = flows.import_typed_json(spark, root, table, "projections", "acme", overrides=[],
+                                            dry_run=True)
+    assert sample.count() == 5
+    assert sum(r.read for r in stats.collect()) == 15
+    assert not os.path.exists(session.local_path(table))
+    rows, _ = flows.import_typed_json(spark, root, table, "projections", "acme", overrides=[])
+    assert spark.read.parquet(table).count() == 15
