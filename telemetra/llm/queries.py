@@ -8,14 +8,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import bpe, simhash
-from telemetra.llm.common import read_table
+from telemetra.llm import bpe, quality_classifier, simhash, toxicity
+from telemetra.llm.common import held_out, read_table
+from telemetra.session import materialize
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = read_table(spark, sf_dir, "documents"), held_out(5, 0)
+    model = toxicity.fit(docs.where(~out), toxic_labels(spark, sf_dir).where(~out))
+    return toxicity.score(docs, model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels, out = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label")), held_out(4, 2)
+    feats = materialize(quality_classifier.features(read_table(spark, sf_dir, "documents")), "quality")
+    model = quality_classifier.fit(feats, labels.where(~out))
+    return quality_classifier.score(feats, model).select(
+        "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, distance=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -23,6 +43,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality_classifier": op6_quality_classifier,
     "op9_simhash": op9_simhash,
 }
 
