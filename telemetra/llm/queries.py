@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import bpe, quality_classifier, quality_rules, simhash, toxicity
+from telemetra.llm import bpe, decontaminate, quality_classifier, quality_rules, simhash, toxicity
 from telemetra.llm.common import held_out, read_table
 from telemetra.session import materialize
 
@@ -36,6 +36,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, distance=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -49,8 +53,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_quality_classifier": op6_quality_classifier,
+    "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_decontamination": decontaminate.SQL.strip(),
+}
