@@ -112,8 +112,8 @@ SQL = r"""
 WITH split AS (
   SELECT 'd' AS kind, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL
   UNION ALL SELECT 'b', item_id, text FROM benchmark WHERE item_id IS NOT NULL),
-w AS (SELECT kind, id, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), x -> x <> '') AS ws FROM split),
-s AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1), i -> array_to_string(ws[i:i + 4], ' '))) AS shingle FROM w WHERE len(ws) > 0),
+w AS (SELECT kind, id, list_filter(string_split(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda x: x <> '') AS ws FROM split),
+s AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, greatest(len(ws) - 4, 1) + 1), lambda i: array_to_string(ws[i:i + 4], ' '))) AS shingle FROM w WHERE len(ws) > 0),
 n AS (SELECT id, count(*) AS n_shingles FROM s WHERE kind = 'b' GROUP BY id),
 c AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM s d JOIN s b ON d.kind = 'd' AND b.kind = 'b' AND d.shingle = b.shingle GROUP BY 1, 2)
 SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment

@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import bpe, decontaminate, quality_classifier, quality_rules, simhash, toxicity
+from telemetra.llm import bpe, decontaminate, licenses, quality_classifier, quality_rules, simhash, toxicity, url_filter
 from telemetra.llm.common import held_out, read_table
 from telemetra.session import materialize
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame([(k,) for k in url_filter.LISTED], "key string")
+    return url_filter.judge(read_table(spark, sf_dir, "pages"), listed)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -36,6 +41,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"), licenses.known_texts(spark))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -50,14 +59,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filters": op2_url_filters,
     "op4_bpe": op4_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_quality_classifier": op6_quality_classifier,
+    "op7_license_scans": op7_license_scans,
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_url_filters": url_filter.SQL.strip(),
+    "op7_license_scans": licenses.SQL.strip(),
     "op8_decontamination": decontaminate.SQL.strip(),
 }
