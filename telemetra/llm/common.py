@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +48,45 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 def held_out(mod: int, remainder: int):
     """True where crc32 of the id's decimal text leaves ``remainder``; null ids: false."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % mod == remainder, F.lit(False))
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered up to a bound."""
+
+    BOUND = 400_000
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > self.BOUND:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser (splitmix64) on unsigned numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def bit_filter(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A one-hash filter of ``bits`` bits (a power of two) over a column of hashes: tasks
+    give bit positions, Spark joins them by ``or``; the result has a fixed size."""
+    at = F.col(column).bitwiseAND(F.lit(bits - 1))
+    rows = df.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 AS INT))").alias("bit"))
+    found = rows.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(max(1, bits // 64), np.uint64)
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
+    return out
+
+
+def in_filter(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(len(words) * 64 - 1)
+    return (words[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def power_of_two(n: int, least: int, most: int) -> int:
+    return min(most, max(least, 1 << max(0, n - 1).bit_length()))

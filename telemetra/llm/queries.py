@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import bpe, decontaminate, licenses, quality_classifier, quality_rules, simhash, toxicity, url_filter
+from telemetra.llm import bpe, decontaminate, licenses, quality_classifier, quality_rules, simhash, substring_dedup, toxicity, url_filter
 from telemetra.llm.common import held_out, read_table
 from telemetra.session import materialize
 
@@ -18,6 +18,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages"), listed)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(read_table(spark, sf_dir, "documents"), window=50)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -60,6 +64,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filters": op2_url_filters,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_bpe": op4_bpe,
     "op5_toxicity": op5_toxicity,
     "op6_quality_classifier": op6_quality_classifier,
