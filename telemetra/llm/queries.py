@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import bpe, decontaminate, licenses, quality_classifier, quality_rules, simhash, substring_dedup, toxicity, url_filter
+from telemetra.llm import bpe, decontaminate, licenses, lm_scoring, quality_classifier, quality_rules, simhash, substring_dedup, toxicity, url_filter
 from telemetra.llm.common import held_out, read_table
 from telemetra.session import materialize
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out(5, 1)
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"), ~out).withColumn("held_out", out)
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = spark.createDataFrame([(k,) for k in url_filter.LISTED], "key string")
     return url_filter.judge(read_table(spark, sf_dir, "pages"), listed)
@@ -63,6 +68,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_url_filters": op2_url_filters,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_bpe": op4_bpe,
