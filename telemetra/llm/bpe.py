@@ -11,11 +11,14 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from telemetra.llm.common import doc_text, map_slices, texts_of
@@ -265,3 +268,28 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                 pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string()),
                 pa.array([hashlib.sha256(enc.bpe.decode(x)).hexdigest() for x in ids], pa.string())]
     return map_slices(doc_text(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def tokenized(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with n_tokens, ids and the digest of the decoded text in place of ``text``.
+
+    Same edge cases as ``encode``; the other columns pass through, but for any that have
+    one of the three names.
+    """
+    more = ["n_tokens", "ids", "decoded_sha256"]
+    keep = [c for c in docs.columns if c not in ("text", *more)]
+    rows = docs.select(F.col("text").cast("string").alias("text"), *keep)
+    schema = T.StructType([*rows.schema.fields[1:], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("decoded_sha256", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for b in batches:
+            for i in range(0, b.num_rows, 256):
+                part = b.slice(i, 256)
+                ids = enc.texts(texts_of(part))
+                yield pa.RecordBatch.from_arrays([
+                    *part.columns[1:], pa.array([len(x) for x in ids], pa.int64()), pa.array([x.view(np.int32) for x in ids], pa.list_(pa.int32())),
+                    pa.array([hashlib.sha256(enc.bpe.decode(x)).hexdigest() for x in ids], pa.string())], [*keep, *more])
+
+    return rows.mapInArrow(run, schema)

@@ -35,9 +35,14 @@ def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Trained without the rows that are held out."""
+    return toxicity.fit(docs.where(~held_out(5, 0)), toxic_labels(spark, sf_dir).where(~held_out(5, 0)))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, out = read_table(spark, sf_dir, "documents"), held_out(5, 0)
-    model = toxicity.fit(docs.where(~out), toxic_labels(spark, sf_dir).where(~out))
+    model = toxicity_model(spark, docs, sf_dir)
     return toxicity.score(docs, model).select(
         "doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
