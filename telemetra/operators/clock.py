@@ -2,8 +2,7 @@
 
 Every process is shifted by the default offset, override processes by their own offset.
 Overrides are either a short literal list (``isin``) or a ``(process_id, hours)`` table.
-The table is broadcast only after its row count is checked against a bound; a larger
-table goes through an ordinary shuffle join.
+The planner and adaptive execution choose the join by the table's bytes.
 """
 
 from __future__ import annotations
@@ -15,9 +14,6 @@ from telemetra.constants import ALT_HOURS_OFFSET, ALT_PROCESSES, HOURS_OFFSET
 from telemetra.functions.text import normalise_id
 from telemetra.functions.timefmt import shift_hours
 
-# Largest override table we broadcast (rows); each row is an id and an int.
-BROADCAST_ROW_BOUND = 1_000_000
-
 
 def offset_hours(df: DataFrame, overrides: DataFrame | list[str] | None = None,
                  process_col: str = "process_id", default_hours: int = HOURS_OFFSET,
@@ -33,8 +29,6 @@ def offset_hours(df: DataFrame, overrides: DataFrame | list[str] | None = None,
     ov = (overrides.select(normalise_id("process_id").alias("_ov_id"),
                            F.col("hours").cast("int").alias("_ov_h"))
                    .groupBy("_ov_id").agg(F.max("_ov_h").alias("_ov_h")))
-    if ov.count() <= BROADCAST_ROW_BOUND:
-        ov = F.broadcast(ov)
     out = df.withColumn("_ov_key", key).join(ov, F.col("_ov_key") == F.col("_ov_id"), "left")
     return (out.withColumn("offset_h", F.coalesce(F.col("_ov_h"), F.lit(default_hours)))
                .drop("_ov_key", "_ov_id", "_ov_h"))

@@ -9,12 +9,13 @@ window form (``row_number``) is kept for callers who need the losing rows too.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from telemetra.session import materialize
+from telemetra.session import materialize, release
 
 from telemetra.functions.timefmt import month_key
+from telemetra.operators.ledger import null_safe_join, running_total
 
 READINGS_KEY = ["company_id", "tag_id", "ts"]
 PROJECTIONS_KEY = ["company_id", "process_id", "tag_id", "ts"]
@@ -32,43 +33,25 @@ def replace_dedup(df: DataFrame, key: list[str], seq: str = "ingest_seq",
     return out.select(*cols)
 
 
-# Keys with more rows than this are ranked by the distributed prefix count; smaller keys by
-# a window (a window sorts one key inside one task, so its size must stay bounded).
-HOT_KEY_ROWS = 1_000_000
-
-
-def last_write_rank(df: DataFrame, key: list[str], seq: str = "ingest_seq",
-                    hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def last_write_rank(df: DataFrame, key: list[str], seq: str = "ingest_seq") -> DataFrame:
     """``rank_in_key`` = 1 for the winning row, 2.. for older duplicates.
 
-    Hot keys are split off first (per-key counts are a partial aggregate; the hot-key list
-    is at most rows/hot_rows long and broadcast): they are ranked by the distributed
-    per-key prefix count (``ledger.running_total`` with quantile buckets), so a key holding a
-    third of all rows is ranked by many tasks; every other key uses a plain window whose
-    group is bounded by ``hot_rows``. A non-numeric ``seq`` (e.g. a struct) uses the window.
+    One way for every key: the distributed prefix count of ``ledger.running_total`` in
+    descending order of ``seq`` itself (number, text or struct; null is the oldest), so a
+    key holding a third of all rows is ranked by many tasks.
     """
-    from telemetra.operators.ledger import running_total
-    w = Window.partitionBy(*key).orderBy(F.col(seq).desc())
-    if isinstance(df.schema[seq].dataType, (T.StructType, T.StringType)):
-        return df.withColumn("rank_in_key", F.row_number().over(w).cast("long"))
-    hot = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*key)
-    hot = F.broadcast(hot.transform(materialize))  # ≤ rows / hot_rows keys
-    cold = df.join(hot, key, "left_anti").withColumn("rank_in_key", F.row_number().over(w).cast("long"))
-    hot_rows_df = df.join(hot, key, "left_semi").withColumn("_one", F.lit(1).cast("long"))
-    if hot_rows_df.isEmpty():
-        return cold
-    ranked = running_total(hot_rows_df, seq, "_one", "rank_in_key", partition_cols=key, descending=True)
-    ranked = ranked.drop("_one").withColumn("rank_in_key", F.col("rank_in_key").cast("long"))
-    return cold.unionByName(ranked.select(*cold.columns))
+    ranked = running_total(df.withColumn("_one", F.lit(1).cast("long")), seq, "_one", "rank_in_key",
+                           partition_cols=key, descending=True)
+    return ranked.drop("_one").withColumn("rank_in_key", F.col("rank_in_key").cast("long"))
 
 
 def last_write_flag(df: DataFrame, key: list[str], seq: str = "ingest_seq") -> DataFrame:
     """W1, skew-safe: ``is_last`` marks the row that wins its key. The winning sequence per
     key is a partial-aggregated ``max`` (a hot key is reduced map-side) joined back on the
-    key (AQE splits a hot key on the big side; the per-key side is small)."""
+    key, null keys included (AQE splits a hot key on the big side; the per-key side is small)."""
     last = df.groupBy(*key).agg(F.max(seq).alias("_last"))
-    return (df.join(last, key, "left")
-              .withColumn("is_last", F.col(seq) == F.col("_last")).drop("_last"))
+    return (null_safe_join(df, last, key, "left")
+            .withColumn("is_last", F.col(seq).eqNullSafe(F.col("_last"))).drop("_last"))
 
 
 def touched_partitions(df: DataFrame, ts: str = "ts", company: str = "company_id") -> DataFrame:
@@ -99,27 +82,36 @@ def read_partitioned(spark: SparkSession, path: str, partition_cols=PARTITION_CO
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
+def touched_rows(table: DataFrame, touched: DataFrame) -> DataFrame:
+    """Rows of ``table`` in the touched (month, company_id) partitions, pruned at the scan.
+
+    The months' bounds are literals on the table and on the list, so other months are pruned
+    statically; the list side thereby carries a predicate, which is what makes the planner
+    prune the remaining partitions at run time (dynamic partition pruning).
+    """
+    pairs = touched.select("month", "company_id").distinct()
+    low, high = pairs.agg(F.min("month"), F.max("month")).first()
+    inside = F.col("month").between(F.lit(low), F.lit(high))
+    return table.where(inside).join(pairs.where(inside), ["month", "company_id"], "left_semi")
+
+
 def compact_touched(spark: SparkSession, table_path: str, touched: DataFrame, key: list[str],
                     seq: str = "ingest_seq") -> DataFrame:
     """Consolidate only the (month, company_id) partitions an import wrote.
 
-    Reads the partitioned parquet table restricted to the touched partitions (a semi-join on
-    partition columns → partition pruning at scan), dedups them, stages the result as a
+    Reads the touched partitions of the parquet table, dedups them, stages the result as a
     table under the checkpoint folder (the input and the output are the same folder, so
-    lineage must be cut) and rewrites them with dynamic partition overwrite. Partitions not touched are never read or
-    written. Returns the consolidated rows that were written.
+    lineage must be cut) and rewrites them with dynamic partition overwrite. Partitions not
+    touched are never read or written. The stage is deleted once the partitions are written.
+    Returns the consolidated rows as they are in the table.
     """
-    table = read_partitioned(spark, table_path)
-    part = table.join(F.broadcast(touched.select("month", "company_id").distinct()),
-                      ["month", "company_id"], "left_semi") \
-        if touched.count() <= 100_000 else \
-        table.join(touched.select("month", "company_id").distinct(), ["month", "company_id"], "left_semi")
-    merged = replace_dedup(part, key, seq, keep_seq=True)
+    merged = replace_dedup(touched_rows(read_partitioned(spark, table_path), touched), key, seq, keep_seq=True)
     merged = merged.transform(materialize)
     (merged.hint("rebalance", "month", "company_id")
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("month", "company_id").parquet(table_path))
-    return merged
+    release(merged)
+    return touched_rows(read_partitioned(spark, table_path), touched)
 
 
 def compact_table(spark: SparkSession, table_path: str, key: list[str], seq: str = "ingest_seq",
@@ -130,4 +122,5 @@ def compact_table(spark: SparkSession, table_path: str, key: list[str], seq: str
         return None
     merged = replace_dedup(spark.read.parquet(table_path), key, seq, keep_seq=True).transform(materialize)
     merged.write.mode("overwrite").parquet(table_path)
-    return merged
+    release(merged)
+    return spark.read.parquet(table_path)

@@ -19,8 +19,6 @@ from telemetra.functions.timefmt import midpoint, month_dash, month_series
 from telemetra.operators.clock import clock_shift
 from telemetra.operators.filters import drop_null_ids
 
-# Range tables are broadcast below this many rows (three small columns each).
-RANGE_BROADCAST_BOUND = 2_000_000
 
 
 def _lit_ts(now):
@@ -69,24 +67,34 @@ def difference_pending(candidates: DataFrame, done: DataFrame) -> DataFrame:
     return candidates.subtract(done)
 
 
+def _within(src: DataFrame, r: DataFrame) -> DataFrame:
+    """Rows of ``src`` (process_id, ts, ...) joined to the ranges (_rp, _rs, _re, ...) they
+    fall in. A range is listed once for each day it touches."""
+    low, high = r.agg(F.min("_rs"), F.max("_re")).first()
+    if low is not None:
+        src = src.where((F.col("ts") >= F.lit(low).cast("timestamp_ntz")) & (F.col("ts") < F.lit(high).cast("timestamp_ntz")))
+    last = F.col("_re").cast("timestamp_ntz") - F.expr("INTERVAL 0.000001 SECOND")
+    days = F.sequence(F.to_date("_rs"), F.greatest(F.to_date(last), F.to_date("_rs")))
+    by_day = r.where("_rs < _re").withColumn("_day", F.explode(days))
+    return src.join(by_day, (F.col("process_id") == F.col("_rp")) & (F.to_date("ts") == F.col("_day"))
+                    & (F.col("ts") >= F.col("_rs")) & (F.col("ts") < F.col("_re")), "inner").drop("_day")
+
+
 def scan_source_range(source: DataFrame, ranges: DataFrame, overrides=None,
                       col: str = "processId", ts: str = "timestamp", tag: str = "tagId") -> DataFrame:
     """S4 + P10 + P19: rows of each (process, [start, end)) range, renamed to
     ``ts, tag_id, value`` and shifted by the process's clock offset.
 
-    The range table joins on process id (equi-join) and the half-open ts condition is a
-    post-filter, so each source row meets only its own process's ranges. The range table is
-    broadcast below a checked size.
+    The outer bounds of all ranges are literals on ``ts``, so they reach the scan; the join
+    is on process and day, so a source row meets only the ranges of its process and day, and
+    the half-open condition is checked on those.
     """
     r = ranges.select(F.col("process_id").alias("_rp"), F.col("start").alias("_rs"),
                       F.col("end").alias("_re"), *[c for c in ranges.columns
                                                    if c not in ("process_id", "start", "end")])
-    small = r.count() <= RANGE_BROADCAST_BOUND
     src = source.select(F.col(col).cast("string").alias("process_id"), F.col(ts).alias("ts"),
                         F.col(tag).alias("tag_id"), F.col("value"))
-    joined = src.join(F.broadcast(r) if small else r,
-                      (F.col("process_id") == F.col("_rp")) & (F.col("ts") >= F.col("_rs"))
-                      & (F.col("ts") < F.col("_re")), "inner")
+    joined = _within(src, r)
     return clock_shift(joined.drop("_rp", "_rs", "_re"), overrides)
 
 
@@ -122,39 +130,34 @@ def _halving_counts(rows: DataFrame, levels: int) -> DataFrame:
 
 
 def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE_ROW_CAP,
-                         col: str = "processId", ts: str = "timestamp",
-                         max_levels: int = 64) -> DataFrame:
+                         col: str = "processId", ts: str = "timestamp") -> DataFrame:
     """T5 (re-aimed): halve every range holding more than ``cap`` rows until none does.
 
     Month ranges within the cap are final after one aggregate. Rows of over-cap ranges are
     projected to (process, month, ts) and staged once; each pass then computes 8 halving
     levels for those rows in one scan (see ``_halving_counts``), keeps as final every range
     with ≤ cap rows whose parent had more, and carries only the still-over-cap deepest
-    ranges (and their rows, via a broadcast semi-join on the small range table) into the
-    next pass. Row data is never rewritten per level. Returns
+    ranges (and their rows, via a join on the small range table) into the
+    next pass. Row data is never rewritten per level. A range of one microsecond cannot be
+    halved and is final whatever it holds. Returns
     ``(process_id, label, start, end, rows)`` for the non-empty final ranges; together they
     hold exactly the rows of the unsplit ranges.
     """
     r = ranges.select(F.col("process_id").alias("_rp"), F.col("start").alias("_rs"),
                       F.col("end").alias("_re"), F.col("label"))
-    rows = (source.select(F.col(col).cast("string").alias("process_id"), F.col(ts).alias("ts"))
-                  .join(F.broadcast(r) if r.count() <= RANGE_BROADCAST_BOUND else r,
-                        (F.col("process_id") == F.col("_rp")) & (F.col("ts") >= F.col("_rs"))
-                        & (F.col("ts") < F.col("_re")), "inner")
-                  .select("process_id", "label", "ts", F.col("_rs").alias("start"), F.col("_re").alias("end")))
+    rows = _within(source.select(F.col(col).cast("string").alias("process_id"), F.col(ts).alias("ts")), r).select(
+        "process_id", "label", "ts", F.col("_rs").alias("start"), F.col("_re").alias("end"))
     key = ["process_id", "label", "start", "end"]
     counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).transform(materialize)
     final = counts.where(F.col("rows") <= cap)
     over = counts.where(F.col("rows") > cap).select(*key)
     if over.isEmpty():
         return final
-    n_over = over.count()
     # rows of the over-cap months, staged once: (process, month, ts in micros, month bounds)
-    live = (rows.join(F.broadcast(over) if n_over <= RANGE_BROADCAST_BOUND else over, key, "left_semi")
+    live = (rows.join(over, key, "left_semi")
                 .select("process_id", "label", _us(F.col("ts")).alias("_t"),
                         _us(F.col("start")).alias("_s0"), _us(F.col("end")).alias("_e0"))
                 .transform(materialize))
-    done_levels = 0
     stages = [counts]
     while True:
         c = _halving_counts(live, LEVELS_PER_PASS).transform(materialize)
@@ -169,17 +172,16 @@ def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE
             "process_id", "label", _ts_from_us(F.col("s")).alias("start"),
             _ts_from_us(F.col("e")).alias("end"), "rows")
         final = final.unionByName(leaves)
-        still = cand.where((F.col("d") == LEVELS_PER_PASS) & (F.col("rows") > cap)) \
-                    .select("process_id", "label", F.col("s").alias("_s0"), F.col("e").alias("_e0"))
-        done_levels += LEVELS_PER_PASS
+        deepest = cand.where((F.col("d") == LEVELS_PER_PASS) & (F.col("rows") > cap))
+        final = final.unionByName(deepest.where("e - s <= 1").select(
+            "process_id", "label", _ts_from_us(F.col("s")).alias("start"),
+            _ts_from_us(F.col("e")).alias("end"), "rows"))
+        still = deepest.where("e - s > 1").select("process_id", "label", F.col("s").alias("_s0"), F.col("e").alias("_e0"))
         if still.isEmpty():
             out = final.transform(materialize)
             release(live, *stages)   # row and count stages are not read by the result
             return out
-        if done_levels >= max_levels:
-            raise RuntimeError(f"ranges still above {cap} rows after {done_levels} halvings")
-        n_still = still.count()
-        s_b = F.broadcast(still) if n_still <= RANGE_BROADCAST_BOUND else still
+        s_b = still
         prev = live
         live = (live.select("process_id", "label", "_t")
                     .join(s_b, (live["process_id"] == s_b["process_id"]) & (live["label"] == s_b["label"])

@@ -7,10 +7,8 @@ from pyspark.sql import functions as F
 
 from telemetra.functions.timefmt import month_key
 
-# Tag lists longer than this become a broadcast semi-join instead of an IN list.
+# Tag lists longer than this become a semi-join instead of an IN list.
 IN_LIST_MAX = 500
-# Largest tag list broadcast as a table (rows of one string each).
-TAG_BROADCAST_BOUND = 5_000_000
 
 
 def _ts(v):
@@ -44,20 +42,18 @@ def last_n_days(df: DataFrame, now, days: int, ts: str = "ts") -> DataFrame:
 
 def tag_in_list(df: DataFrame, tags, col: str = "tag_id") -> DataFrame:
     """Optional tag restriction. ``None``/empty = all tags. A long list (or a DataFrame
-    of tags) becomes a semi-join; the tag table is broadcast only under a checked bound."""
+    of tags) becomes a semi-join, whose strategy the planner picks by the table's bytes."""
     if tags is None:
         return df
     if isinstance(tags, DataFrame):
-        t = tags.select(F.col(tags.columns[0]).alias(col)).distinct()
-        small = t.count() <= TAG_BROADCAST_BOUND
-        return df.join(F.broadcast(t) if small else t, col, "left_semi")
+        return df.join(tags.select(F.col(tags.columns[0]).alias(col)).distinct(), col, "left_semi")
     tags = list(tags)
     if not tags:
         return df
     if len(tags) <= IN_LIST_MAX:
         return df.where(F.col(col).isin(*tags))
     t = df.sparkSession.createDataFrame([(x,) for x in sorted(set(tags))], [col])
-    return df.join(F.broadcast(t), col, "left_semi")
+    return df.join(t, col, "left_semi")
 
 
 def active_of_type(df: DataFrame, config_type: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetra.functions.numbers import safe_rate
+from telemetra.session import materialize
 
 IMPORT_LEDGER = T.StructType([
     T.StructField("file", T.StringType()), T.StructField("read", T.LongType()),
@@ -40,12 +41,6 @@ def import_totals(ledger: DataFrame) -> DataFrame:
                        F.count("file").alias("files")))
 
 
-def export_totals(ledger: DataFrame) -> DataFrame:
-    """A3 for the export ledger: rows per file and in total."""
-    return (ledger.rollup("file").agg(F.sum("rows").cast("long").alias("rows"),
-                                      F.count("file").alias("files")))
-
-
 def run_totals(run: DataFrame, failed: DataFrame | None = None) -> DataFrame:
     """Files, read, inserted, discarded of one run, and the number of failed files."""
     nfail = failed.count() if failed is not None else 0  # one number (files that failed)
@@ -55,38 +50,39 @@ def run_totals(run: DataFrame, failed: DataFrame | None = None) -> DataFrame:
                    F.lit(nfail).cast("long").alias("failed_files"))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet; the right side's keys are dropped."""
+    keys = list(keys)
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(right, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def running_total(df: DataFrame, order_col: str, value_col: str, out_col: str = "running",
-                  buckets: int = 64, seconds_col: str | None = None, partition_cols=(),
-                  descending: bool = False) -> DataFrame:
-    """Cumulative sum of ``value_col`` in ``order_col`` order (rows up to the current),
-    optionally restarting per ``partition_cols`` group.
-
-    Distributed prefix sum, no single-task window even when one group holds a third of all
-    rows: rows are cut into ``buckets`` ranges by approximate quantiles of the (numeric)
-    order column, each (group, bucket) total is offset by the totals of the group's earlier
-    buckets (a small table: at most groups × buckets rows), and the running sum inside a
-    (group, bucket) is a window over that slice only. With ``seconds_col`` also the
-    cumulative rate (F19).
+                  seconds_col: str | None = None, partition_cols=(), descending: bool = False) -> DataFrame:
+    """Cumulative sum of ``value_col`` in ``order_col`` order (rows up to the current;
+    nulls last, ties in input order), optionally restarting per ``partition_cols`` group.
+
+    Distributed prefix sum on the column's own order, whatever its type: rows are range
+    partitioned by (group, order, position), so one group that holds a third of all rows is
+    cut over many slices, tied rows included; each (group, slice) total is offset by the
+    totals of the group's earlier slices, and the running sum inside a slice is a window
+    over that slice only. With ``seconds_col`` also the cumulative rate (F19).
     """
     parts = list(partition_cols)
-    o = F.col(order_col).cast("double")
-    tagged = df.withColumn("_o", -o if descending else o)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(tagged.approxQuantile("_o", probs, 0.001))) if buckets > 1 else []
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else None
-    b = F.size(F.filter(arr, lambda x: x < F.col("_o"))) if bounds else F.lit(0)
-    tagged = tagged.withColumn("_bucket", b)
+    order = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
+    tagged = df.withColumn("_tie", F.monotonically_increasing_id())
+    tagged = tagged.repartitionByRange(*parts, order, "_tie").withColumn("_slice", F.spark_partition_id())
+    tagged = materialize(tagged, "slices")  # the slices are read twice and must not move in between
     cols = [value_col] + ([seconds_col] if seconds_col else [])
-    totals = tagged.groupBy(*parts, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    wb = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*parts, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}")
-                                                 for c in cols])
-    if not parts:
-        offsets = F.broadcast(offsets)  # at most `buckets` rows
-    w = Window.partitionBy(*parts, "_bucket").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
-    out = tagged.join(offsets, [*parts, "_bucket"], "left")
+    totals = tagged.groupBy(*parts, "_slice").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    wb = Window.partitionBy(*parts).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*parts, "_slice", *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}")
+                                                for c in cols])
+    w = Window.partitionBy(*parts, "_slice").orderBy(order, "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    out = null_safe_join(tagged, offsets, [*parts, "_slice"], "left")
     out = out.withColumn(out_col, (F.sum(value_col).over(w) + F.col(f"_o_{value_col}")))
     if seconds_col:
         out = out.withColumn("_cum_s", F.sum(seconds_col).over(w) + F.col(f"_o_{seconds_col}"))
         out = out.withColumn("rate", safe_rate(F.col(out_col), F.col("_cum_s"))).drop("_cum_s")
-    return out.drop("_bucket", "_o", *[f"_o_{c}" for c in cols])
+    return out.drop("_slice", "_tie", *[f"_o_{c}" for c in cols])

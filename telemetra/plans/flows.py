@@ -25,7 +25,7 @@ from telemetra.constants import MAX_PAST_HOURS, READINGS_COLUMNS
 from telemetra.functions.text import export_file_name, period_label
 from telemetra.functions.timefmt import parse_period_bound, period_error
 from telemetra.operators import dedup, hierarchy, reshape, typed_json, validate
-from telemetra.operators.ledger import EXPORT_LEDGER, run_totals, upsert_by_key
+from telemetra.operators.ledger import EXPORT_LEDGER, run_totals
 from telemetra.sources import incremental as inc
 from telemetra.sources.csv_readings import scan_readings_csv
 from telemetra.sources.tables import scan_active_configs, scan_readings_slice, sink_append, sink_wide_csv
@@ -79,8 +79,7 @@ def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, led
     marked = validate.annotate(rows, now, max_past_hours).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         failed = inc.failed_files(marked).persist(StorageLevel.MEMORY_AND_DISK)
-        good = marked.join(F.broadcast(failed), "file", "left_anti") if failed.count() <= 1_000_000 \
-            else marked.join(failed, "file", "left_anti")
+        good = marked.join(failed, "file", "left_anti")
         valid = (good.where(F.col("reason").isNull())
                      .withColumn("company_id", F.lit(company_id))
                      .withColumn("ingest_seq", F.struct(F.lit(run_id).cast("long").alias("run"),
@@ -187,10 +186,6 @@ def backfill_units(configs: DataFrame, process: DataFrame, config_type: str,
     return outcomes, counts
 
 
-def upsert(old: DataFrame, new: DataFrame) -> DataFrame:
-    return upsert_by_key(old, new)
-
-
 def export_entries(readings: DataFrame, requests: DataFrame, now) -> DataFrame:
     """S14 set-at-a-time: for each export request ``(company_id, date_ini, date_end)`` the
     ledger entry ``(file, company, period, rows, elapsed)``, where rows = wide rows
@@ -205,7 +200,7 @@ def export_entries(readings: DataFrame, requests: DataFrame, now) -> DataFrame:
                                 dedup.READINGS_KEY, "ingest_seq")
     ts = cells.where(F.col("value").isNotNull()).select("company_id", "ts").distinct()
     req = req.select(F.col("company_id").alias("r_company"), "s", "e")
-    matched = ts.join(F.broadcast(req) if requests.count() <= 100_000 else req,
+    matched = ts.join(req,
                       (F.col("company_id") == F.col("r_company")) & (F.col("ts") >= F.col("s"))
                       & (F.col("ts") <= F.col("e")))
     rows = matched.groupBy("company_id", "s", "e").agg(F.count(F.lit(1)).alias("rows"))

@@ -67,7 +67,7 @@ def test_upsert_and_totals(spark):
 
 def test_running_total_is_exact(spark):
     df = spark.range(0, 5000).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("x"))
-    got = {r.seq: r.running for r in running_total(df, "seq", "x", buckets=16).collect()}
+    got = {r.seq: r.running for r in running_total(df, "seq", "x").collect()}
     acc, want = 0, {}
     for i in range(5000):
         acc += i % 3
@@ -80,7 +80,7 @@ def test_running_total_per_group_and_rank(spark):
     # one hot group holding most rows, plus small groups
     rows = [("hot", i) for i in range(3000)] + [(f"g{i % 7}", 10_000 + i) for i in range(200)]
     df = spark.createDataFrame(rows, "k string, seq long")
-    got = {(r.k, r.seq): r.rank_in_key for r in last_write_rank(df, ["k"], "seq", hot_rows=1000).collect()}
+    got = {(r.k, r.seq): r.rank_in_key for r in last_write_rank(df, ["k"], "seq").collect()}
     want = {}
     by = {}
     for k, s in rows:
@@ -103,3 +103,25 @@ def test_adaptive_split_deep_multi_pass(spark):
     got = sorted((r.start, r.end, r.rows) for r in ex.adaptive_range_split(src, ranges, cap=5).collect())
     want = sorted(_brute_split(ts, datetime(2024, 1, 1), datetime(2024, 2, 1), 5))
     assert got == want and sum(r[2] for r in got) == len(ts)
+
+
+def test_range_of_equal_timestamps_is_final(spark):
+    """A range that cannot be halved ends the splitting instead of failing the run."""
+    from telemetra.operators.extract import adaptive_range_split
+    src = spark.range(60).selectExpr("'p' AS processId", "TIMESTAMP_NTZ'2024-01-10 01:02:03' + make_interval(0,0,0,0,0,0,IF(id < 50, 0, id)) AS timestamp")
+    ranges = spark.sql("SELECT 'p' AS process_id, '2024-01' AS label, TIMESTAMP_NTZ'2024-01-01' AS start, TIMESTAMP_NTZ'2024-02-01' AS end")
+    got = adaptive_range_split(src, ranges, cap=40).collect()
+    assert sum(r.rows for r in got) == 60 and max(r.rows for r in got) == 50
+    assert sum(r.rows > 40 for r in got) == 1
+
+
+def test_source_scan_pushes_both_bounds(spark, tmp_path):
+    from telemetra.operators.extract import scan_source_range
+    path = str(tmp_path / "src")
+    spark.range(100).selectExpr("'p' AS processId", "TIMESTAMP_NTZ'2024-01-01' + make_interval(0,0,0,cast(id AS int)) AS timestamp",
+                                "'t' AS tagId", "1.0D AS value").write.parquet(path)
+    ranges = spark.sql("SELECT 'p' AS process_id, TIMESTAMP_NTZ'2024-02-01' AS start, TIMESTAMP_NTZ'2024-03-01 12:00:00' AS end")
+    out = scan_source_range(spark.read.parquet(path), ranges)
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    assert "GreaterThanOrEqual(timestamp" in plan and "LessThan(timestamp" in plan
+    assert out.count() == 30

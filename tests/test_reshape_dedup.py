@@ -77,3 +77,43 @@ def test_compaction_keeps_numeric_looking_company_ids(spark):
     dedup.compact_touched(spark, path, dedup.touched_partitions(df), ["company_id", "tag_id", "ts"])
     back = dedup.read_partitioned(spark, path).collect()
     assert [(r.company_id, r.month, r.value) for r in back] == [("0123", "202401", 2.0)]
+
+
+def test_rank_is_one_algorithm_on_the_native_order(spark):
+    """Nulls are oldest, BIGINT beyond 2**53 stays exact, null keys rank, one key holds most rows."""
+    big = 2 ** 53
+    rows = [("k", None), ("k", 5), ("k", big), ("k", big + 1), (None, 1), (None, 2)] + [("hot", i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, seq long")
+    got = {(r.k, r.seq): r.rank_in_key for r in dedup.last_write_rank(df, ["k"], "seq").collect()}
+    assert [got["k", s] for s in (big + 1, big, 5, None)] == [1, 2, 3, 4]
+    assert got[None, 2] == 1 and got[None, 1] == 2
+    assert all(got["hot", i] == 2000 - i for i in range(2000))
+
+
+def test_rank_orders_structs_and_splits_ties(spark):
+    df = spark.range(1000).selectExpr("'k' AS k", "id", "struct(id % 10 AS run, cast(id AS string) AS file) AS seq")
+    ranks = {r.id: r.rank_in_key for r in dedup.last_write_rank(df, ["k"], "seq").collect()}
+    order = sorted(range(1000), key=lambda i: (i % 10, str(i)), reverse=True)
+    assert [ranks[i] for i in order] == list(range(1, 1001))
+    tied = df.selectExpr("k", "id", "1 AS seq")
+    assert sorted(r.rank_in_key for r in dedup.last_write_rank(tied, ["k"], "seq").collect()) == list(range(1, 1001))
+
+
+def test_last_write_flag_with_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3), ("a", None)], "k string, seq long")
+    got = {(r.k, r.seq): r.is_last for r in dedup.last_write_flag(df, ["k"], "seq").collect()}
+    assert got == {(None, 1): False, (None, 2): True, ("a", 3): True, ("a", None): False}
+
+
+def test_touched_rows_are_pruned_at_the_scan(spark, tmp_path):
+    from telemetra.session import materialize
+    path = str(tmp_path / "table")
+    df = spark.range(60).selectExpr("id AS v", "date_format(add_months(DATE'2024-01-01', cast(id % 6 AS int)), 'yyyyMM') AS month",
+                                    "concat('c', id % 3) AS company_id")
+    df.write.partitionBy("month", "company_id").parquet(path)
+    touched = materialize(df.where("month IN ('202402', '202403') AND company_id = 'c1'").select("month", "company_id").distinct())
+    rows = dedup.touched_rows(dedup.read_partitioned(spark, path), touched)
+    plan = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
+    filters = [x for x in plan.splitlines() if "PartitionFilters" in x]
+    assert any("month" in x and ">= 2024" in x and "dynamicpruning" in x for x in filters), plan
+    assert {(r.month, r.company_id) for r in rows.collect()} == {(r.month, r.company_id) for r in touched.collect()}
