@@ -71,11 +71,6 @@ def project_rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(src).alias(dst) for src, dst in mapping.items()])
 
 
-def target_columns(df: DataFrame, cols: list[str]) -> DataFrame:
-    """P20: target columns in order; anything else (transient process_id, model) is dropped."""
-    return df.select(*cols)
-
-
 def changed(resolved: str = "resolved_unit_id", stored: str = "unit_id"):
     """Stored value differs from the resolved one (NULL counts as different)."""
     return ~F.col(stored).eqNullSafe(F.col(resolved))

@@ -15,8 +15,3 @@ def concat_chunks(chunks: list[DataFrame]) -> DataFrame:
 def glob_union(a: DataFrame, b: DataFrame) -> DataFrame:
     """Set union of two listings."""
     return a.unionByName(b).distinct()
-
-
-def difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows of ``a`` not in ``b`` (set semantics)."""
-    return a.subtract(b)

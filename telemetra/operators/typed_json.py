@@ -65,11 +65,18 @@ def parse_items(lines: DataFrame, value_col: str = "value") -> DataFrame:
     bare = F.from_json(v, ITEM_DDL)
     wrapped = F.from_json(v, WRAPPED_DDL)["Item"]
     item = F.when(F.instr(v, '"Item"') > 0, F.coalesce(wrapped, bare)).otherwise(bare)
+    parsed = lines.where(F.trim(v) != "").select("*", F.inline(F.array(F.struct(item.alias("_parsed")))))
     # The parsed map is produced by a one-row generator: later filters and projections
     # then refer to it as a column instead of inlining (re-running) from_json per use.
-    return (lines.where(F.trim(v) != "")
-                 .select("*", F.inline(F.array(F.struct(item.alias("item")))))
-                 .withColumn("malformed", F.col("item").isNull()))
+    return (parsed.select("*", F.inline(F.array(F.struct(_last_keys(F.col("_parsed")).alias("item"))))).drop("_parsed")
+                  .withColumn("malformed", F.col("item").isNull()))
+
+
+def _last_keys(item: Column) -> Column:
+    """A JSON object that repeats a key keeps the last value, as JSON readers do."""
+    keys, n = F.map_keys(item), F.size(item)
+    last = F.filter(F.map_entries(item), lambda e, i: ~F.array_contains(F.slice(keys, i + 2, n), e["key"]))
+    return F.when(F.size(F.array_distinct(keys)) < n, F.map_from_entries(last)).otherwise(item)
 
 
 def _get(key: str) -> Column:
@@ -109,14 +116,16 @@ def long_row() -> Column:
 
 def _rows(items: DataFrame, default_company: str, dispatch: bool) -> DataFrame:
     required = attr_str(_get("process_id")).isNotNull() & raw_ts().isNotNull()       # P2
+    dated = parse_utc(raw_ts()).isNotNull()
     shaped = (F.when(_has("tag_id") & _has("value"), long_row()).otherwise(tag_rows())
               if dispatch else tag_rows())                                            # P16
     return (items
-            .withColumn("rows", F.when(~F.col("malformed") & required, shaped)
+            .withColumn("rows", F.when(~F.col("malformed") & required & dated, shaped)
                                  .otherwise(F.array().cast(ROWS_TYPE)))
             .withColumn("process_id", attr_str(_get("process_id")))
             .withColumn("company_id", company(default_company))
             .withColumn("ts_text", raw_ts())
+            .withColumn("bad_ts", F.coalesce(~F.col("malformed") & required & ~dated, F.lit(False)))
             .withColumn("n_rows", F.size("rows")))
 
 
@@ -126,7 +135,7 @@ def item_rows(items: DataFrame, default_company: str, dispatch: bool = True) ->
 
 
 def explode_rows(per_item: DataFrame) -> DataFrame:
-    """One output row per (item, numeric tag); ts parsed to UTC (quarantine NULLs later)."""
+    """One output row per (item, numeric tag); ts parsed to UTC."""
     return (per_item
                     .select("file", "pos", "company_id", "process_id", "ts_text",
                             F.explode("rows").alias("r"))
@@ -140,9 +149,14 @@ def projections(lines: DataFrame, default_company: str, overrides=None,
     """Projections flow: parse → dispatch long/wide → explode → shift.
 
     Output columns: company_id, process_id, tag_id, value, ts (+ file, pos if keep_source).
-    Rows whose ts text does not parse are dropped here; see ``unparsable_ts`` to audit them.
+    Items whose ts text does not parse give no rows; ``quarantine`` keeps their lines.
     """
-    rows = explode_rows(item_rows(parse_items(lines), default_company, dispatch=True))
+    return projection_rows(item_rows(parse_items(lines), default_company, dispatch=True), overrides, keep_source)
+
+
+def projection_rows(per_item: DataFrame, overrides=None, keep_source: bool = False) -> DataFrame:
+    """The rows of items that are parsed already."""
+    rows = explode_rows(per_item)
     out = clock_shift(rows.where(F.col("ts").isNotNull()), overrides)
     cols = PROJECTIONS_COLUMNS + (["file", "pos"] if keep_source else [])
     return out.select(*cols)
@@ -151,7 +165,12 @@ def projections(lines: DataFrame, default_company: str, overrides=None,
 def variables(lines: DataFrame, company_id: str, overrides=None, keep_source: bool = False) -> DataFrame:
     """Variables flow: like projections, but no long dispatch, company always the configured
     one and process_id used only for the shift, then dropped (P20)."""
-    rows = explode_rows(item_rows(parse_items(lines), company_id, dispatch=False))
+    return variable_rows(item_rows(parse_items(lines), company_id, dispatch=False), company_id, overrides, keep_source)
+
+
+def variable_rows(per_item: DataFrame, company_id: str, overrides=None, keep_source: bool = False) -> DataFrame:
+    """The rows of items that are parsed already."""
+    rows = explode_rows(per_item)
     out = (clock_shift(rows.where(F.col("ts").isNotNull()), overrides)
            .withColumn("company_id", F.lit(company_id)))
     cols = READINGS_COLUMNS + (["file", "pos"] if keep_source else [])
@@ -165,7 +184,9 @@ def prediction_items(lines: DataFrame, default_company: str) -> DataFrame:
     required = (attr_str(_get("process_id")).isNotNull() & attr_str(_get("timestamp")).isNotNull()
                 & attr_str(_get("index")).isNotNull() & attr_str(_get("threshold")).isNotNull())
     return (items.withColumn("index", idx).withColumn("threshold", thr)
-                 .withColumn("valid", ~F.col("malformed") & required
+                 .withColumn("bad_ts", F.coalesce(~F.col("malformed") & required
+                                                  & parse_utc(attr_str(_get("timestamp"))).isNull(), F.lit(False)))
+                 .withColumn("valid", ~F.col("malformed") & required & ~F.col("bad_ts")
                              & F.col("index").isNotNull() & F.col("threshold").isNotNull())
                  .withColumn("process_id", attr_str(_get("process_id")))
                  .withColumn("company_id", company(default_company))
@@ -175,16 +196,23 @@ def prediction_items(lines: DataFrame, default_company: str) -> DataFrame:
 def predictions(lines: DataFrame, default_company: str, overrides=None,
                 keep_source: bool = False) -> DataFrame:
     """Predictions flow: one row per valid item with two measures, shifted."""
-    per_item = prediction_items(lines, default_company)
+    return prediction_rows(prediction_items(lines, default_company), overrides, keep_source)
+
+
+def prediction_rows(per_item: DataFrame, overrides=None, keep_source: bool = False) -> DataFrame:
+    """The rows of items that are parsed already."""
     rows = (per_item.where("valid").withColumn("ts", parse_utc(F.col("ts_text")))
                     .where(F.col("ts").isNotNull()))
     cols = PREDICTIONS_COLUMNS + (["file", "pos"] if keep_source else [])
     return clock_shift(rows, overrides).select(*cols)
 
 
-def unparsable_ts(per_item: DataFrame) -> DataFrame:
-    """Quarantine: items that yield rows but whose ts text is not a timestamp."""
-    return per_item.where((F.col("n_rows") > 0) & parse_utc(F.col("ts_text")).isNull())
+def quarantine(per_item: DataFrame, value_col: str = "value") -> DataFrame:
+    """(file, pos, line, reason) of the lines that can never become rows: not a JSON
+    object (``malformed``) or a timestamp that is none (``bad_ts``)."""
+    reason = F.when(F.col("malformed"), "malformed").when(F.col("bad_ts"), "bad_ts")
+    return (per_item.withColumn("reason", reason).where("reason IS NOT NULL")
+                    .select("file", "pos", F.col(value_col).alias("line"), "reason"))
 
 
 def per_file_stats(per_item: DataFrame, rows_mode: bool = True) -> DataFrame:

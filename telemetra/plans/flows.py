@@ -29,7 +29,7 @@ from telemetra.operators.ledger import EXPORT_LEDGER, run_totals
 from telemetra.sources import incremental as inc
 from telemetra.sources.csv_readings import scan_readings_csv
 from telemetra.sources.tables import scan_active_configs, scan_readings_slice, sink_append, sink_wide_csv
-from telemetra.sources.typed_json_files import read_lines, spread_lines
+from telemetra.sources.typed_json_files import read_lines
 
 READINGS_TABLE_SCHEMA = ("company_id STRING, tag_id STRING, value DOUBLE, ts TIMESTAMP_NTZ, "
                          "ingest_seq STRUCT<run: BIGINT, process: STRING, month: STRING, part: INT, pos: BIGINT>, "
@@ -64,7 +64,7 @@ def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, led
     ledger stays the record of what is done, so a failed move only leaves a file in place.
     """
     session.configure(spark)
-    run_id = int(time.time()) if run_id is None else run_id
+    run_id = inc.next_run(spark, f"{table_path}_runs") if run_id is None else run_id
     t0 = time.time()
     old = inc.read_ledger(spark, ledger_path)
     pend = inc.pending_files(inc.list_files(spark, dump_dir, "*.csv"), old)
@@ -114,34 +114,76 @@ def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, led
         marked.unpersist()
 
 
+def parsed_items(lines: DataFrame, flow: str, default_company: str) -> DataFrame:
+    """Items of one of the three typed-JSON flows, parsed once for rows, counts and quarantine."""
+    if flow == "predictions":
+        return typed_json.prediction_items(lines, default_company)
+    return typed_json.item_rows(typed_json.parse_items(lines), default_company, dispatch=(flow == "projections"))
+
+
+def item_table(items: DataFrame, flow: str, default_company: str, overrides, seq) -> DataFrame:
+    """The rows of parsed items with their ``ingest_seq``."""
+    if flow == "predictions":
+        rows = typed_json.prediction_rows(items, overrides, keep_source=True)
+    elif flow == "projections":
+        rows = typed_json.projection_rows(items, overrides, keep_source=True)
+    else:
+        rows = typed_json.variable_rows(items, default_company, overrides, keep_source=True)
+    return rows.withColumn("ingest_seq", seq).drop("file", "pos")
+
+
+def json_ledger(items: DataFrame, flow: str, elapsed: float) -> DataFrame:
+    """Ledger entries of parsed items: what was read, written and discarded, by file.
+    ``elapsed`` is the batch's time, as its files are read together."""
+    stats = typed_json.per_file_stats(items, rows_mode=(flow != "predictions"))
+    return stats.select("file", "read", F.col("accepted").alias("inserted"), "discarded", F.lit(elapsed).alias("elapsed"))
+
+
 def import_typed_json(spark: SparkSession, dump_dir: str, table_path: str | None, flow: str,
                       default_company: str, overrides=None, limit_per_file: int | None = None,
-                      seq_run: int = 0, dry_run: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Typed-JSON batch import (S1, S2, P1…P18, R1, W3, A2, S9): returns (rows, per-file stats).
-
+                      dry_run: bool = False, ledger_path: str | None = None,
+                      compact: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Typed-JSON batch import (S1, S2, S12, P1…P18, R1, W3, A2, S9, S13, A9, A13): returns
+    (rows, per-file stats).
+
+    With ``ledger_path`` only files that the ledger does not have are read, and their
+    entries are upserted. Lines that never become rows go to ``<table>_quarantine``. The
+    touched partitions are consolidated (predictions: the whole table, as it has none).
     ``dry_run`` (S16) writes nothing and returns the first 5 rows (by ts, process, tag) and
     the per-file counts instead."""
     from telemetra.sources.typed_json_files import limit_per_file as _limit
     session.configure(spark)
+    t0 = time.time()
     lines = read_lines(spark, dump_dir)
+    old = inc.read_ledger(spark, ledger_path) if ledger_path else None
+    if old is not None:
+        lines = lines.join(old.select("file"), "file", "left_anti")
     if limit_per_file is not None:
         lines = _limit(lines, limit_per_file).drop("line_no")
-    lines = spread_lines(lines.drop("block"))
-    if flow == "predictions":
-        stats = typed_json.per_file_stats(typed_json.prediction_items(lines, default_company), rows_mode=False)
-        rows = typed_json.predictions(lines, default_company, overrides, keep_source=True)
-    else:
-        per_item = typed_json.item_rows(typed_json.parse_items(lines), default_company,
-                                        dispatch=(flow == "projections"))
-        stats = typed_json.per_file_stats(per_item)
-        build = typed_json.projections if flow == "projections" else typed_json.variables
-        rows = build(lines, default_company, overrides, keep_source=True)
-    rows = rows.withColumn("ingest_seq", F.struct(F.lit(seq_run).cast("long").alias("run"), F.col("file"),
-                                                  F.col("pos"))).drop("file", "pos")
+    lines = lines.drop("block")
     if dry_run:
+        items = parsed_items(lines, flow, default_company)
+        rows = item_table(items, flow, default_company, overrides, inc.json_seq(0)).drop("ingest_seq")
         order = ["ts", "process_id"] + (["tag_id"] if flow == "projections" else [])
-        return rows.drop("ingest_seq").orderBy(*[c for c in order if c in rows.columns]).limit(5), stats
+        stats = typed_json.per_file_stats(items, rows_mode=(flow != "predictions"))
+        return rows.orderBy(*[c for c in order if c in rows.columns]).limit(5), stats
+    items = materialize(parsed_items(lines, flow, default_company), "items")
+    rows = item_table(items, flow, default_company, overrides, inc.json_seq(inc.next_run(spark, f"{table_path}_runs")))
+    stats = typed_json.per_file_stats(items, rows_mode=(flow != "predictions"))
+    if stats.isEmpty():
+        return rows, stats
     sink_append(rows, table_path, partitioned=(flow != "predictions"))
+    typed_json.quarantine(items).write.mode("append").parquet(f"{table_path}_quarantine")
+    if compact and flow == "predictions":
+        dedup.compact_table(spark, table_path, dedup.PREDICTIONS_KEY)
+    elif compact:
+        key = dedup.PROJECTIONS_KEY if flow == "projections" else dedup.READINGS_KEY
+        touched = dedup.touched_partitions(rows).transform(materialize)
+        if not touched.isEmpty():
+            dedup.compact_touched(spark, table_path, touched, key)
+        session.release(touched)
+    if ledger_path:
+        session.release(inc.write_ledger(spark, ledger_path, old, json_ledger(items, flow, time.time() - t0)))
     return rows, stats
 
 

@@ -9,20 +9,21 @@ from pyspark.sql import functions as F
 from telemetra import session
 from telemetra.constants import EXPORT_TS_COLUMN
 from telemetra.operators import dedup, reshape, typed_json as tj, validate
-from telemetra.operators.clock import clock_shift
+from telemetra.operators.clock import clock_shift, offset_hours
 from telemetra.operators.ledger import import_totals, upsert_by_key
 from telemetra.plans import flows, roles
 from telemetra.plans.registry import register, with_ctes
 from telemetra.sources.csv_readings import scan_readings_csv
 from telemetra.sources.incremental import read_ledger, write_ledger
 from telemetra.sources.tables import read_wide_csv, sink_append, sink_wide_csv
-from telemetra.sources.typed_json_files import discover_files, limit_per_file, read_lines, spread_lines, write_lines
+from telemetra.sources.typed_json_files import discover_files, limit_per_file, read_lines, write_lines
 from telemetra.streaming.file_stream import stream_import
 
 R, M, TI, PR = roles.SQL_EVENTS_READINGS, roles.SQL_REASON, roles.SQL_TYPED_ITEMS, roles.SQL_PROJ_ROWS
 OR = roles.SQL_ORDERS_READINGS
 NOW, H, C = roles.NOW, roles.MAX_PAST_H, roles.COMPANY
-FIRST_TYPES = ["click", "error", "view"]
+#: Event types that sort below this are the first of two imports, the others the second.
+SECOND_FROM = "m"
 
 
 # --- fixtures written by the queries ---------------------------------------------------
@@ -32,10 +33,11 @@ def _event_type_of(path_col):
 
 
 def write_event_csvs(spark, sf, dump: str, types=None, bad_ts: bool = False) -> None:
-    """Events-as-readings as interchange CSV, one file per event type (``event_type=<t>/``)."""
+    """Events-as-readings as interchange CSV, one file per event type (``event_type=<t>/``);
+    ``types`` is a condition on the type."""
     r = roles.events_readings(spark, sf)
     if types is not None:
-        r = r.where(F.col("tag_id").isin(*types))
+        r = r.where(types(F.col("tag_id")))
     ts_txt = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS'+00:00'")
     if bad_ts:
         ts_txt = F.when((F.col("tag_id") == "error") & (F.col("event_id") % 50 == 0), F.lit("garbage")).otherwise(ts_txt)
@@ -49,7 +51,7 @@ def write_typed_files(spark, sf, dump: str, types=None, lines: DataFrame | None
     """Typed-JSON export files (gzip), one per event type, lines in event_id order."""
     df = lines if lines is not None else roles.events_typed_lines(spark, sf)
     if types is not None:
-        df = df.where(F.col("event_type").isin(*types))
+        df = df.where(types(F.col("event_type")))
     df = df.repartition("event_type").sortWithinPartitions("event_type", "pos")
     write_lines(df, dump, gzip=True, partition_by=["event_type"])
 
@@ -63,13 +65,13 @@ def _hadoop(spark, path: str):
 def add_manifest_and_noise(spark, sf, dump: str) -> None:
     """A ``manifest-*.json.gz`` (whose items would produce rows) and a non-gz file."""
     tmp = session.scratch_dir(spark, "manifest")
-    write_lines(roles.events_typed_lines(spark, sf).limit(50).coalesce(1), tmp, gzip=True)
+    write_lines(roles.events_typed_lines(spark, sf), tmp, gzip=True)
     fs, _, jvm = _hadoop(spark, tmp)
     part = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmp))
             if s.getPath().getName().startswith("part-")][0]
     fs.rename(part, jvm.org.apache.hadoop.fs.Path(f"{dump}/event_type=click/manifest-0001.json.gz"))
     tmp2 = session.scratch_dir(spark, "noise")
-    write_lines(roles.events_typed_lines(spark, sf).limit(50).coalesce(1), tmp2, gzip=False)
+    write_lines(roles.events_typed_lines(spark, sf), tmp2, gzip=False)
     part2 = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmp2))
              if s.getPath().getName().startswith("part-")][0]
     fs.rename(part2, jvm.org.apache.hadoop.fs.Path(f"{dump}/event_type=view/items.json"))
@@ -103,16 +105,16 @@ def import_ledger(spark, sf):
 
 
 @register("incremental_import", "S12 J5", with_ctes(R, M, body="""
-SELECT tag_id AS event_type, CASE WHEN tag_id IN ('click', 'error', 'view') THEN 1 ELSE 2 END AS run,
+SELECT tag_id AS event_type, CASE WHEN tag_id < 'm' THEN 1 ELSE 2 END AS run,
        count(*) AS "read", count(*) FILTER (WHERE reason IS NULL) AS inserted,
        count(*) FILTER (WHERE reason IS NOT NULL) AS discarded
 FROM ev_m GROUP BY tag_id"""))
 def incremental_import(spark, sf):
     dump = session.scratch_dir(spark, "dump")
     base = session.scratch_dir(spark, "readings")
-    write_event_csvs(spark, sf, dump, types=FIRST_TYPES)
+    write_event_csvs(spark, sf, dump, types=lambda t: t < SECOND_FROM)
     r1 = flows.import_readings_csv(spark, dump, f"{base}/t", f"{base}/l", NOW, C, H, run_id=1)
-    write_event_csvs(spark, sf, dump, types=[t for t in ["purchase", "signup"]])
+    write_event_csvs(spark, sf, dump, types=lambda t: t >= SECOND_FROM)
     r2 = flows.import_readings_csv(spark, dump, f"{base}/t", f"{base}/l", NOW, C, H, run_id=2)
     return (_ledger_by_type(r1.ledger).withColumn("run", F.lit(1))
             .unionByName(_ledger_by_type(r2.ledger).withColumn("run", F.lit(2))))
@@ -334,7 +336,7 @@ SELECT company_id, process_id, tag_id, value, ts FROM proj"""))
 def scan_typed_json(spark, sf):
     dump = session.scratch_dir(spark, "typed")
     write_typed_files(spark, sf, dump)
-    lines = spread_lines(read_lines(spark, dump).drop("block"))
+    lines = read_lines(spark, dump).drop("block")
     return tj.projections(lines, C, overrides=roles.override_ids())
 
 
@@ -369,7 +371,7 @@ def _stream(spark, sf, dump, base, ckpt):
 
 
 _PROJ_TABLE = ("company_id STRING, process_id STRING, tag_id STRING, value DOUBLE, ts TIMESTAMP_NTZ, "
-               "ingest_seq STRUCT<batch: BIGINT, pos: BIGINT>, month STRING")
+               "ingest_seq STRUCT<run: BIGINT, batch: BIGINT, file: STRING, pos: BIGINT>, month STRING")
 
 
 @register("stream_import", "T1 S9", with_ctes(TI, PR, body="""
@@ -386,9 +388,9 @@ def stream_import_q(spark, sf):
 SELECT company_id, process_id, tag_id, value, ts FROM proj"""))
 def only_new_files(spark, sf):
     dump, base = session.scratch_dir(spark, "typed"), session.scratch_dir(spark, "stream")
-    write_typed_files(spark, sf, dump, types=FIRST_TYPES)
+    write_typed_files(spark, sf, dump, types=lambda t: t < SECOND_FROM)
     _stream(spark, sf, dump, base, f"{base}/_checkpoint")
-    write_typed_files(spark, sf, dump, types=["purchase", "signup"])
+    write_typed_files(spark, sf, dump, types=lambda t: t >= SECOND_FROM)
     _stream(spark, sf, dump, base, f"{base}/_checkpoint")
     return spark.read.schema(_PROJ_TABLE).parquet(f"{base}/table").select(
         "company_id", "process_id", "tag_id", "value", "ts")
@@ -412,6 +414,47 @@ def replay_idempotence(spark, sf):
         "company_id", "process_id", "tag_id", "value", "ts")
 
 
+@register("replay_correction", "A8 T4 S12", with_ctes(TI, PR, body="""
+SELECT company_id, process_id, tag_id, CASE WHEN tag_id = 'click' THEN value * 2 ELSE value END AS value, ts FROM proj"""))
+def replay_correction(spark, sf):
+    """A corrected file from a lower path, imported later through another checkpoint, wins."""
+    first, later, base = (session.scratch_dir(spark, x) for x in ("typed", "corrected", "stream"))
+    lines = roles.events_typed_lines(spark, sf)
+    write_typed_files(spark, sf, f"{first}/b", lines=lines)
+    _stream(spark, sf, f"{first}/b", base, f"{base}/_ck1")
+    table = spark.read.schema(_PROJ_TABLE).parquet(f"{base}/table")
+    fixed = session.materialize(table.where("tag_id = 'click'").select(
+        "company_id", "process_id", "tag_id", (F.col("value") * 2).alias("value"), "ts"))
+    text = F.to_json(F.struct(*[F.struct(F.col(c).cast("string").alias("S")).alias(c) for c in ("company_id", "process_id", "tag_id")],
+                              F.struct(F.col("value").cast("string").alias("N")).alias("value"),
+                              F.struct(F.date_format(F.expr("ts - make_dt_interval(0, h)"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("S")).alias("timestamp")))
+    shifted = offset_hours(fixed, roles.override_ids()).withColumnRenamed("offset_h", "h")
+    write_lines(shifted.select(text.alias("value"), F.lit("click").alias("event_type")), f"{later}/a", gzip=True, partition_by=["event_type"])
+    _stream(spark, sf, f"{later}/a", base, f"{base}/_ck2")
+    dedup.compact_touched(spark, f"{base}/table", spark.read.parquet(f"{base}/touched").distinct(), dedup.PROJECTIONS_KEY)
+    return spark.read.schema(_PROJ_TABLE).parquet(f"{base}/table").select("company_id", "process_id", "tag_id", "value", "ts")
+
+
+@register("typed_json_flow", "S12 S13 A2 A9 E2", with_ctes(TI, PR, body="""
+SELECT 'rows' AS kind, count(*) AS n FROM proj UNION ALL
+SELECT 'second run', 0 UNION ALL
+SELECT 'lines', count(*) FILTER (WHERE NOT blank) FROM ti"""))
+def typed_json_flow(spark, sf):
+    """Batch import with ledger, quarantine and consolidation, twice: the second run finds
+    nothing pending and adds nothing."""
+    dump, base = session.scratch_dir(spark, "typed"), session.scratch_dir(spark, "batch")
+    write_typed_files(spark, sf, dump)
+    run = lambda: flows.import_typed_json(spark, dump, f"{base}/table", "projections", C, roles.override_ids(), ledger_path=f"{base}/ledger")
+    run()
+    table = lambda: spark.read.schema(_PROJ_TABLE).parquet(f"{base}/table").agg(F.count("*").alias("n"))
+    once = session.materialize(table())
+    run()
+    ledger = read_ledger(spark, f"{base}/ledger")
+    return (once.select(F.lit("rows").alias("kind"), "n")
+            .union(table().select(F.lit("second run"), F.col("n") - F.lit(once.first()["n"])))
+            .union(ledger.select(F.lit("lines"), F.sum("read"))))
+
+
 # --- whole flows --------------------------------------------------------------------------
 
 @register("export_wide_flow", "S5 A8 R2 O2 F12 F14 F15 S10 S14", with_ctes(OR, """

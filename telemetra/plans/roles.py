@@ -96,7 +96,7 @@ def _attr(key: str | Column, letter: str, val: Column, quote: bool = True) -> Co
 
 
 def events_typed_lines(spark, sf_dir) -> DataFrame:
-    ev = session.spread(table(spark, sf_dir, "events"))
+    ev = table(spark, sf_dir, "events").repartition(spark.sparkContext.defaultParallelism)
     e, u = _e(), F.col("user_id")
     ts_text = F.when(e % 7 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm")) \
                .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
@@ -115,9 +115,9 @@ def events_typed_lines(spark, sf_dir) -> DataFrame:
                     _attr("note", "S", F.concat(F.lit("x"), e.cast("string"))),
                     F.lit(',"nul":{"NULL":true},"lst":{"L":[{"N":"1"}]}'))
     long = F.concat(_attr("tag_id", "S", F.col("event_type")), _attr("value", "N", val_text))
-    body = F.concat(F.lit("{"), F.substring(F.concat(pid, tsa, comp,
+    body = F.concat(F.lit("{"), F.substr(F.concat(pid, tsa, comp,
                                                      F.when(e % 5 == 0, long).otherwise(wide),
-                                                     _attr("model", "S", F.lit("m1"))), 2, 1 << 20),
+                                                     _attr("model", "S", F.lit("m1"))), F.lit(2)),
                     F.lit("}"))
     line = (F.when(e % 53 == 0, F.lit("")).when(e % 59 == 0, F.lit("not json {"))
              .when(e % 2 == 0, F.concat(F.lit('{"Item":'), body, F.lit("}"))).otherwise(body))
@@ -245,7 +245,7 @@ def events_prediction_lines(spark, sf_dir) -> DataFrame:
     """Prediction items: index = value (NaN/1e400 injected), threshold = (e % 10)/10;
     e % 3 = 0 → only a "ts" key (predictions read "timestamp" only → discarded);
     e % 11 = 0 → threshold "abc"; e % 13 = 0 → no threshold; other rules as above."""
-    ev = session.spread(table(spark, sf_dir, "events"))
+    ev = table(spark, sf_dir, "events").repartition(spark.sparkContext.defaultParallelism)
     e, u = _e(), F.col("user_id")
     ts_text = F.when(e % 7 == 0, F.date_format("ts", "yyyy-MM-dd HH:mm")) \
                .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
@@ -258,8 +258,8 @@ def events_prediction_lines(spark, sf_dir) -> DataFrame:
              .when(e % 4 == 0, F.lit(',"company_id":{"S":""}')).otherwise(F.lit("")))
     thr = (F.when(e % 11 == 0, _attr("threshold", "S", F.lit("abc"))).when(e % 13 == 0, F.lit(""))
             .otherwise(_attr("threshold", "N", ((e % 10) / 10.0).cast("string"))))
-    body = F.concat(F.lit("{"), F.substring(F.concat(pid, tsa, comp, _attr("index", "N", val_text), thr,
-                                                     _attr("model", "S", F.lit("m1"))), 2, 1 << 20),
+    body = F.concat(F.lit("{"), F.substr(F.concat(pid, tsa, comp, _attr("index", "N", val_text), thr,
+                                                     _attr("model", "S", F.lit("m1"))), F.lit(2)),
                     F.lit("}"))
     line = (F.when(e % 53 == 0, F.lit("")).when(e % 59 == 0, F.lit("not json {"))
              .when(e % 2 == 0, F.concat(F.lit('{"Item":'), body, F.lit("}"))).otherwise(body))

@@ -26,14 +26,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here. When it is
-    unset (unit tests, a bare local session) a private folder is created and registered.
+    On a cluster this setting points at shared storage and is only read here; without it
+    there is no folder that all executors share, so that is an error. A session on a local
+    master (unit tests, the benchmark) gets a private folder instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="telemetra-ckpt-")
     sc.setCheckpointDir(configured)
@@ -63,18 +66,6 @@ def builder(master: str | None = None, app: str = "telemetra") -> SparkSession.B
              .config("spark.driver.memory", os.environ.get("TELEMETRA_DRIVER_MEM", "16g")))
 
 
-def spread(df, min_partitions: int | None = None):
-    """Parallelism floor before CPU-heavy per-row work (JSON parsing, rendering).
-
-    A small input can arrive as one partition (one small file, one gzip file); this
-    repartitions it round-robin to the cluster's default parallelism. Inputs that already
-    have that many partitions — every real, multi-file input — are returned unchanged, so
-    no shuffle is added at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def materialize(df, name: str = "stage"):
     """Cut lineage by writing ``df`` as a parquet table in the shared checkpoint folder and
     reading it back.
@@ -87,19 +78,16 @@ def materialize(df, name: str = "stage"):
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
-    _STAGES[id(out)] = path
+    out._stage_path = path  # the frame itself knows its files, see release
     return out
 
 
-_STAGES: dict[int, str] = {}
-
-
 def release(*frames) -> None:
     """Delete the staged tables behind frames returned by ``materialize`` once nothing reads
     them any more (e.g. the previous round of an iterative plan after the next round was
     staged). Frames that are not stages are ignored."""
     for df in frames:
-        path = _STAGES.pop(id(df), None) if df is not None else None
+        path = getattr(df, "_stage_path", None)
         if path is None:
             continue
         jvm = df.sparkSession.sparkContext._jvm

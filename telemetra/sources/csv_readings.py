@@ -58,10 +58,3 @@ def sink_month_process_csv(readings: DataFrame, path: str, cap: int | None = Non
         w = w.option("maxRecordsPerFile", cap)
     w.csv(path)
 
-
-def hive_layout_keys(df: DataFrame) -> DataFrame:
-    """Month label, process and part of files written by ``sink_month_process_csv``."""
-    f = F.col("file")
-    return (df.withColumn("label", F.regexp_extract(f, r"/label=([^/]+)/", 1))
-              .withColumn("process_id", F.regexp_extract(f, r"/process_id=([^/]+)/", 1))
-              .withColumn("part", F.regexp_extract(f, r"/part=([^/]+)/", 1).cast("long")))

@@ -9,12 +9,16 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from telemetra.session import materialize
 
 from telemetra.operators.ledger import IMPORT_LEDGER, upsert_by_key
 
+#: Run numbers given out so far.
+RUNS = "run BIGINT"
+
 
 def norm_path(c) -> "F.Column":
     """Comparable form of a path: the ``file:`` scheme and extra leading slashes removed."""
@@ -37,13 +41,29 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame
 
 
 def read_ledger(spark: SparkSession, path: str, schema=IMPORT_LEDGER) -> DataFrame:
-    """The ledger table, empty when it does not exist yet."""
+    """The ledger table, empty when it does not exist yet. Any other failure to
+    read it is an error: an empty ledger would import everything again."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 — first run: no table yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
+def next_run(spark: SparkSession, runs_path: str) -> int:
+    """The number of a new run, one more than any before it on this table. It is recorded
+    in the table at ``runs_path``, so it grows over sessions, checkpoints and machines."""
+    n = (read_ledger(spark, runs_path, RUNS).agg(F.max("run")).first()[0] or 0) + 1
+    spark.range(1).select(F.lit(n).cast("long").alias("run")).write.mode("append").parquet(runs_path)
+    return n
+
+
+def json_seq(run: int, batch: int = 0):
+    """``ingest_seq`` of typed-JSON rows, the same for batch and stream: run first."""
+    return F.struct(F.lit(run).cast("long").alias("run"), F.lit(batch).cast("long").alias("batch"), F.col("file"), F.col("pos"))
+
+
 def pending_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files not yet in the ledger."""
     return listing.join(ledger.select("file"), "file", "left_anti")

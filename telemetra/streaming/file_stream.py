@@ -3,51 +3,44 @@
 ``readStream.text`` over the dump folder with ``maxFilesPerTrigger`` bounds the memory of
 one micro-batch (the streamed, item-by-item load), the checkpoint makes a re-run handle only
 files not seen before (``trigger(availableNow=True)`` processes what is pending and stops),
-and ``foreachBatch`` appends the rows, records per-file counts in the ledger and collects
-the touched partitions. Consolidation of the touched partitions (A9) runs after the stream,
-so replaying a file (new checkpoint) leaves the consolidated table unchanged (T4).
+and ``foreachBatch`` appends the rows, upserts per-file counts in the ledger and records the
+touched partitions. Consolidation of the touched partitions (A9) is a call of its own after
+the stream; replaying a file (new checkpoint) leaves the consolidated table unchanged (T4).
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetra.constants import MANIFEST_PREFIX
 from telemetra.functions.text import base_name
-from telemetra.session import spread
+from telemetra.session import materialize, release
 from telemetra.operators import typed_json as tj
+from telemetra.plans import flows
+from telemetra.sources import incremental as inc
 from telemetra.operators.dedup import touched_partitions
 from telemetra.sources.tables import sink_append
 
 
 def _batch_writer(table_path: str, ledger_path: str, touched_path: str, default_company: str,
-                  flow: str, overrides):
+                  flow: str, overrides, run: int):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        lines = spread(batch.select(F.col("file"), F.col("value"))
-                           .where(~base_name(F.col("file")).startswith(MANIFEST_PREFIX))
-                           .withColumn("pos", F.monotonically_increasing_id()))
-        lines = lines.persist()
-        try:
-            if flow == "predictions":
-                per_item = tj.prediction_items(lines, default_company)
-                stats = tj.per_file_stats(per_item, rows_mode=False)
-                rows = tj.predictions(lines, default_company, overrides, keep_source=True)
-            else:
-                per_item = tj.item_rows(tj.parse_items(lines), default_company,
-                                        dispatch=(flow == "projections"))
-                stats = tj.per_file_stats(per_item, rows_mode=True)
-                rows = (tj.projections if flow == "projections" else tj.variables)(
-                    lines, default_company, overrides, keep_source=True)
-            rows = rows.withColumn("ingest_seq", F.struct(F.lit(epoch_id).cast("long").alias("batch"),
-                                                         F.col("pos"))).drop("file", "pos")
-            sink_append(rows, table_path, partitioned=(flow != "predictions"))
-            (stats.withColumn("epoch", F.lit(epoch_id).cast("long"))
-                  .write.mode("append").parquet(ledger_path))
-            if flow != "predictions":
-                touched_partitions(rows).write.mode("append").parquet(touched_path)
-        finally:
-            lines.unpersist()
+        t0 = time.time()
+        spark = batch.sparkSession
+        lines = (batch.select(F.col("file"), F.col("value"))
+                      .where(~base_name(F.col("file")).startswith(MANIFEST_PREFIX))
+                      .withColumn("pos", F.monotonically_increasing_id()))
+        items = materialize(flows.parsed_items(lines, flow, default_company), "items")  # parsed once
+        rows = flows.item_table(items, flow, default_company, overrides, inc.json_seq(run, epoch_id))
+        sink_append(rows, table_path, partitioned=(flow != "predictions"))
+        tj.quarantine(items).write.mode("append").parquet(f"{table_path}_quarantine")
+        if flow != "predictions":
+            touched_partitions(rows).write.mode("append").parquet(touched_path)
+        stats = flows.json_ledger(items, flow, time.time() - t0)
+        release(inc.write_ledger(spark, ledger_path, inc.read_ledger(spark, ledger_path), stats), items)
     return write
 
 
@@ -57,6 +50,11 @@ def stream_import(spark: SparkSession, dump_dir: str, table_path: str, ledger_pa
                   archive_dir: str | None = None):
     """Start an ``availableNow`` file stream over ``dump_dir`` and return the query.
 
+    Every call is a run with a number greater than all before it on this table (recorded
+    beside it), and ``ingest_seq`` starts with that number: a file imported later wins over
+    an earlier one, also with a new checkpoint. The ledger has one entry a file, upserted;
+    lines that can never become rows go to ``<table>_quarantine``.
+
     ``archive_dir`` turns on ``cleanSource=archive`` (files are moved after commit; the move
     lags one batch and is cosmetic — checkpoint and ledger are the truth).
     """
@@ -66,11 +64,8 @@ def stream_import(spark: SparkSession, dump_dir: str, table_path: str, ledger_pa
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.load(dump_dir).select(F.col("_metadata.file_path").alias("file"), "value")
     return (stream.writeStream.foreachBatch(
-                _batch_writer(table_path, ledger_path, touched_path, default_company, flow, overrides))
+                _batch_writer(table_path, ledger_path, touched_path, default_company, flow, overrides,
+                              inc.next_run(spark, f"{table_path}_runs")))
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
-
-def dedup_stream(stream: DataFrame, key: list[str], ts: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """T4 for a pure stream: drop replayed duplicates by key with bounded state (watermark)."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(key)

@@ -1,22 +1,14 @@
-"""Session helpers: parallelism floor, lineage staging and its cleanup, scratch folders."""
+"""Session helpers: lineage staging and its cleanup, scratch folders."""
 
 import os
 
 from telemetra import session
 
 
-def test_spread_only_when_below_parallelism(spark):
-    target = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert session.spread(one).rdd.getNumPartitions() == target
-    many = spark.range(100).repartition(target * 2)
-    assert session.spread(many) is many  # unchanged: no extra shuffle
-
-
 def test_materialize_cuts_lineage_and_release_deletes(spark):
     df = spark.range(1000).selectExpr("id", "id * 2 AS x")
     staged = session.materialize(df, "t-stage")
-    path = session._STAGES[id(staged)]
+    path = staged._stage_path
     assert path.startswith(session.checkpoint_root(spark).rstrip("/"))
     assert staged.count() == 1000 and "Scan parquet" in staged._jdf.queryExecution().executedPlan().toString()
     session.release(staged)
