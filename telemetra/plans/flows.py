@@ -15,7 +15,6 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from telemetra.session import materialize
@@ -74,11 +73,10 @@ def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, led
         return ImportResult(empty, empty.select("file"), run_totals(empty), spark.createDataFrame(
             [], "company_id string, month string"), spark.createDataFrame([], "reason string"))
     rows = (scan_readings_csv(spark, paths)
-            .withColumn("file", inc.relative_to(dump_dir, F.col("file")))
-            .withColumn("pos", F.monotonically_increasing_id()))
-    marked = validate.annotate(rows, now, max_past_hours).persist(StorageLevel.MEMORY_AND_DISK)
+            .withColumn("file", inc.relative_to(dump_dir, F.col("file"))))
+    marked = materialize(validate.annotate(rows, now, max_past_hours), "marked")
+    failed = materialize(inc.failed_files(marked), "failed")
     try:
-        failed = inc.failed_files(marked).persist(StorageLevel.MEMORY_AND_DISK)
         good = marked.join(failed, "file", "left_anti")
         valid = (good.where(F.col("reason").isNull())
                      .withColumn("company_id", F.lit(company_id))
@@ -108,10 +106,9 @@ def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, led
                 print(f"warning: consolidation failed ({exc}); rows are stored, run it again later")
         audit = good.where(F.col("reason").isNotNull()).withColumn("company_id", F.lit(company_id)) \
                     .select("company_id", "tag_id", "value", "ts", "reason", "file").transform(materialize)
-        failed_cp = failed.transform(materialize)
-        return ImportResult(run, failed_cp, run_totals(run, failed_cp), touched, audit)
+        return ImportResult(run, failed, run_totals(run, failed), touched, audit)
     finally:
-        marked.unpersist()
+        session.release(marked)
 
 
 def parsed_items(lines: DataFrame, flow: str, default_company: str) -> DataFrame:

@@ -154,8 +154,8 @@ def file_fault_isolation(spark, sf):
 
 @register("upsert_by_key", "U3", with_ctes(R, M, """
 old AS (SELECT tag_id AS file, count(*) AS "read", count(*) FILTER (WHERE reason IS NULL) AS inserted
-        FROM ev_m WHERE ts < TIMESTAMP '2024-01-15' GROUP BY tag_id),
-new AS (SELECT tag_id AS file, count(*) AS "read", count(*) FILTER (WHERE reason IS NULL) AS inserted
+        FROM ev_m GROUP BY tag_id),
+new AS (SELECT tag_id AS file, 2 * count(*) AS "read", count(*) FILTER (WHERE reason IS NULL) AS inserted
         FROM ev_m WHERE tag_id IN ('click', 'view') GROUP BY tag_id)""", body="""
 SELECT * FROM old WHERE file NOT IN (SELECT file FROM new) UNION ALL SELECT * FROM new"""))
 def upsert_by_key_q(spark, sf):
@@ -164,8 +164,8 @@ def upsert_by_key_q(spark, sf):
     def stats(df):
         return df.groupBy(F.col("tag_id").alias("file")).agg(
             F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason").isNull()).alias("inserted"))
-    old = stats(m.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")))
-    new = stats(m.where(F.col("tag_id").isin("click", "view")))
+    old = stats(m)
+    new = stats(m.where(F.col("tag_id").isin("click", "view"))).withColumn("read", 2 * F.col("read"))
     return upsert_by_key(old, new)
 
 

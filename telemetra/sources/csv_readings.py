@@ -14,31 +14,51 @@ from telemetra.functions.numbers import finite_double
 from telemetra.functions.text import parent_dir, parse_csv_name_part, parse_csv_name_process
 from telemetra.functions.timefmt import parse_utc
 
-CSV_SCHEMA = "ts STRING, tag_id STRING, value STRING"
+COLUMNS = ("ts", "tag_id", "value")
+#: Columns a file may have; the three that are read are found by the names in its header.
+MOST_COLUMNS = 16
 
 
 def scan_readings_csv(spark: SparkSession, paths, keep_text: bool = False) -> DataFrame:
     """S3: all ``*.csv`` under ``paths`` (recursive) → ``file, ts, ts_text, tag_id, value``
     (+ sort keys).
 
+    Columns are found by the names in each file's header, whatever their order. The rows of
+    a file whose header lacks one have no ``ts`` and a ``ts_text`` that is no timestamp, so
+    the file fails as a whole (E1). ``pos`` grows with the rows of a file.
+
     ``value`` is DOUBLE where the text is a finite decimal number, else NULL — which P4 then
     rejects as ``bad_value``; with ``keep_text`` the raw text is kept as ``value_text``.
     The process id comes from a ``process_id=`` folder when present, else from the
     ``processo_<id>[-parteN].csv`` name (F3); the month from the parent folder (F4).
     """
-    reader = (spark.read.schema(CSV_SCHEMA).option("header", "true").option("mode", "PERMISSIVE")
-                   .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv"))
-    raw = reader.csv(paths)
+    names = [f"c{i}" for i in range(MOST_COLUMNS)]
+    reader = (spark.read.schema(", ".join(f"{n} STRING" for n in names)).option("header", "false")
+                   .option("mode", "PERMISSIVE").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv"))
     f = F.col("_metadata.file_path")
+    cells = F.array(*names)
+    raw = reader.csv(paths).select(f.alias("file"), cells.alias("cells"), F.monotonically_increasing_id().alias("pos"))
+    header = F.array_contains("cells", COLUMNS[0])
+    for c in COLUMNS[1:]:
+        header = header & F.array_contains("cells", c)
+    header = F.coalesce(header, F.lit(False))
+    heads = raw.where(header).groupBy("file").agg(F.min_by("cells", "pos").alias("head"))
+    rows = raw.where(~header).join(heads, "file", "left")
+
+    def cell(name):
+        return F.expr(f"try_element_at(cells, cast(nullif(array_position(head, '{name}'), 0) AS INT))")
+
+    f = F.col("file")
     hive_pid = F.nullif(F.regexp_extract(f, r"/process_id=([^/]+)/", 1), F.lit(""))
     hive_month = F.nullif(F.regexp_extract(f, r"/(?:month|label)=([^/]+)/", 1), F.lit(""))
-    out = raw.select(f.alias("file"),
-                     F.coalesce(hive_pid, parse_csv_name_process(f)).alias("file_process"),
-                     F.coalesce(hive_month, parent_dir(f)).alias("file_month"),
-                     parse_csv_name_part(f).alias("file_part"),
-                     parse_utc(F.col("ts")).alias("ts"), F.col("ts").alias("ts_text"), F.col("tag_id"),
-                     finite_double(F.col("value")).alias("value"),
-                     F.col("value").alias("value_text"))
+    text = F.when(F.col("head").isNull(), "missing column").otherwise(cell("ts"))
+    out = rows.select("file", "pos",
+                      F.coalesce(hive_pid, parse_csv_name_process(f)).alias("file_process"),
+                      F.coalesce(hive_month, parent_dir(f)).alias("file_month"),
+                      parse_csv_name_part(f).alias("file_part"),
+                      parse_utc(cell("ts")).alias("ts"), text.alias("ts_text"), cell("tag_id").alias("tag_id"),
+                      finite_double(cell("value")).alias("value"),
+                      cell("value").alias("value_text"))
     return out if keep_text else out.drop("value_text")
 
 

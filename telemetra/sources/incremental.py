@@ -25,11 +25,18 @@ def norm_path(c) -> "F.Column":
     return F.regexp_replace(c, r"^file:/+", "/")
 
 
+def qualified(root: str) -> str:
+    """``root`` with the scheme and host Spark's readers report, ``file:`` removed."""
+    spark = SparkSession.active()
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return re.sub(r"^file:/+", "/", full).rstrip("/")
+
+
 def relative_to(root: str, c) -> "F.Column":
-    """Path relative to ``root`` (the whole path when it lies outside)."""
-    root_norm = "/" + re.sub(r"^file:/+", "", root).strip("/")
+    """Path relative to ``root`` (the whole path when it lies outside), on any file system."""
     p = norm_path(c)
-    rel = F.regexp_extract(p, "^" + re.escape(root_norm) + "/(.*)$", 1)
+    rel = F.regexp_extract(p, "^" + re.escape(qualified(root)) + "/(.*)$", 1)
     return F.when(rel == "", p).otherwise(rel)
 
 
@@ -91,10 +98,10 @@ def archive_files(spark: SparkSession, paths: list[str], src_root: str, dst_root
     as a Spark user does with the Hadoop FileSystem API. Returns the new locations."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src = "/" + re.sub(r"^file:/+", "", src_root).strip("/")
+    src = qualified(src_root)
     moved = []
     for p in paths:
-        local = "/" + re.sub(r"^file:/+", "", p).lstrip("/")
+        local = re.sub(r"^file:/+", "/", p)
         if not local.startswith(src + "/"):
             continue
         rel = local[len(src) + 1:]

@@ -170,3 +170,41 @@ def test_typed_json_dry_run_writes_nothing(spark):
     assert not os.path.exists(session.local_path(table))
     rows, _ = flows.import_typed_json(spark, root, table, "projections", "acme", overrides=[])
     assert spark.read.parquet(table).count() == 15
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    """A reordered header gives the same rows; a header without a column fails its file only."""
+    from telemetra.sources.csv_readings import scan_readings_csv
+    from telemetra.sources.incremental import failed_files
+    for name, text in (("a", "ts,tag_id,value\n2024-01-02 00:00:00+00:00,t1,1.5\n"),
+                       ("b", "value,ts,extra,tag_id\n1.5,2024-01-02 00:00:00+00:00,x,t1\n"),
+                       ("c", "ts,tag_id\n2024-01-02 00:00:00+00:00,t1\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    out = scan_readings_csv(spark, str(tmp_path))
+    rows = {r.file[-5]: (str(r.ts), r.tag_id, r.value) for r in out.where("ts IS NOT NULL").collect()}
+    assert rows["a"] == rows["b"] == ("2024-01-02 00:00:00", "t1", 1.5) and len(rows) == 2
+    assert [r.file[-5] for r in failed_files(out).collect()] == ["c"]
+
+
+def test_ledger_read_errors_are_not_an_empty_ledger(spark, tmp_path):
+    import pytest
+    from telemetra.sources.incremental import next_run, read_ledger
+    assert read_ledger(spark, str(tmp_path / "none")).count() == 0
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_bytes(b"not parquet at all")
+    with pytest.raises(Exception):
+        read_ledger(spark, str(bad)).count()
+    assert [next_run(spark, str(tmp_path / "runs")) for _ in range(3)] == [1, 2, 3]
+
+
+def test_repeated_json_key_keeps_the_last_and_bad_lines_are_kept(spark):
+    from telemetra.operators import typed_json as tj
+    lines = spark.createDataFrame([
+        ("f", 1, '{"process_id":{"S":"p"},"ts":{"S":"2024-01-02 00:00:00"},"a":{"N":"1"},"a":{"N":"2"}}'),
+        ("f", 2, '{"process_id":{"S":"p"},"ts":{"S":"garbage"},"a":{"N":"1"}}'), ("f", 3, "not json {")], "file string, pos long, value string")
+    items = tj.item_rows(tj.parse_items(lines), "c")
+    assert [(r.tag_id, r.value) for r in tj.projection_rows(items).collect()] == [("a", 2.0)]
+    s = tj.per_file_stats(items).first()
+    assert (s.read, s.accepted, s.discarded) == (3, 1, 2)
+    assert {(r.pos, r.reason) for r in tj.quarantine(items).collect()} == {(2, "bad_ts"), (3, "malformed")}
