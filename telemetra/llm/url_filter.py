@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from telemetra.llm.common import mix64
 from telemetra.session import materialize, release
 
 #: Bits of all levels of one cascade at most (32 MB to broadcast). Keys beyond that are
@@ -65,18 +66,11 @@ def domain_keys(host: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(own)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (splitmix64)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def places(h1: np.ndarray, h2: np.ndarray, level: int, hashes: int, bits: int) -> np.ndarray:
     """(key, hash) bit positions of keys, given two hashes of each, on one level."""
     j = np.arange(1, hashes + 1, dtype=np.uint64) + np.uint64(level * 64)
     step = j * np.uint64(0x9E3779B97F4A7C15)
-    return _mix(_mix(h1[:, None] + step) ^ (h2[:, None] * (j | np.uint64(1)))) % np.uint64(bits)
+    return mix64(mix64(h1[:, None] + step) ^ (h2[:, None] * (j | np.uint64(1)))) % np.uint64(bits)
 
 
 @dataclass
