@@ -9,14 +9,16 @@ its tree by prefix doubling; the nodes of full depth are the repeats, and the sm
 doc_id below each says which occurrences go.
 
 Prefixes met in one document only cannot repeat; a bounded filter keeps their suffixes
-from being shuffled. Prefixes met more often than a group should hold are extended to the
-full window and reduced by a partial minimum, so no group is ever unbounded.
+from being shuffled. Prefixes with more pieces of text than a group should hold, be it in
+many documents or often in a few, are extended to the full window and reduced by a partial
+minimum, so no group is ever unbounded.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from telemetra.session import materialize, release
 GRAM = 8
 #: Suffixes of one piece of text at most.
 PIECE = 128
-#: Occurrences of a prefix above which it is extended to the whole window.
+#: Pieces of a prefix, over all texts, above which it is extended to the whole window.
 HOT = 4000
 #: Pieces a group should hold, and the most a task takes up at once.
 GROUP_PIECES = 20_000
@@ -65,6 +67,14 @@ def pieces(prefixes: np.ndarray, chosen: np.ndarray) -> Iterator[tuple[int, int]
                 yield s, min(PIECE, b - s)
 
 
+def piece_counts(prefixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct prefixes of a text and how many of its ``pieces`` each has."""
+    start = np.flatnonzero(np.concatenate([[True], prefixes[1:] != prefixes[:-1]]))
+    n = -(-np.diff(start, append=len(prefixes)) // PIECE)
+    own, at = np.unique(prefixes[start], return_inverse=True)
+    return own, np.bincount(at, n, len(own)).astype(np.int64)
+
+
 def _sources(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("row", F.xxhash64("text"))
@@ -145,9 +155,13 @@ def repeated(docs: DataFrame, window: int = 50) -> DataFrame:
     """(doc_id, row, starts): the suffixes, as structs (s, n) of runs, of each text whose
     ``window`` words also start in a document with a smaller doc_id. ``row`` is the
     text's xxhash64 (texts may share a doc_id)."""
+    def count(doc, row, words, low):
+        own, n = piece_counts(low)
+        return zip(own.view(np.int64).tolist(), repeat(doc), n.tolist())
+
     counted = materialize(
-        _scan(docs, window, lambda doc, row, words, low: ((g, doc) for g in np.unique(low).view(np.int64).tolist()), "g long, doc_id long")
-        .groupBy("g").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).where("a < b"), "prefixes")
+        _scan(docs, window, count, "g long, doc_id long, n long")
+        .groupBy("g").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.sum("n").alias("n")).where("a < b"), "prefixes")
     total, kinds, hot_kinds = counted.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") > HOT)).first()
     spark = docs.sparkSession
     many = spark.sparkContext.broadcast(bit_filter(counted, "g", power_of_two(32 * kinds, LEAST_BITS, MOST_BITS)))

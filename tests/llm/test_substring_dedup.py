@@ -71,6 +71,33 @@ def test_hot_prefixes_and_small_groups(spark, monkeypatch):
     assert result(sub.digests(frame(spark, rows))) == brute(rows)
 
 
+def test_prefix_often_in_few_texts_is_hot(spark, monkeypatch):
+    """A phrase met hundreds of times in each of three texts, every time between other
+    words, has many pieces though few documents: no group may take them all."""
+    rnd = random.Random(7)
+    other = lambda k: ["w%d" % rnd.randrange(10 ** 6) for _ in range(k)]
+    known = sub.WordHashes()
+    phrase = min((other(sub.GRAM) for _ in range(3000)), key=lambda p: int(sub.window_prefixes(known.of(p), sub.GRAM)[0]))  # leads its windows
+    tail = other(80)
+    rows = [(i, " ".join([w for _ in range(200) for w in (*phrase, *other(20))] + tail)) for i in range(3)]
+    monkeypatch.setattr(sub, "HOT", 100)
+    monkeypatch.setattr(sub, "GROUP_PIECES", 50)
+    whole, extended = [], sub._full_windows
+    monkeypatch.setattr(sub, "_full_windows", lambda *a: whole.append(1) or extended(*a))
+    assert result(sub.digests(frame(spark, rows))) == brute(rows)
+    assert whole
+
+
+def test_piece_counts(monkeypatch):
+    monkeypatch.setattr(sub, "PIECE", 7)
+    low = np.random.default_rng(3).integers(0, 4, 40).repeat(np.random.default_rng(4).integers(1, 30, 40)).astype(np.uint64)
+    want = {}
+    for s, _ in sub.pieces(low, np.ones(len(low), bool)):
+        want[int(low[s])] = want.get(int(low[s]), 0) + 1
+    own, n = sub.piece_counts(low)
+    assert dict(zip(own.tolist(), n.tolist())) == want
+
+
 def test_remove_repeats(spark):
     rows = corpus(3)
     out = sub.remove_repeats(frame(spark, rows))
