@@ -7,7 +7,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetra.llm.common import LOWER, doc_text, map_slices, texts_of
@@ -39,11 +39,16 @@ def simhash(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number; no words: zero."""
+    """(doc_id, fp, row): the fingerprint as a signed 64-bit number (no words: zero) and
+    the text's xxhash64 (texts may share a doc_id)."""
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         fps = np.array([simhash(t, shingle) for t in texts_of(batch)], dtype=np.uint64)
-        return [batch.column(0), pa.array(fps.view(np.int64))]
-    return map_slices(doc_text(docs), run, "doc_id long, fp long")
+        return [batch.column(0), pa.array(fps.view(np.int64)), batch.column(2)]
+    return map_slices(doc_text(docs, "doc_id", "text", text_hash(docs).alias("row")), run, "doc_id long, fp long, row long")
+
+
+def text_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["text"].cast("string"))
 
 
 def _signed(mask: int) -> int:
@@ -109,28 +114,37 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     of null ids only: null). Repeated rows give repeated results; other columns are not
     read. An empty table gives no rows.
     """
+    return labelled(docs, shingle, distance).select("doc_id", "fp", "component_id")
+
+
+def labelled(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """(doc_id, fp, row, root, component_id), one row per row of ``docs``; ``root`` is the
+    component's own, while components may share their smallest doc_id."""
     fps = materialize(fingerprints(docs, shingle), "fps")
     reps = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     roots = connected_components(links(reps.select("fp"), distance))
     rooted = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    label = materialize(rooted.join(least, "root").select("fp", "component_id"), "labels")
-    return fps.join(label, "fp").select("doc_id", "fp", "component_id")
+    label = materialize(rooted.join(least, "root").select("fp", "root", "component_id"), "labels")
+    return fps.join(label, "fp").select("doc_id", "fp", "row", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest doc_id.
 
-    All columns are kept. Of rows that repeat that doc_id one stays; a component whose
-    doc_ids are all null keeps every row (nothing says which one is first).
+    All columns are kept. Rows that share a doc_id are decided each by its own text: of a
+    component's rows with the smallest doc_id the one with the smallest xxhash64 of its
+    text stays, once. Rows without a doc_id go where their component has a row with one; a
+    component whose doc_ids are all null keeps every row (nothing says which one is first).
     """
-    found = near_duplicates(docs, shingle, distance)
-    ids = found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
-    keep = ids.where("doc_id = component_id").select("doc_id", "rows")
-    keep = keep.withColumnsRenamed({"doc_id": "_keep_id", "rows": "_keep_rows"})
-    key = F.col("doc_id").cast("long") == F.col("_keep_id")
-    kept = docs.join(keep, key, "left").where("_keep_id IS NOT NULL OR doc_id IS NULL")
-    once = kept.where("_keep_rows = 1 OR doc_id IS NULL").select(docs.columns)
-    again = kept.where("_keep_rows > 1").select(docs.columns).dropDuplicates(["doc_id"])
+    rows = labelled(docs, shingle, distance).groupBy("doc_id", "row", "root", "component_id").agg(F.count("*").alias("rows"))
+    rows = rows.where("doc_id <=> component_id")
+    named = rows.where("doc_id IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "row", "rows")).alias("x")).select("x.*")
+    keep = named.union(rows.where("doc_id IS NULL").select("doc_id", "row", F.lit(1).cast("long").alias("rows")))
+    keep = keep.withColumnsRenamed({"doc_id": "_keep_id", "row": "_keep_row", "rows": "_keep_rows"})
+    key = F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (text_hash(docs) == F.col("_keep_row"))
+    kept = docs.join(keep, key)
+    once = kept.where("_keep_rows = 1").select(docs.columns)
+    again = kept.where("_keep_rows > 1").dropDuplicates(["_keep_id", "_keep_row"]).select(docs.columns)
     return once.union(again)

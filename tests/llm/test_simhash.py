@@ -86,6 +86,15 @@ def test_keep_one(spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == want
 
 
+def test_keep_one_with_repeated_and_null_ids(spark):
+    """Each row is decided by its own component, not by all rows of its doc_id."""
+    rnd = random.Random(9)
+    a, b, c, d = (" ".join("w%d" % rnd.randrange(10 ** 6) for _ in range(100)) for _ in range(4))
+    rows = [(3, a), (5, a), (5, b), (5, c), (None, b), (None, d), (None, d), (8, c), (5, c)]
+    kept = simhash.keep_one(frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(3, a), (5, b), (5, c), (None, d), (None, d)], key=str)
+
+
 def test_chain_of_links(spark):
     from telemetra.llm.components import connected_components
     n = 300
