@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetra.llm import bpe, decontaminate, licenses, lm_scoring, quality_classifier, quality_rules, simhash, substring_dedup, toxicity, url_filter
+from telemetra.llm import (
+    bpe,
+    decontaminate,
+    filter_audit,
+    hard_negatives,
+    licenses,
+    lm_scoring,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
 from telemetra.llm.common import held_out, read_table
 from telemetra.session import materialize
 
@@ -72,6 +86,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(read_table(spark, sf_dir, "documents"), shards=40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "home_shard")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_url_filters": op2_url_filters,
@@ -83,10 +112,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_filters": url_filter.SQL.strip(),
     "op7_license_scans": licenses.SQL.strip(),
     "op8_decontamination": decontaminate.SQL.strip(),
+    "op11_filter_audit": filter_audit.SQL.strip(),
+    "op12_hard_negatives": hard_negatives.SQL.strip(),
+    "op13_sharding": sharding.SQL.strip(),
 }
