@@ -9,13 +9,15 @@ window form (``row_number``) is kept for callers who need the losing rows too.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from telemetra.session import materialize, release
 
 from telemetra.functions.timefmt import month_key
 from telemetra.operators.ledger import null_safe_join, running_total
+from telemetra.sources import commits
 
 READINGS_KEY = ["company_id", "tag_id", "ts"]
 PROJECTIONS_KEY = ["company_id", "process_id", "tag_id", "ts"]
@@ -95,32 +97,50 @@ def touched_rows(table: DataFrame, touched: DataFrame) -> DataFrame:
     return table.where(inside).join(pairs.where(inside), ["month", "company_id"], "left_semi")
 
 
+def _partition_files(spark: SparkSession, table_path: str, pairs: list) -> list[str]:
+    """The data files of some (month, company_id) partitions."""
+    part = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    fs, found = commits.Files(spark, table_path), []
+    for month, company in pairs:
+        folder = f"{table_path}/{part('month', month)}/{part('company_id', company)}"
+        found += [f"{folder}/{name}" for name in fs.below(folder)]
+    return found
+
+
 def compact_touched(spark: SparkSession, table_path: str, touched: DataFrame, key: list[str],
                     seq: str = "ingest_seq") -> DataFrame:
     """Consolidate only the (month, company_id) partitions an import wrote.
 
-    Reads the touched partitions of the parquet table, dedups them, stages the result as a
-    table under the checkpoint folder (the input and the output are the same folder, so
-    lineage must be cut) and rewrites them with dynamic partition overwrite. Partitions not
-    touched are never read or written. The stage is deleted once the partitions are written.
-    Returns the consolidated rows as they are in the table.
+    Reads the touched partitions of the parquet table and writes them, consolidated, beside
+    it; then the new files take the place of those that were read (``sources.commits``). The
+    rows are whole at any moment: a driver lost before the exchange leaves the table as it
+    was, one lost during it leaves both versions of some rows, of which the last write is the
+    same, and the next call finishes. Partitions not touched are never read or written, nor
+    are files that others add meanwhile. Returns the consolidated rows as they are in the table.
     """
-    merged = replace_dedup(touched_rows(read_partitioned(spark, table_path), touched), key, seq, keep_seq=True)
-    merged = merged.transform(materialize)
-    (merged.hint("rebalance", "month", "company_id")
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("month", "company_id").parquet(table_path))
-    release(merged)
+    commits.recover(spark, f"{table_path}_tx")
+    pairs = [tuple(r) for r in touched.select("month", "company_id").distinct().collect()]  # partitions, no rows
+
+    def write(stage: str) -> list[str]:
+        old = _partition_files(spark, table_path, pairs)
+        merged = replace_dedup(touched_rows(read_partitioned(spark, table_path), touched), key, seq, keep_seq=True)
+        merged.hint("rebalance", "month", "company_id").write.partitionBy("month", "company_id").parquet(f"{stage}/rows")
+        return old
+    commits.transact(spark, f"{table_path}_tx", f"compact-{uuid.uuid4().hex[:12]}", write, {"rows": table_path})
     return touched_rows(read_partitioned(spark, table_path), touched)
 
 
 def compact_table(spark: SparkSession, table_path: str, key: list[str], seq: str = "ingest_seq",
                   inserted_rows: int = 1) -> DataFrame | None:
     """Whole-table consolidation of an unpartitioned table, opt-in and only when rows
-    were inserted. The result is staged (lineage cut) before overwriting the same path."""
+    were inserted. The new files are whole before the old ones go, as in ``compact_touched``."""
     if inserted_rows <= 0:
         return None
-    merged = replace_dedup(spark.read.parquet(table_path), key, seq, keep_seq=True).transform(materialize)
-    merged.write.mode("overwrite").parquet(table_path)
-    release(merged)
+    commits.recover(spark, f"{table_path}_tx")
+
+    def write(stage: str) -> list[str]:
+        old = [f"{table_path}/{name}" for name in commits.Files(spark, table_path).below(table_path)]
+        replace_dedup(spark.read.parquet(table_path), key, seq, keep_seq=True).write.parquet(f"{stage}/rows")
+        return old
+    commits.transact(spark, f"{table_path}_tx", f"compact-{uuid.uuid4().hex[:12]}", write, {"rows": table_path})
     return spark.read.parquet(table_path)

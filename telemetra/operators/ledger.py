@@ -1,7 +1,7 @@
 """Import / export ledgers (S13, S14, U3, A3, A16) and running totals.
 
-A ledger is a small table keyed by ``file``; history is kept across runs by upserting the
-run's entries (anti-join + union) and rewriting the table.
+A ledger is a small table keyed by ``file``, to which every run adds its entries (see
+``sources/incremental``); ``length`` and ``modified`` identify the file that was imported.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ IMPORT_LEDGER = T.StructType([
     T.StructField("file", T.StringType()), T.StructField("read", T.LongType()),
     T.StructField("inserted", T.LongType()), T.StructField("discarded", T.LongType()),
     T.StructField("elapsed", T.DoubleType()),
+    T.StructField("length", T.LongType()), T.StructField("modified", T.TimestampType()),
 ])
 EXPORT_LEDGER = T.StructType([
     T.StructField("file", T.StringType()), T.StructField("company", T.StringType()),

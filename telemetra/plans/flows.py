@@ -1,4 +1,4 @@
-"""End-to-end flows a user runs (the four entry points of the original tooling).
+"""End-to-end flows a user runs (the entry points of the original tooling).
 
 * ``import_readings_csv``  — interchange CSVs → rules → readings table (+ ledger, audit,
   touched-partition consolidation). Batch, incremental by ledger.
@@ -6,33 +6,40 @@
 * ``export_wide``          — slice of readings → wide pivot CSV (+ export ledger).
 * ``backfill_units``       — model configs → root unit of their process → change set.
 
-Each flow is a handful of DataFrame plans; actions happen only at the writes and at the
-small bookkeeping reads (file listing, ledger). Nothing is collected except file paths.
+Imports list first, subtract the ledger and read only what is pending, in batches bounded by
+bytes. A batch's source text is read by one job, into a staged table; a file that can't be
+read is found by halving and left out (E1). Rows, rejected lines, touched partitions, ledger
+entries and failures of a batch are one transaction (``sources.commits``): a lost driver
+leaves all of them or none, and the next run finishes what was recorded.
 """
 
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from telemetra.session import materialize
 
 from telemetra import session
-from telemetra.constants import MAX_PAST_HOURS, READINGS_COLUMNS
-from telemetra.functions.text import export_file_name, period_label
+from telemetra.constants import MANIFEST_PREFIX, MAX_PAST_HOURS, READINGS_COLUMNS
+from telemetra.functions.text import base_name, export_file_name, period_label
 from telemetra.functions.timefmt import parse_period_bound, period_error
 from telemetra.operators import dedup, hierarchy, reshape, typed_json, validate
-from telemetra.operators.ledger import EXPORT_LEDGER, run_totals
+from telemetra.operators.ledger import EXPORT_LEDGER, IMPORT_LEDGER, run_totals, running_total
+from telemetra.sources import commits
 from telemetra.sources import incremental as inc
-from telemetra.sources.csv_readings import scan_readings_csv
+from telemetra.sources.csv_readings import file_faults, read_cells, readings_of
 from telemetra.sources.tables import scan_active_configs, scan_readings_slice, sink_append, sink_wide_csv
-from telemetra.sources.typed_json_files import read_lines
+from telemetra.sources.typed_json_files import escaped, limit_per_file, read_lines
 
 READINGS_TABLE_SCHEMA = ("company_id STRING, tag_id STRING, value DOUBLE, ts TIMESTAMP_NTZ, "
                          "ingest_seq STRUCT<run: BIGINT, process: STRING, month: STRING, part: INT, pos: BIGINT>, "
                          "month STRING")
+TOUCHED = "company_id STRING, month STRING"
+AUDIT = "company_id STRING, tag_id STRING, value DOUBLE, ts TIMESTAMP_NTZ, reason STRING, file STRING"
 
 
 def read_table(spark: SparkSession, path: str, schema: str = READINGS_TABLE_SCHEMA) -> DataFrame:
@@ -43,41 +50,130 @@ def read_table(spark: SparkSession, path: str, schema: str = READINGS_TABLE_SCHE
 @dataclass
 class ImportResult:
     ledger: DataFrame        # per-file entries of this run (file, read, inserted, discarded, elapsed)
-    failed: DataFrame        # files that failed (stay pending)
+    failed: DataFrame        # files that failed (stay pending), with their error
     totals: DataFrame        # A16
     touched: DataFrame       # A6
     audit: DataFrame         # A12 input: rejected rows with reason
 
+    def progress(self) -> DataFrame:
+        """W4 + F19: the entries in file order with the running total of inserted rows and the
+        rows a second up to there."""
+        return running_total(self.ledger, "file", "inserted", seconds_col="elapsed")
+
+
+@dataclass
+class _Run:
+    """What the batches of a run have left so far; names and numbers only, one a file or batch."""
+    entries: list[tuple] = field(default_factory=list)
+    failed: list[tuple[str, str]] = field(default_factory=list)
+    transactions: list[str] = field(default_factory=list)
+
+
+def _staged(spark: SparkSession, files: list[Row], stage) -> tuple[DataFrame | None, list[Row], list[tuple[str, str]]]:
+    """The staged rows of the files that can be read, those files, and the others with their error."""
+    frames, read, failed = inc.stage_readable(spark, files, stage)
+    rows = reduce(DataFrame.unionByName, frames) if frames else None
+    if rows is not None:
+        rows._stages = frames
+    return rows, read, failed
+
+
+def _without(rows: DataFrame, failed: list[tuple[str, str]]) -> DataFrame:
+    """``rows`` without those of failed files."""
+    if not failed:
+        return rows
+    names = rows.sparkSession.createDataFrame([(f,) for f, _ in failed], "file string")
+    return rows.join(names, "file", "left_anti")
+
+
+def _entries(files: list[Row], counts: DataFrame, seconds: float) -> list[tuple]:
+    """Ledger entries of a batch, zeros for files without rows. ``elapsed`` is a file's share,
+    by bytes, of the seconds measured for its batch."""
+    found = {r["file"]: (r["read"], r["inserted"], r["discarded"]) for r in counts.collect()}  # one row a file of the batch
+    size = sum(f["length"] for f in files) or 1
+    return [(f["file"], *found.get(f["file"], (0, 0, 0)), round(seconds * (f["length"] or 1) / size, 6), f["length"], f["modified"]) for f in files]
+
+
+def _publish(spark: SparkSession, run: _Run, tx: str, table_path: str, ledger_path: str | None, files: list[Row], failed, t0: float,
+             write, counts: DataFrame, moves: dict[str, str], again: bool = False) -> None:
+    """A batch's rows (``write(stage)``), entries and failures as one transaction."""
+    entries = []
+
+    def stage(folder: str) -> None:
+        write(folder)
+        entries.extend(_entries(files, counts, time.time() - t0))
+        if ledger_path and entries:
+            inc.ledger_rows(spark.createDataFrame(entries, IMPORT_LEDGER)).write.parquet(f"{folder}/ledger")
+        if ledger_path and failed:
+            spark.createDataFrame(failed, inc.FAILURES).withColumn("seen", F.current_timestamp()).coalesce(1).write.parquet(f"{folder}/failed")
+
+    places = moves | ({"ledger": ledger_path, "failed": f"{ledger_path}_failed"} if ledger_path else {})
+    commits.transact(spark, f"{table_path}_tx", tx, stage, places, again)
+    run.entries += entries
+    run.failed += failed
+    run.transactions.append(tx)
+
+
+def consolidate(spark: SparkSession, table_path: str, touched_path: str, key: list[str]) -> bool:
+    """A9 on the partitions that imports have touched since they were last consolidated.
+
+    The list is kept at ``touched_path`` until that has succeeded; a failure is a warning, as
+    the rows are stored, and the next call does it. Returns whether nothing is left to do.
+    """
+    fs = commits.Files(spark, touched_path)
+    listed = [f"{touched_path}/{name}" for name in fs.below(touched_path)]
+    if not listed:
+        return True
+    touched = spark.read.schema(TOUCHED).parquet(*listed).distinct()
+    try:
+        if not touched.isEmpty():
+            dedup.compact_touched(spark, table_path, touched, key)
+    except Exception as exc:  # noqa: BLE001 — the rows are stored and the list is kept
+        print(f"warning: consolidation failed ({exc}); rows are stored, the next run does it")
+        return False
+    for path in listed:
+        fs.delete(path)
+    return True
+
 
 def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, ledger_path: str,
                         now, company_id: str, max_past_hours: int = MAX_PAST_HOURS,
-                        compact: bool = True, run_id: int | None = None,
-                        archive_dir: str | None = None) -> ImportResult:
+                        compact: bool = True, run_id: int | None = None, archive_dir: str | None = None,
+                        batch_bytes: int = inc.BATCH_BYTES, again_if_changed: bool = False) -> ImportResult:
     """Interchange CSV import.
 
-    Pending files = listing − ledger. Rows of a file whose timestamps do not all parse fail
-    the file as a whole (not written, not in the ledger, retried next run). Valid rows are
-    appended with an ``ingest_seq`` (run, file order, row order) so consolidation keeps the
-    last write; the (month, company) partitions touched are then consolidated. With
+    Pending files = listing − ledger, read in batches of ``batch_bytes``. A file that can't be
+    read, is not UTF-8, lacks a column or has a timestamp that does not parse fails as a whole
+    (nothing of it is written; its error is added to ``<ledger>_failed``; it is tried again
+    next run). Valid rows are appended with an ``ingest_seq`` (run, file order, row order), so
+    consolidation keeps the last write; rejected rows go to ``<table>_rejected`` with their
+    reason; the (month, company) partitions touched are then consolidated. With
     ``archive_dir`` the files recorded in the ledger are moved there (sub-path kept); the
     ledger stays the record of what is done, so a failed move only leaves a file in place.
     """
     session.configure(spark)
+    touched_path = f"{table_path}_touched"
+    commits.recover(spark, f"{table_path}_tx")
     run_id = inc.next_run(spark, f"{table_path}_runs") if run_id is None else run_id
-    t0 = time.time()
     old = inc.read_ledger(spark, ledger_path)
-    pend = inc.pending_files(inc.list_files(spark, dump_dir, "*.csv"), old)
-    paths = [r["path"] for r in pend.select("path").collect()]  # file names only
-    empty = spark.createDataFrame([], old.schema)
-    if not paths:
-        return ImportResult(empty, empty.select("file"), run_totals(empty), spark.createDataFrame(
-            [], "company_id string, month string"), spark.createDataFrame([], "reason string"))
-    rows = (scan_readings_csv(spark, paths)
-            .withColumn("file", inc.relative_to(dump_dir, F.col("file"))))
-    marked = materialize(validate.annotate(rows, now, max_past_hours), "marked")
-    failed = materialize(inc.failed_files(marked), "failed")
-    try:
-        good = marked.join(failed, "file", "left_anti")
+    pend = inc.pending_files(inc.list_files(spark, dump_dir, "*.csv"), old, again_if_changed)
+    run, touched, audit = _Run(), [], []
+    for n, files in enumerate(inc.batches(pend, batch_bytes)):
+        t0 = time.time()
+        cells, read, failed = _staged(spark, files, lambda part: materialize(read_cells(spark, [escaped(f["path"]) for f in part]), "cells"))
+        if cells is None:
+            run.failed += failed
+            if failed:
+                commits.transact(spark, f"{table_path}_tx", f"{run_id}-{n}-failed-{time.time_ns()}", lambda stage, failed=failed: spark.createDataFrame(
+                    failed, inc.FAILURES).withColumn("seen", F.current_timestamp()).coalesce(1).write.parquet(f"{stage}/failed"), {"failed": f"{ledger_path}_failed"})
+            continue
+        relative = inc.relative_to(dump_dir, F.col("file"))
+        marked = materialize(validate.annotate(readings_of(cells).withColumn("file", relative), now, max_past_hours), "marked")
+        bad = file_faults(cells).withColumn("file", relative).union(inc.failed_files(marked)).groupBy("file").agg(F.min("error").alias("error"))
+        failed = failed + [tuple(r) for r in bad.collect()]  # failed files of one batch
+        session.release(*cells._stages)
+        names = {f for f, _ in failed}
+        good = _without(marked, failed)
         valid = (good.where(F.col("reason").isNull())
                      .withColumn("company_id", F.lit(company_id))
                      .withColumn("ingest_seq", F.struct(F.lit(run_id).cast("long").alias("run"),
@@ -86,29 +182,30 @@ def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, led
                                                         F.col("file_part").alias("part"),
                                                         F.col("pos").alias("pos")))
                      .select(*READINGS_COLUMNS, "ingest_seq"))
-        sink_append(valid, table_path)
-        per_file = (good.groupBy("file")
-                        .agg(F.count(F.lit(1)).alias("read"),
-                             F.count_if(F.col("reason").isNull()).alias("inserted"),
-                             F.count_if(F.col("reason").isNotNull()).alias("discarded"))
-                        .withColumn("elapsed", F.lit(round(time.time() - t0, 3))))
-        run = per_file.select("file", "read", "inserted", "discarded", "elapsed").transform(materialize)
-        inc.write_ledger(spark, ledger_path, old, run)
-        if archive_dir:
-            done = {r["file"] for r in run.select("file").collect()}  # this run's file names
-            inc.archive_files(spark, [r["path"] for r in pend.select("path", "file").collect()
-                                      if r["file"] in done], dump_dir, archive_dir)
-        touched = dedup.touched_partitions(valid).transform(materialize)
-        if compact and not touched.isEmpty():
-            try:
-                dedup.compact_touched(spark, table_path, touched, dedup.READINGS_KEY)
-            except Exception as exc:  # noqa: BLE001 — consolidation failure is a warning; data stays
-                print(f"warning: consolidation failed ({exc}); rows are stored, run it again later")
-        audit = good.where(F.col("reason").isNotNull()).withColumn("company_id", F.lit(company_id)) \
-                    .select("company_id", "tag_id", "value", "ts", "reason", "file").transform(materialize)
-        return ImportResult(run, failed, run_totals(run, failed), touched, audit)
-    finally:
+        rejected = good.where(F.col("reason").isNotNull()).withColumn("company_id", F.lit(company_id)) \
+                       .select("company_id", "tag_id", "value", "ts", "reason", "file")
+        counts = good.groupBy("file").agg(F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason").isNull()).alias("inserted"),
+                                          F.count_if(F.col("reason").isNotNull()).alias("discarded"))
+
+        def write(stage, valid=valid, rejected=rejected):
+            sink_append(valid, f"{stage}/rows")
+            rejected.withColumn("run", F.lit(run_id).cast("long")).write.parquet(f"{stage}/rejected")
+            spark.read.schema(TOUCHED).parquet(f"{stage}/rows").distinct().coalesce(1).write.parquet(f"{stage}/touched")
+
+        touched.append(materialize(dedup.touched_partitions(valid), "touched"))
+        audit.append(materialize(rejected, "audit"))
+        _publish(spark, run, f"{run_id}-{n}-{time.time_ns()}", table_path, ledger_path, [f for f in read if f["file"] not in names], failed, t0, write, counts,
+                 {"rows": table_path, "rejected": f"{table_path}_rejected", "touched": touched_path})
         session.release(marked)
+        if archive_dir:
+            inc.archive_files(spark, [f["path"] for f in read if f["file"] not in names], dump_dir, archive_dir)
+    if compact:
+        consolidate(spark, table_path, touched_path, dedup.READINGS_KEY)
+    inc.fold_ledger(spark, ledger_path)
+    entries = spark.createDataFrame(run.entries, IMPORT_LEDGER)
+    failures = spark.createDataFrame(run.failed, inc.FAILURES)
+    union = lambda frames, schema: reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
+    return ImportResult(entries, failures, run_totals(entries, failures), union(touched, TOUCHED).distinct(), union(audit, AUDIT))
 
 
 def parsed_items(lines: DataFrame, flow: str, default_company: str) -> DataFrame:
@@ -129,59 +226,111 @@ def item_table(items: DataFrame, flow: str, default_company: str, overrides, seq
     return rows.withColumn("ingest_seq", seq).drop("file", "pos")
 
 
-def json_ledger(items: DataFrame, flow: str, elapsed: float) -> DataFrame:
-    """Ledger entries of parsed items: what was read, written and discarded, by file.
-    ``elapsed`` is the batch's time, as its files are read together."""
-    stats = typed_json.per_file_stats(items, rows_mode=(flow != "predictions"))
-    return stats.select("file", "read", F.col("accepted").alias("inserted"), "discarded", F.lit(elapsed).alias("elapsed"))
+@dataclass
+class JsonJob:
+    """Where and how typed-JSON files are imported; batch and stream share it."""
+    dump_dir: str
+    table_path: str
+    ledger_path: str | None
+    touched_path: str
+    flow: str
+    default_company: str
+    overrides: object = None
+    limit_per_file: int | None = None
+
+    @property
+    def partitioned(self) -> bool:
+        return self.flow != "predictions"
+
+    def lines(self, spark: SparkSession, paths: list[str]) -> DataFrame:
+        lines = read_lines(spark, paths).withColumn("file", inc.relative_to(self.dump_dir, inc.plain_path(F.col("file"))))
+        if self.limit_per_file is not None:
+            lines = limit_per_file(lines, self.limit_per_file).drop("line_no")
+        return lines.drop("block")
+
+    def load(self, spark: SparkSession, run: _Run, files: list[Row], seq, tx: str, again: bool = False) -> None:
+        """Import one batch of files (listing rows) as the transaction ``tx``."""
+        t0 = time.time()
+
+        def stage(part):
+            items = parsed_items(self.lines(spark, [f["path"] for f in part]), self.flow, self.default_company)
+            return materialize(items.withColumn("utf8", F.is_valid_utf8("value")), "items")
+        items, read, failed = _staged(spark, files, stage)
+        if items is None:
+            items = parsed_items(spark.createDataFrame([], "file string, value string, pos long"), self.flow, self.default_company).withColumn("utf8", F.lit(True))
+            items._stages = []
+        undecoded = items.where("NOT utf8").select("file").distinct().collect()  # names of one batch
+        failed = failed + [(r["file"], "not UTF-8") for r in undecoded]
+        names = {f for f, _ in failed}
+        good = _without(items, failed)
+        rows = item_table(good, self.flow, self.default_company, self.overrides, seq)
+
+        def write(folder):
+            sink_append(rows, f"{folder}/rows", partitioned=self.partitioned)
+            typed_json.quarantine(good).write.parquet(f"{folder}/quarantine")
+            if self.partitioned:
+                spark.read.schema(TOUCHED).parquet(f"{folder}/rows").distinct().coalesce(1).write.parquet(f"{folder}/touched")
+        counts = typed_json.per_file_stats(good, rows_mode=self.partitioned).withColumnRenamed("accepted", "inserted")
+        moves = {"rows": self.table_path, "quarantine": f"{self.table_path}_quarantine"} | ({"touched": self.touched_path} if self.partitioned else {})
+        _publish(spark, run, tx, self.table_path, self.ledger_path, [f for f in read if f["file"] not in names], failed, t0, write, counts, moves, again)
+        session.release(*items._stages)
+
+    def consolidate(self, spark: SparkSession) -> bool:
+        """A9, or A13 for predictions, whose table has no partitions."""
+        if self.partitioned:
+            return consolidate(spark, self.table_path, self.touched_path, dedup.PROJECTIONS_KEY if self.flow == "projections" else dedup.READINGS_KEY)
+        if commits.Files(spark, self.table_path).below(self.table_path):
+            dedup.compact_table(spark, self.table_path, dedup.PREDICTIONS_KEY)
+        return True
+
+
+def not_manifest(files: DataFrame) -> DataFrame:
+    return files.where(~base_name(F.col("path")).startswith(MANIFEST_PREFIX))
 
 
 def import_typed_json(spark: SparkSession, dump_dir: str, table_path: str | None, flow: str,
                       default_company: str, overrides=None, limit_per_file: int | None = None,
-                      dry_run: bool = False, ledger_path: str | None = None,
-                      compact: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Typed-JSON batch import (S1, S2, S12, P1…P18, R1, W3, A2, S9, S13, A9, A13): returns
-    (rows, per-file stats).
-
-    With ``ledger_path`` only files that the ledger does not have are read, and their
-    entries are upserted. Lines that never become rows go to ``<table>_quarantine``. The
-    touched partitions are consolidated (predictions: the whole table, as it has none).
-    ``dry_run`` (S16) writes nothing and returns the first 5 rows (by ts, process, tag) and
-    the per-file counts instead."""
-    from telemetra.sources.typed_json_files import limit_per_file as _limit
+                      dry_run: bool = False, ledger_path: str | None = None, compact: bool = True,
+                      batch_bytes: int = inc.BATCH_BYTES, again_if_changed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Typed-JSON batch import (S1, S2, S12, P1…P18, R1, W3, A2, E1, S9, S13, A9, A13): returns
+    (rows of this run as stored, per-file counts of this run).
+
+    The folder is listed, the ledger subtracted, and only pending files are opened, in
+    batches of ``batch_bytes``; without ``ledger_path`` every file is pending. A file that
+    can't be read or is not UTF-8 fails alone: its error goes to ``<ledger>_failed`` and it
+    stays pending. A file without rows has an entry with zeros. Lines that never become rows
+    go to ``<table>_quarantine``. The touched partitions are consolidated (predictions: the
+    whole table, as it has none). ``dry_run`` (S16) writes nothing and returns the first 5
+    rows (by ts, process, tag) and the per-file counts of the pending files instead."""
     session.configure(spark)
-    t0 = time.time()
-    lines = read_lines(spark, dump_dir)
-    old = inc.read_ledger(spark, ledger_path) if ledger_path else None
-    if old is not None:
-        lines = lines.join(old.select("file"), "file", "left_anti")
-    if limit_per_file is not None:
-        lines = _limit(lines, limit_per_file).drop("line_no")
-    lines = lines.drop("block")
+    listing = not_manifest(inc.list_files(spark, dump_dir, "*.gz"))
+    if table_path and not dry_run:
+        commits.recover(spark, f"{table_path}_tx")
+    pend = inc.pending_files(listing, inc.read_ledger(spark, ledger_path), again_if_changed) if ledger_path else listing
+    job = JsonJob(dump_dir, table_path, ledger_path, f"{table_path}_touched", flow, default_company, overrides, limit_per_file)
     if dry_run:
+        paths = [f["path"] for batch in inc.batches(pend, batch_bytes) for f in batch]
+        lines = job.lines(spark, paths) if paths else spark.createDataFrame([], "file string, value string, pos long")
         items = parsed_items(lines, flow, default_company)
         rows = item_table(items, flow, default_company, overrides, inc.json_seq(0)).drop("ingest_seq")
         order = ["ts", "process_id"] + (["tag_id"] if flow == "projections" else [])
         stats = typed_json.per_file_stats(items, rows_mode=(flow != "predictions"))
         return rows.orderBy(*[c for c in order if c in rows.columns]).limit(5), stats
-    items = materialize(parsed_items(lines, flow, default_company), "items")
-    rows = item_table(items, flow, default_company, overrides, inc.json_seq(inc.next_run(spark, f"{table_path}_runs")))
-    stats = typed_json.per_file_stats(items, rows_mode=(flow != "predictions"))
-    if stats.isEmpty():
-        return rows, stats
-    sink_append(rows, table_path, partitioned=(flow != "predictions"))
-    typed_json.quarantine(items).write.mode("append").parquet(f"{table_path}_quarantine")
-    if compact and flow == "predictions":
-        dedup.compact_table(spark, table_path, dedup.PREDICTIONS_KEY)
-    elif compact:
-        key = dedup.PROJECTIONS_KEY if flow == "projections" else dedup.READINGS_KEY
-        touched = dedup.touched_partitions(rows).transform(materialize)
-        if not touched.isEmpty():
-            dedup.compact_touched(spark, table_path, touched, key)
-        session.release(touched)
+    run, run_id = _Run(), None
+    for n, files in enumerate(inc.batches(pend, batch_bytes)):
+        run_id = inc.next_run(spark, f"{table_path}_runs") if run_id is None else run_id
+        job.load(spark, run, files, inc.json_seq(run_id, n), f"{run_id}-{n}-{time.time_ns()}")
+    if run.entries and compact:
+        job.consolidate(spark)
     if ledger_path:
-        session.release(inc.write_ledger(spark, ledger_path, old, json_ledger(items, flow, time.time() - t0)))
-    return rows, stats
+        inc.fold_ledger(spark, ledger_path)
+    stats = spark.createDataFrame([e[:4] for e in run.entries], "file string, read long, accepted long, discarded long")
+    empty = item_table(parsed_items(spark.createDataFrame([], "file string, value string, pos long"), flow, default_company), flow, default_company, overrides, inc.json_seq(0))
+    if not commits.Files(spark, table_path).below(table_path):
+        return empty, stats
+    fields = [f for f in empty.schema.fields if f.name != "month"]
+    stored = spark.read.schema(type(empty.schema)(fields)).parquet(table_path)
+    return stored.where(F.col("ingest_seq.run") == F.lit(run_id)).select(*empty.columns), stats
 
 
 def export_wide(spark: SparkSession, readings: DataFrame, company_id: str, date_ini: str, date_end: str,
@@ -207,7 +356,7 @@ def export_wide(spark: SparkSession, readings: DataFrame, company_id: str, date_
         F.lit(company_id).alias("company"), period_label(F.lit(start), F.lit(end)).alias("period"),
         F.lit(rows).cast("long").alias("rows"), F.lit(round(time.time() - t0, 3)).alias("elapsed"))
     if ledger_path:
-        inc.write_ledger(spark, ledger_path, inc.read_ledger(spark, ledger_path, EXPORT_LEDGER), entry)
+        inc.append_ledger(spark, ledger_path, entry, EXPORT_LEDGER)
     return wide, entry
 
 

@@ -14,7 +14,7 @@ from telemetra.operators.ledger import import_totals, upsert_by_key
 from telemetra.plans import flows, roles
 from telemetra.plans.registry import register, with_ctes
 from telemetra.sources.csv_readings import scan_readings_csv
-from telemetra.sources.incremental import read_ledger, write_ledger
+from telemetra.sources.incremental import append_ledger, read_ledger
 from telemetra.sources.tables import read_wide_csv, sink_append, sink_wide_csv
 from telemetra.sources.typed_json_files import discover_files, limit_per_file, read_lines, write_lines
 from telemetra.streaming.file_stream import stream_import
@@ -222,7 +222,7 @@ def export_ledger(spark, sf):
         "company_id", F.lit("1996-01-01-00:00").alias("date_ini"), F.lit("1997-12-31 00:00:00").alias("date_end"))
     entries = flows.export_entries(o, requests, now=roles.ORDERS_NOW)
     path = session.scratch_dir(spark, "export-ledger")
-    write_ledger(spark, path, read_ledger(spark, path, EXPORT_LEDGER), entries)
+    append_ledger(spark, path, entries, EXPORT_LEDGER)
     return read_ledger(spark, path, EXPORT_LEDGER).select("file", "company", "period", "rows")
 
 

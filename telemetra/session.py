@@ -76,20 +76,26 @@ def materialize(df, name: str = "stage"):
     lives on the shared storage named by ``spark.checkpoint.dir``.
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    try:
+        df.write.mode("overwrite").parquet(path)
+    except Exception:
+        _delete(df.sparkSession, path)
+        raise
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stage_path = path  # the frame itself knows its files, see release
     return out
 
 
+def _delete(spark, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def release(*frames) -> None:
     """Delete the staged tables behind frames returned by ``materialize`` once nothing reads
     them any more (e.g. the previous round of an iterative plan after the next round was
     staged). Frames that are not stages are ignored."""
     for df in frames:
         path = getattr(df, "_stage_path", None)
-        if path is None:
-            continue
-        jvm = df.sparkSession.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        if path is not None:
+            _delete(df.sparkSession, path)

@@ -7,61 +7,94 @@ the file). ``value`` is read as text and coerced by P3, so text values are ``bad
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetra.functions.numbers import finite_double
 from telemetra.functions.text import parent_dir, parse_csv_name_part, parse_csv_name_process
 from telemetra.functions.timefmt import parse_utc
+from telemetra.session import materialize
+from telemetra.sources.incremental import plain_path
 
 COLUMNS = ("ts", "tag_id", "value")
-#: Columns a file may have; the three that are read are found by the names in its header.
-MOST_COLUMNS = 16
+MISSING, NOT_UTF8 = "missing column", "not UTF-8"
+#: A quoted cell (a doubled quote is a quote) or a bare one, up to the next comma.
+CELL = r'("[^"]*+(?:""[^"]*+)*+"?|[^,]*)(?:,|$)'
 
 
-def scan_readings_csv(spark: SparkSession, paths, keep_text: bool = False) -> DataFrame:
-    """S3: all ``*.csv`` under ``paths`` (recursive) → ``file, ts, ts_text, tag_id, value``
-    (+ sort keys).
+def cells_of(line: Column) -> Column:
+    """The cells of a CSV line, however many; quoted cells may hold commas and quotes."""
+    quoted = F.transform(F.regexp_extract_all(line, F.lit(CELL), 1), lambda c: F.when(
+        c.startswith('"'), F.replace(F.regexp_replace(c, '^"|"$', ""), F.lit('""'), F.lit('"'))).otherwise(c))
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ",", -1))
 
-    Columns are found by the names in each file's header, whatever their order. The rows of
-    a file whose header lacks one have no ``ts`` and a ``ts_text`` that is no timestamp, so
-    the file fails as a whole (E1). ``pos`` grows with the rows of a file.
 
-    ``value`` is DOUBLE where the text is a finite decimal number, else NULL — which P4 then
-    rejects as ``bad_value``; with ``keep_text`` the raw text is kept as ``value_text``.
-    The process id comes from a ``process_id=`` folder when present, else from the
-    ``processo_<id>[-parteN].csv`` name (F3); the month from the parent folder (F4).
-    """
-    names = [f"c{i}" for i in range(MOST_COLUMNS)]
-    reader = (spark.read.schema(", ".join(f"{n} STRING" for n in names)).option("header", "false")
-                   .option("mode", "PERMISSIVE").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv"))
-    f = F.col("_metadata.file_path")
-    cells = F.array(*names)
-    raw = reader.csv(paths).select(f.alias("file"), cells.alias("cells"), F.monotonically_increasing_id().alias("pos"))
-    header = F.array_contains("cells", COLUMNS[0])
-    for c in COLUMNS[1:]:
-        header = header & F.array_contains("cells", c)
-    header = F.coalesce(header, F.lit(False))
-    heads = raw.where(header).groupBy("file").agg(F.min_by("cells", "pos").alias("head"))
-    rows = raw.where(~header).join(heads, "file", "left")
+def read_cells(spark: SparkSession, paths) -> DataFrame:
+    """``file, block, pos, cells, utf8`` of every line of the CSV files under ``paths`` that is
+    not blank. ``pos`` grows with the lines of a file; ``block`` is where the line's split
+    begins, 0 for a file's first. ``utf8``: the line is valid text."""
+    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").text(paths)
+    raw = raw.select(plain_path(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    line = F.regexp_replace("value", "^﻿|\r$", "")
+    # the one-row generator keeps the optimizer from splitting a line once for each cell
+    rows = raw.select("file", "block", F.is_valid_utf8("value").alias("utf8"), F.inline(F.array(F.struct(cells_of(line).alias("cells"), (F.trim(line) == "").alias("blank")))))
+    return rows.where("NOT blank").select("file", "block", F.monotonically_increasing_id().alias("pos"), "cells", "utf8")
+
+
+def readings_of(cells: DataFrame, keep_text: bool = False) -> DataFrame:
+    """S3 on lines that are split already: the first line of each file is its header, and
+    the three columns are found by the names in it, whatever their place and number."""
+    heads = cells.where("block = 0").groupBy("file").agg(F.min("pos").alias("head_pos"), F.min_by("cells", "pos").alias("head"))
+    heads = heads.withColumn("head", F.transform("head", F.trim))
+    rows = cells.join(heads, "file", "left").where(~F.coalesce(F.col("pos") == F.col("head_pos"), F.lit(False)))
 
     def cell(name):
         return F.expr(f"try_element_at(cells, cast(nullif(array_position(head, '{name}'), 0) AS INT))")
 
+    has_all = F.lit(True)
+    for c in COLUMNS:
+        has_all = has_all & F.coalesce(F.array_contains("head", c), F.lit(False))
     f = F.col("file")
     hive_pid = F.nullif(F.regexp_extract(f, r"/process_id=([^/]+)/", 1), F.lit(""))
     hive_month = F.nullif(F.regexp_extract(f, r"/(?:month|label)=([^/]+)/", 1), F.lit(""))
-    text = F.when(F.col("head").isNull(), "missing column").otherwise(cell("ts"))
+    text = F.when(~has_all, MISSING).otherwise(F.nullif(cell("ts"), F.lit("")))
     out = rows.select("file", "pos",
                       F.coalesce(hive_pid, parse_csv_name_process(f)).alias("file_process"),
                       F.coalesce(hive_month, parent_dir(f)).alias("file_month"),
                       parse_csv_name_part(f).alias("file_part"),
-                      parse_utc(cell("ts")).alias("ts"), text.alias("ts_text"), cell("tag_id").alias("tag_id"),
+                      F.when(has_all, parse_utc(cell("ts"))).alias("ts"), text.alias("ts_text"), F.nullif(cell("tag_id"), F.lit("")).alias("tag_id"),
                       finite_double(cell("value")).alias("value"),
-                      cell("value").alias("value_text"))
+                      F.nullif(cell("value"), F.lit("")).alias("value_text"),
+                      F.when(~F.col("utf8"), NOT_UTF8).when(~has_all, MISSING).alias("fault"))
     return out if keep_text else out.drop("value_text")
 
 
+def file_faults(cells: DataFrame) -> DataFrame:
+    """``(file, error)`` of files whose header lacks a column or that hold bytes that are no text."""
+    head = F.min_by(F.when(F.col("block") == 0, F.transform("cells", F.trim)), F.when(F.col("block") == 0, F.col("pos")))
+    found = cells.groupBy("file").agg(head.alias("head"), F.bool_and("utf8").alias("utf8"))
+    missing = F.array_join(F.array_except(F.array(*map(F.lit, COLUMNS)), "head"), ", ")
+    error = F.when(~F.col("utf8"), NOT_UTF8).when(missing != "", F.concat(F.lit(f"{MISSING}: "), missing))
+    return found.select("file", error.alias("error")).where("error IS NOT NULL")
+
+
+def scan_readings_csv(spark: SparkSession, paths, keep_text: bool = False) -> DataFrame:
+    """S3: all ``*.csv`` under ``paths`` (recursive) → ``file, ts, ts_text, tag_id, value``
+    (+ sort keys and ``fault``).
+
+    The text is read once: lines go to a staged table, as a file's splits need the header
+    that only its first split holds. The rows of a file whose header lacks a column have no
+    ``ts`` and a ``ts_text`` that is no timestamp, so the file fails as a whole (E1);
+    ``fault`` names that, and lines that are not UTF-8. ``pos`` grows with the rows of a file.
+
+    ``value`` is DOUBLE where the text is a finite decimal number, else NULL — which P4 then
+    rejects as ``bad_value``; with ``keep_text`` the raw text is kept as ``value_text``.
+    The process id comes from a ``process_id=`` folder when present, else from the
+    ``processo_<id>[-parteN].csv`` name (F3); the month from the parent folder (F4).
+    """
+    return readings_of(materialize(read_cells(spark, paths), "cells"), keep_text)
+
+
 def sink_month_process_csv(readings: DataFrame, path: str, cap: int | None = None) -> None:
     """One folder per (month label, process, part) with ``ts, tag_id, value`` CSV files.
 
@@ -77,4 +110,3 @@ def sink_month_process_csv(readings: DataFrame, path: str, cap: int | None = Non
     if cap:
         w = w.option("maxRecordsPerFile", cap)
     w.csv(path)
-
