@@ -109,86 +109,89 @@ def _ts_from_us(c):
     return F.timestamp_micros(c).cast("timestamp_ntz")
 
 
-def _halving_counts(rows: DataFrame, levels: int) -> DataFrame:
-    """Counts of every range the halving can produce in ``levels`` steps below each row's
-    current range ``[_s0, _e0)`` (micros). Each row walks down arithmetically (one select
-    per level, the midpoint rounds half to even like the original), then the (range,
-    parent) tuples of all levels are counted with a partial aggregate: a pass produces at
-    most 2^(levels+1) ranges per starting range, however many rows it holds."""
-    cur = rows
-    for d in range(1, levels + 1):
-        s, e = F.col(f"_s{d - 1}"), F.col(f"_e{d - 1}")
-        mid = s + F.bround((e - s).cast("double") / 2.0).cast("long")
-        cur = cur.select("*", F.when(F.col("_t") >= mid, mid).otherwise(s).alias(f"_s{d}"),
-                         F.when(F.col("_t") < mid, mid).otherwise(e).alias(f"_e{d}"))
-    steps = F.array(*[F.struct(F.lit(d).alias("d"), F.col(f"_s{d}").alias("s"), F.col(f"_e{d}").alias("e"),
-                               F.col(f"_s{d - 1}").alias("ps"), F.col(f"_e{d - 1}").alias("pe"))
-                      for d in range(1, levels + 1)])
-    return (cur.select("process_id", "label", F.explode(steps).alias("x"))
-               .groupBy("process_id", "label", "x.d", "x.s", "x.e", "x.ps", "x.pe")
-               .agg(F.count(F.lit(1)).alias("rows")))
+def _halved(rows: DataFrame, levels: int, goes_right) -> DataFrame:
+    """``rows`` with ``[_s, _e)`` (micros) halved ``levels`` times, ``_path`` the halves taken as
+    bits. ``goes_right(mid, level)`` chooses the half; the midpoint rounds half to even like
+    the original."""
+    for level in range(levels):
+        right, mid = goes_right(F.col("_m"), level), F.col("_m")
+        rows = rows.withColumn("_m", F.col("_s") + F.bround((F.col("_e") - F.col("_s")).cast("double") / 2.0).cast("long"))
+        rows = rows.withColumns({"_s": F.when(right, mid).otherwise(F.col("_s")), "_e": F.when(right, F.col("_e")).otherwise(mid),
+                                 "_path": F.col("_path") * 2 + F.when(right, 1).otherwise(0).cast("long")}).drop("_m")
+    return rows
 
 
 def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE_ROW_CAP,
                          col: str = "processId", ts: str = "timestamp") -> DataFrame:
     """T5 (re-aimed): halve every range holding more than ``cap`` rows until none does.
 
-    Month ranges within the cap are final after one aggregate. Rows of over-cap ranges are
-    projected to (process, month, ts) and staged once; each pass then computes 8 halving
-    levels for those rows in one scan (see ``_halving_counts``), keeps as final every range
-    with ≤ cap rows whose parent had more, and carries only the still-over-cap deepest
-    ranges (and their rows, via a join on the small range table) into the
-    next pass. Row data is never rewritten per level. A range of one microsecond cannot be
-    halved and is final whatever it holds. Returns
-    ``(process_id, label, start, end, rows)`` for the non-empty final ranges; together they
-    hold exactly the rows of the unsplit ranges.
+    Month ranges within the cap are final after one aggregate. Rows of the others are
+    projected to (process, month, ts) and staged once, never rewritten. A pass is one
+    counting of them by the finest cell, 8 halvings below the ranges still over the cap (a
+    partial aggregate of at most 256 cells a range); the ranges in between are sums of
+    cells. Final are ranges with rows but no more than ``cap``, whose parent had more; the
+    deepest still over the cap start the next pass, where rows find them by their path of
+    halves, an equi-join. A range of one microsecond cannot be halved and is final whatever
+    it holds. Returns ``(process_id, label, start, end, rows)`` for the non-empty final
+    ranges; together they hold exactly the rows of the unsplit ranges.
     """
     r = ranges.select(F.col("process_id").alias("_rp"), F.col("start").alias("_rs"),
                       F.col("end").alias("_re"), F.col("label"))
     rows = _within(source.select(F.col(col).cast("string").alias("process_id"), F.col(ts).alias("ts")), r).select(
         "process_id", "label", "ts", F.col("_rs").alias("start"), F.col("_re").alias("end"))
-    key = ["process_id", "label", "start", "end"]
-    counts = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).transform(materialize)
+    month = ["process_id", "label", "start", "end"]
+    counts = rows.groupBy(*month).agg(F.count(F.lit(1)).alias("rows")).transform(materialize)
     final = counts.where(F.col("rows") <= cap)
-    over = counts.where(F.col("rows") > cap).select(*key)
+    over = counts.where(F.col("rows") > cap).select(*month)
     if over.isEmpty():
         return final
-    # rows of the over-cap months, staged once: (process, month, ts in micros, month bounds)
-    live = (rows.join(over, key, "left_semi")
-                .select("process_id", "label", _us(F.col("ts")).alias("_t"),
-                        _us(F.col("start")).alias("_s0"), _us(F.col("end")).alias("_e0"))
+    at = ["process_id", "label", "_s0", "_e0"]
+    live = (rows.join(over, month, "left_semi")
+                .select("process_id", "label", _us(F.col("start")).alias("_s0"), _us(F.col("end")).alias("_e0"), _us(F.col("ts")).alias("_t"))
                 .transform(materialize))
-    stages = [counts]
+    stages, still, depth = [counts], None, 0
+    begin = {"_s": F.col("_s0"), "_e": F.col("_e0"), "_path": F.lit(0).cast("long")}
+    by_time = lambda mid, _: F.col("_t") >= mid
     while True:
-        c = _halving_counts(live, LEVELS_PER_PASS).transform(materialize)
-        stages.append(c)
-        parent = c.select("process_id", "label", (F.col("d") + 1).alias("d"), F.col("s").alias("ps"),
-                          F.col("e").alias("pe"), F.col("rows").alias("prow"))
-        first = c.where(F.col("d") == 1)          # parent = the pass's starting range (over cap)
-        deeper = c.where(F.col("d") > 1).join(parent, ["process_id", "label", "d", "ps", "pe"], "inner") \
-                  .where(F.col("prow") > cap).drop("prow")
-        cand = first.unionByName(deeper)
-        leaves = cand.where(F.col("rows") <= cap).select(
-            "process_id", "label", _ts_from_us(F.col("s")).alias("start"),
-            _ts_from_us(F.col("e")).alias("end"), "rows")
-        final = final.unionByName(leaves)
-        deepest = cand.where((F.col("d") == LEVELS_PER_PASS) & (F.col("rows") > cap))
-        final = final.unionByName(deepest.where("e - s <= 1").select(
-            "process_id", "label", _ts_from_us(F.col("s")).alias("start"),
-            _ts_from_us(F.col("e")).alias("end"), "rows"))
-        still = deepest.where("e - s > 1").select("process_id", "label", F.col("s").alias("_s0"), F.col("e").alias("_e0"))
+        walked = _halved(live.withColumns(begin), depth, by_time)
+        if still is not None:
+            walked = walked.join(still, [*at, "_path"], "left_semi")
+        top = F.col("_path")
+        cells = _halved(walked.withColumn("_top", top).withColumn("_path", F.lit(0).cast("long")), LEVELS_PER_PASS, by_time)
+        cells = cells.groupBy(*at, "_top", F.col("_path").alias("_cell")).agg(F.count(F.lit(1)).alias("n")).transform(materialize)
+        stages.append(cells)
+        # every range between: the cells that share its first d halves
+        levels = F.explode(F.array(*map(F.lit, range(1, LEVELS_PER_PASS + 1)))).alias("d")
+        sums = cells.select(*at, "_top", levels, "_cell", "n")
+        sums = sums.groupBy(*at, "_top", "d", F.expr(f"shiftright(_cell, {LEVELS_PER_PASS} - d)").alias("x")).agg(F.sum("n").alias("rows"))
+        parents = sums.select(*at, "_top", (F.col("d") + 1).alias("d"), F.col("x").alias("_px"), F.col("rows").alias("_pn"))
+        cand = sums.withColumn("_px", F.shiftright("x", 1)).join(parents, [*at, "_top", "d", "_px"], "left")
+        cand = cand.where((F.col("d") == 1) | (F.col("_pn") > cap))  # at d = 1 the parent is the pass's range
+        cand = cand.withColumn("_path", F.expr("shiftleft(_top, d) | x"))
+        bounded = _bounds(cand.select(*at, "d", "_path", "rows"), depth).transform(materialize)
+        stages.append(bounded)
+        ends = (F.col("rows") <= cap) | ((F.col("d") == LEVELS_PER_PASS) & (F.col("_e") - F.col("_s") <= 1))
+        final = final.unionByName(bounded.where(ends).select("process_id", "label", _ts_from_us(F.col("_s")).alias("start"),
+                                                             _ts_from_us(F.col("_e")).alias("end"), "rows"))
+        still = bounded.where((F.col("d") == LEVELS_PER_PASS) & ~ends).select(*at, "_path")
+        depth += LEVELS_PER_PASS
         if still.isEmpty():
             out = final.transform(materialize)
             release(live, *stages)   # row and count stages are not read by the result
             return out
-        s_b = still
-        prev = live
-        live = (live.select("process_id", "label", "_t")
-                    .join(s_b, (live["process_id"] == s_b["process_id"]) & (live["label"] == s_b["label"])
-                          & (F.col("_t") >= F.col("_s0")) & (F.col("_t") < F.col("_e0")), "inner")
-                    .select(live["process_id"], live["label"], "_t", "_s0", "_e0")
-                    .transform(materialize))
-        release(prev)
+
+
+def _bounds(ranges: DataFrame, depth: int) -> DataFrame:
+    """``[_s, _e)`` of ranges given by their path, ``depth + d`` halves below ``[_s0, _e0)``."""
+    out = None
+    for d in range(1, LEVELS_PER_PASS + 1):
+        n = depth + d
+        own = ranges.where(F.col("d") == d).withColumnRenamed("_path", "_whole").withColumns(
+            {"_s": F.col("_s0"), "_e": F.col("_e0"), "_path": F.lit(0).cast("long")})
+        own = _halved(own, n, lambda _, level, n=n: F.shiftright("_whole", n - 1 - level).bitwiseAND(F.lit(1)) == 1)
+        own = own.drop("_path").withColumnRenamed("_whole", "_path")
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def number_parts(chunks: DataFrame) -> DataFrame:
@@ -207,20 +210,24 @@ def chunk_row_totals(numbered: DataFrame) -> DataFrame:
                     .agg(F.sum("rows").cast("long").alias("rows"), F.max("part").cast("long").alias("parts")))
 
 
-def extraction_outcomes(grid: DataFrame, done: DataFrame, recent: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Per process: ``skipped`` (nothing pending, or no recent rows), else ``extracted``
-    with the number of (process, month) pairs that produced output."""
-    pend = pending(grid, done)
-    pend_per_proc = pend.groupBy("process_id").agg(F.count(F.lit(1)).alias("pending_months"))
-    got = extracted.select("process_id", "label").distinct().join(pend.select("process_id", "label"),
-                                                                  ["process_id", "label"], "left_semi")
-    got_per_proc = got.groupBy("process_id").agg(F.count(F.lit(1)).alias("pairs"))
-    procs = grid.select("process_id").distinct()
-    return (procs.join(pend_per_proc, "process_id", "left")
-                 .join(recent, "process_id", "left")
-                 .join(got_per_proc, "process_id", "left")
-                 .select("process_id",
-                         F.when(F.col("pending_months").isNull(), F.lit("skipped"))
-                          .when(F.coalesce(F.col("recent_rows"), F.lit(0)) == 0, F.lit("skipped"))
-                          .otherwise(F.lit("extracted")).alias("outcome"),
-                         F.coalesce(F.col("pairs"), F.lit(0)).cast("long").alias("pairs")))
+def extraction_outcomes(grid: DataFrame, done: DataFrame, recent: DataFrame, extracted: DataFrame,
+                        failed: DataFrame | None = None) -> DataFrame:
+    """One row per process: ``skipped`` (nothing pending, or no recent rows: nothing is
+    extracted), ``error`` (a pending pair is in ``failed``), else ``extracted``; with the
+    number of (process, month) pairs that produced output, their rows where ``extracted`` has
+    them, and the number of failed pairs."""
+    pend = pending(grid, done).select("process_id", "label")
+    rows = F.col("rows") if "rows" in extracted.columns else F.lit(None).cast("long")
+    pairs = extracted.groupBy("process_id", "label").agg(F.sum(rows).alias("rows"))
+    got = pairs.join(pend, ["process_id", "label"], "left_semi").groupBy("process_id").agg(F.count(F.lit(1)).alias("pairs"), F.sum("rows").alias("rows"))
+    bad = (grid.limit(0) if failed is None else failed).select("process_id", "label").distinct()
+    bad = bad.join(pend, ["process_id", "label"], "left_semi").groupBy("process_id").agg(F.count(F.lit(1)).alias("errors"))
+    waiting = pend.groupBy("process_id").agg(F.count(F.lit(1)).alias("pending_months"))
+    out = grid.select("process_id").distinct()
+    for side in (waiting, recent, got, bad):
+        out = out.join(side, "process_id", "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    skipped = F.col("pending_months").isNull() | (zero("recent_rows") == 0)
+    count = lambda c: F.when(skipped, F.lit(0).cast("long")).otherwise(zero(c)).alias(c)
+    return out.select("process_id", F.when(skipped, "skipped").when(zero("errors") > 0, "error").otherwise("extracted").alias("outcome"),
+                      count("pairs"), count("rows"), count("errors"))

@@ -39,21 +39,40 @@ def pivot_wide(long: DataFrame, tags: list[str] | None = None, order_col: str |
     """R2: one row per ts, one column per tag (sorted by name), cell = first non-null value.
 
     All-null tags and all-null timestamps vanish because NULL values are removed before the
-    pivot. Passing ``tags`` avoids the extra distinct job; requested tags without any value
-    are dropped afterwards so the column set matches the data.
+    pivot; so do requested tags without any value. The tags present are listed first and
+    given to the pivot, so their number has no limit but that of a frame's columns; for a
+    wide file of any number of tags see ``wide_lines``.
     """
     cells = first_non_null_cells(long, order_col, (ts_col, tag_col), value_col)
-    if tags is None:
-        wide = cells.groupBy(ts_col).pivot(tag_col).agg(F.first(value_col))
-        present = sorted(c for c in wide.columns if c != ts_col)
-    else:
-        want = sorted(set(tags))
-        wide = cells.groupBy(ts_col).pivot(tag_col, want).agg(F.first(value_col))
-        # a requested tag with no value at all becomes an all-NULL column: drop it
-        seen = {r[0] for r in cells.select(tag_col).where(F.col(tag_col).isin(*want))
-                                   .distinct().collect()} if want else set()
-        present = [t for t in want if t in seen]
-    return wide.select(ts_col, *[F.col(f"`{t}`") for t in present])
+    listed = cells if tags is None else cells.where(F.col(tag_col).isin(*sorted(set(tags))) if tags else F.lit(False))
+    present = sorted(r[0] for r in listed.select(tag_col).where(F.col(tag_col).isNotNull()).distinct().collect())  # column names
+    if not present:
+        return cells.select(ts_col).where(F.lit(False))
+    wide = cells.groupBy(ts_col).pivot(tag_col, present).agg(F.first(value_col))
+    return wide.select(ts_col, *[F.col(f"`{t.replace('`', '``')}`") for t in present])
+
+
+def export_counts(long: DataFrame, by=("company_id",)) -> DataFrame:
+    """Points read and periods (rows of the wide file) of an export's long rows."""
+    return long.groupBy(*by).agg(F.count(F.lit(1)).alias("points"),
+                                 F.count_distinct(F.when(F.col("value").isNotNull(), F.col("ts"))).alias("periods"))
+
+
+def wide_lines(cells: DataFrame, tags: list[str], sep: str = ";", ts_col: str = "ts",
+               tag_col: str = "tag_id", value_col: str = "value") -> DataFrame:
+    """R2 + O2 + F12 as text: one ``(ts, line)`` per timestamp, for any number of tags.
+
+    ``cells`` has one non-null value a (ts, tag); ``tags`` are the columns in order. A row
+    is kept sparse, as its (position, text) pairs; the separators of the gaps between them
+    are put in when the line is rendered, so a line costs what it holds.
+    """
+    places = cells.sparkSession.createDataFrame([(t, i) for i, t in enumerate(tags, 1)], f"{tag_col} string, _at int")
+    pair = F.struct("_at", F.col(value_col).cast("string").alias("text"))
+    rows = cells.join(places, tag_col).groupBy(ts_col).agg(F.array_sort(F.collect_list(pair)).alias("_e"))
+    e, at = F.col("_e"), lambda i: F.element_at("_e", i)["_at"]
+    gap = F.transform(e, lambda x, i: F.concat(F.repeat(F.lit(sep), x["_at"] - F.when(i == 0, 0).otherwise(e[i - 1]["_at"])), x["text"]))
+    rest = F.repeat(F.lit(sep), F.lit(len(tags)) - at(-1))
+    return rows.select(ts_col, F.concat(minute_label(F.col(ts_col)), F.array_join(gap, ""), rest).alias("line"))
 
 
 def wide_export_frame(wide: DataFrame, ts_col: str = "ts") -> DataFrame:
@@ -61,4 +80,4 @@ def wide_export_frame(wide: DataFrame, ts_col: str = "ts") -> DataFrame:
     tags = [c for c in wide.columns if c != ts_col]
     return (wide.orderBy(ts_col)
                 .select(minute_label(F.col(ts_col)).alias(EXPORT_TS_COLUMN),
-                        *[F.col(f"`{t}`") for t in tags]))
+                        *[F.col(f"`{t.replace('`', '``')}`") for t in tags]))

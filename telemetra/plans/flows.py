@@ -4,6 +4,7 @@
   touched-partition consolidation). Batch, incremental by ledger.
 * ``import_typed_json``    — typed-JSON exports → projections / variables / predictions.
 * ``export_wide``          — slice of readings → wide pivot CSV (+ export ledger).
+* ``extract_readings``     — source table → month/process CSV files, resumable.
 * ``backfill_units``       — model configs → root unit of their process → change set.
 
 Imports list first, subtract the ledger and read only what is pending, in batches bounded by
@@ -19,20 +20,21 @@ import time
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from telemetra.session import materialize
 
 from telemetra import session
-from telemetra.constants import MANIFEST_PREFIX, MAX_PAST_HOURS, READINGS_COLUMNS
+from telemetra.constants import DAYS_BACK, EXPORT_TS_COLUMN, MANIFEST_PREFIX, MAX_PAST_HOURS, READINGS_COLUMNS, SOURCE_ROW_CAP
 from telemetra.functions.text import base_name, export_file_name, period_label
 from telemetra.functions.timefmt import parse_period_bound, period_error
 from telemetra.operators import dedup, hierarchy, reshape, typed_json, validate
+from telemetra.operators import extract as ex
 from telemetra.operators.ledger import EXPORT_LEDGER, IMPORT_LEDGER, run_totals, running_total
 from telemetra.sources import commits
 from telemetra.sources import incremental as inc
-from telemetra.sources.csv_readings import file_faults, read_cells, readings_of
-from telemetra.sources.tables import scan_active_configs, scan_readings_slice, sink_append, sink_wide_csv
+from telemetra.sources.csv_readings import exported_pairs, file_faults, read_cells, readings_of, sink_month_process_csv
+from telemetra.sources.tables import csv_cell, scan_active_configs, scan_readings_slice, sink_append, sink_lines
 from telemetra.sources.typed_json_files import escaped, limit_per_file, read_lines
 
 READINGS_TABLE_SCHEMA = ("company_id STRING, tag_id STRING, value DOUBLE, ts TIMESTAMP_NTZ, "
@@ -333,31 +335,92 @@ def import_typed_json(spark: SparkSession, dump_dir: str, table_path: str | None
     return stored.where(F.col("ingest_seq.run") == F.lit(run_id)).select(*empty.columns), stats
 
 
+@dataclass
+class ExportResult:
+    file: str        # name of the wide file
+    points: int      # A14: long rows read (after last-write-wins unless raw)
+    rows: int        # A14: rows of the wide file; 0: nothing written
+    elapsed: float   # seconds, measured
+
+
 def export_wide(spark: SparkSession, readings: DataFrame, company_id: str, date_ini: str, date_end: str,
-                tags, out_dir: str, ledger_path: str | None, now, use_final: bool = True):
-    """Wide export (F14, F15, S5, A8, R2, O2, F12, S10, S14, A14). Returns (wide frame, ledger entry)."""
+                tags, out_dir: str, ledger_path: str | None, now, use_final: bool = True) -> ExportResult:
+    """Wide export (F14, F15, S5, A8, R2, O2, F12, S10, S14, A14) to ``out_dir/<file>``.
+
+    The slice is read, consolidated and reduced to cells once; points and rows are counted
+    as they are written. Any number of tags; rows are sorted in range partitions. An export
+    without rows leaves no file, no ledger entry, and removes an earlier file of its name.
+    """
+    session.configure(spark)
     req = spark.range(1).select(parse_period_bound(F.lit(date_ini)).alias("s"),
                                 parse_period_bound(F.lit(date_end)).alias("e"),
                                 F.lit(str(now)).cast("timestamp_ntz").alias("now"))
-    chk = req.select("s", "e", period_error("s", "e", "now").alias("err"),
-                     F.least("e", "now").alias("e2")).first()
+    chk = req.select("s", "e", period_error("s", "e", "now").alias("err"), F.least("e", "now").alias("e2"),
+                     export_file_name(F.lit(company_id), "s", F.least("e", "now")).alias("file"),
+                     period_label("s", F.least("e", "now")).alias("period")).first()
     if chk["err"]:
         raise ValueError(f"invalid period: {chk['err']}")
-    start, end = chk["s"], chk["e2"]
-    long = scan_readings_slice(readings, company_id, start, end, tags, dedup=use_final)
-    wide = reshape.wide_export_frame(reshape.pivot_wide(long, tags))
-    t0 = time.time()
-    wrote = sink_wide_csv(wide, out_dir)
-    if not wrote:
-        return wide, None
-    rows = wide.count()
-    entry = spark.range(1).select(
-        export_file_name(F.lit(company_id), F.lit(start), F.lit(end)).alias("file"),
-        F.lit(company_id).alias("company"), period_label(F.lit(start), F.lit(end)).alias("period"),
-        F.lit(rows).cast("long").alias("rows"), F.lit(round(time.time() - t0, 3)).alias("elapsed"))
-    if ledger_path:
+    t0, seen = time.time(), Observation()
+    long = scan_readings_slice(readings, company_id, chk["s"], chk["e2"], tags, dedup=use_final, keep_seq=True)
+    order = "ingest_seq" if "ingest_seq" in readings.columns else None
+    cells = materialize(reshape.first_non_null_cells(long.observe(seen, F.count(F.lit(1)).alias("points")), order), "cells")
+    try:
+        points = seen.get["points"]
+        present = sorted(r["tag_id"] for r in cells.select("tag_id").distinct().collect() if r["tag_id"] is not None)  # the header
+        header = ";".join(map(csv_cell, [EXPORT_TS_COLUMN, *present]))
+        lines = reshape.wide_lines(cells, present).orderBy("ts").select("line")
+        rows = sink_lines(lines, header, out_dir, chk["file"])
+    finally:
+        session.release(cells)
+    result = ExportResult(chk["file"], points, rows, round(time.time() - t0, 3))
+    if rows and ledger_path:
+        entry = spark.createDataFrame([(result.file, company_id, chk["period"], rows, result.elapsed)], EXPORT_LEDGER)
         inc.append_ledger(spark, ledger_path, entry, EXPORT_LEDGER)
-    return wide, entry
+    return result
+
+
+def extract_readings(spark: SparkSession, source: DataFrame, dump_dir: str, made_dir: str, now, days: int = DAYS_BACK,
+                     overrides=None, cap: int = SOURCE_ROW_CAP) -> DataFrame:
+    """Extraction to interchange CSV (A4, A5, F13, J4, J5, S15, T5, W2, S4, F10, S8, A11, A15):
+    ``(process_id, outcome, pairs, rows, errors)`` of every process.
+
+    Pending are the (process, month) pairs without a file in the dump or the done folder, of
+    processes with rows in the last ``days``. A month's pairs are one job each for the split
+    into parts and for the files. If it fails, its processes are halved until the bad one is
+    alone: that pair is an error and stays pending, the others are written.
+    """
+    session.configure(spark)
+    commits.recover(spark, f"{dump_dir}_tx")
+    grid = materialize(ex.work_grid(ex.distinct_processes(source), now, days), "grid")
+    done = materialize(exported_pairs(spark, dump_dir, made_dir), "done")
+    recent = materialize(ex.count_recent_by_process(source, now, days), "recent")
+    todo = materialize(ex.pending(grid, done).join(recent.where("recent_rows > 0"), "process_id", "left_semi"), "todo")
+    totals, errors = [], []
+
+    def attempt(pairs: DataFrame, parts: int, part: int) -> None:
+        mine = pairs.where(F.pmod(F.xxhash64("process_id"), F.lit(parts)) == part)
+        try:
+            chunks = materialize(ex.number_parts(ex.adaptive_range_split(source, mine, cap)), "chunks")
+            rows = ex.scan_source_range(source, chunks.select("process_id", "label", "start", "end", "file_name"), overrides)
+            sink_month_process_csv(rows, dump_dir)
+            totals.append(chunks)
+        except Exception as error:  # noqa: BLE001 — sorted out below
+            if not inc.file_fault(spark, error):
+                raise
+            left = mine.limit(2).collect()
+            if len(left) == 1 or parts >= 1 << 62:
+                errors.extend((r["process_id"], r["label"], inc.said(error)) for r in left)
+            elif left:
+                attempt(pairs, 2 * parts, part)
+                attempt(pairs, 2 * parts, part + parts)
+
+    for (label,) in todo.select("label").distinct().orderBy("label").collect():  # the months of the look-back
+        attempt(todo.where(F.col("label") == label), 1, 0)
+    extracted = ex.chunk_row_totals(reduce(DataFrame.unionByName, totals)) if totals else spark.createDataFrame([], "process_id string, label string, rows long, parts long")
+    failed = spark.createDataFrame(errors, "process_id string, label string, error string")
+    out = materialize(ex.extraction_outcomes(grid, done, recent, extracted, failed), "outcomes")
+    session.release(grid, done, recent, todo, *totals)
+    return out
 
 
 def backfill_units(configs: DataFrame, process: DataFrame, config_type: str,
@@ -378,7 +441,8 @@ def export_entries(readings: DataFrame, requests: DataFrame, now) -> DataFrame:
     """S14 set-at-a-time: for each export request ``(company_id, date_ini, date_end)`` the
     ledger entry ``(file, company, period, rows, elapsed)``, where rows = wide rows
     (distinct timestamps with a non-null value, after last-write-wins). Requests failing
-    validation (F15) are dropped; the period end is clamped to ``now``."""
+    validation (F15) are dropped; the period end is clamped to ``now``. ``elapsed`` is a
+    request's share, by rows, of the seconds measured for all."""
     n = F.lit(str(now)).cast("timestamp_ntz")
     req = (requests.select("company_id", parse_period_bound("date_ini").alias("s"),
                            parse_period_bound("date_end").alias("e0"))
@@ -391,7 +455,9 @@ def export_entries(readings: DataFrame, requests: DataFrame, now) -> DataFrame:
     matched = ts.join(req,
                       (F.col("company_id") == F.col("r_company")) & (F.col("ts") >= F.col("s"))
                       & (F.col("ts") <= F.col("e")))
-    rows = matched.groupBy("company_id", "s", "e").agg(F.count(F.lit(1)).alias("rows"))
+    t0 = time.time()
+    rows = materialize(matched.groupBy("company_id", "s", "e").agg(F.count(F.lit(1)).alias("rows")), "entries")
+    share = F.col("rows") / F.sum("rows").over(Window.partitionBy())  # one row a request
     return rows.select(export_file_name("company_id", "s", "e").alias("file"),
                        F.col("company_id").alias("company"), period_label("s", "e").alias("period"),
-                       "rows", F.lit(0.0).alias("elapsed"))
+                       "rows", F.round(F.lit(time.time() - t0) * share, 6).alias("elapsed"))

@@ -13,8 +13,8 @@ from telemetra.operators.filters import drop_null_ids, project_rename
 from telemetra.operators.ordering import file_name_sort, file_order
 from telemetra.plans import roles
 from telemetra.plans.registry import register, with_ctes
-from telemetra.sources.csv_readings import scan_readings_csv, sink_month_process_csv
-from telemetra.sources.incremental import list_files
+from telemetra.plans import flows
+from telemetra.sources.csv_readings import exported_pairs, scan_readings_csv, sink_month_process_csv
 
 SRC, MON, GRID, DONE = roles.SQL_EVENTS_SOURCE, roles.SQL_MONTHS, roles.SQL_GRID, roles.SQL_DONE
 NOW, DAYS, CAP = roles.EXTRACT_NOW, roles.EXTRACT_DAYS, roles.RANGE_CAP
@@ -151,40 +151,72 @@ def chunk_row_totals(spark, sf):
     return ex.chunk_row_totals(ex.number_parts(_chunks(spark, sf)))
 
 
+_FAILED = "CAST(process_id AS BIGINT) % 11 = 3 AND label = '2024-01'"
+
+
 @register("extraction_outcomes", "A15 A5 J5", with_ctes(SRC, MON, GRID, DONE, f"""
 pend AS (SELECT process_id, label FROM grid EXCEPT SELECT process_id, label FROM done),
 recent AS (SELECT CAST(processId AS VARCHAR) AS process_id, count(*) AS n FROM src
            WHERE processId IS NOT NULL AND "timestamp" >= TIMESTAMP '{NOW}' - INTERVAL 20 DAY GROUP BY processId),
-got AS (SELECT DISTINCT p.process_id, p.label FROM pend p JOIN grid g USING (process_id, label)
-        JOIN src s ON CAST(s.processId AS VARCHAR) = g.process_id AND s."timestamp" >= g.start AND s."timestamp" < g."end")""",
+got AS (SELECT p.process_id, p.label, count(*) AS n FROM pend p JOIN grid g USING (process_id, label)
+        JOIN src s ON CAST(s.processId AS VARCHAR) = g.process_id AND s."timestamp" >= g.start AND s."timestamp" < g."end"
+        WHERE NOT ({_FAILED.replace('process_id', 'p.process_id').replace('label', 'p.label')}) GROUP BY ALL),
+bad AS (SELECT process_id, count(*) AS n FROM pend WHERE {_FAILED} GROUP BY 1),
+o AS (SELECT pr.process_id, coalesce(r.n, 0) > 0 AND pr.process_id IN (SELECT process_id FROM pend) AS tried, coalesce(b.n, 0) AS bad
+      FROM procs pr LEFT JOIN recent r USING (process_id) LEFT JOIN bad b USING (process_id)),
+g AS (SELECT process_id, count(*) AS pairs, sum(n) AS n FROM got GROUP BY 1)""",
     body="""
-SELECT pr.process_id,
-       CASE WHEN NOT EXISTS (SELECT 1 FROM pend WHERE pend.process_id = pr.process_id) THEN 'skipped'
-            WHEN coalesce((SELECT n FROM recent WHERE recent.process_id = pr.process_id), 0) = 0 THEN 'skipped'
-            ELSE 'extracted' END AS outcome,
-       CAST((SELECT count(*) FROM got WHERE got.process_id = pr.process_id) AS BIGINT) AS pairs
-FROM procs pr"""))
+SELECT process_id, CASE WHEN NOT tried THEN 'skipped' WHEN bad > 0 THEN 'error' ELSE 'extracted' END AS outcome,
+       CAST(CASE WHEN tried THEN coalesce(pairs, 0) ELSE 0 END AS BIGINT) AS pairs,
+       CAST(CASE WHEN tried THEN coalesce(n, 0) ELSE 0 END AS BIGINT) AS rows,
+       CAST(CASE WHEN tried THEN bad ELSE 0 END AS BIGINT) AS errors
+FROM o LEFT JOIN g USING (process_id)"""))
 def extraction_outcomes(spark, sf):
+    """Outcomes with pairs that failed: those of some processes in one month."""
     g = _grid(spark, sf)
     src = _src(spark, sf)
     recent = ex.count_recent_by_process(src, NOW, 20)
-    extracted = ex.scan_source_range(src, g, OVERRIDES).select("process_id", "label")
-    return ex.extraction_outcomes(g, _done(g), recent, extracted)
+    failed = g.where(_FAILED).select("process_id", "label")
+    extracted = ex.scan_source_range(src, g, OVERRIDES).groupBy("process_id", "label").agg(F.count(F.lit(1)).alias("rows"))
+    return ex.extraction_outcomes(g, _done(g), recent, extracted.join(failed, ["process_id", "label"], "left_anti"), failed)
 
 
 @register("sink_month_process_csv", "S8 S3 U1", _SCAN_SQL.replace("SELECT g.process_id, g.label,", "SELECT g.label, g.process_id,"))
 def sink_month_process_csv_q(spark, sf):
     # every row lands in its chunk (part) of its (process, month): the numbered chunk table
-    # is the range table, so the part travels with the row
-    chunks = ex.number_parts(_chunks(spark, sf)).select("process_id", "label", "start", "end", "part")
+    # is the range table, so the name of its file travels with the row
+    chunks = ex.number_parts(_chunks(spark, sf)).select("process_id", "label", "start", "end", "file_name")
     labelled = ex.scan_source_range(_src(spark, sf), chunks, OVERRIDES)
     path = session.scratch_dir(spark, "month-csv")
-    sink_month_process_csv(labelled, path, cap=CAP)
+    sink_month_process_csv(labelled, path)
     back = scan_readings_csv(spark, path)
     return back.select(F.col("file_month").alias("label"), F.col("file_process").alias("process_id"),
                        "ts", "tag_id", "value")
 
 
+@register("extract_readings", "A15 S15 S8 T5 A11", with_ctes(SRC, MON, GRID, DONE, f"""
+src2 AS (SELECT * FROM src WHERE processId % 4 = 1),
+pend AS (SELECT process_id, label FROM grid WHERE CAST(process_id AS BIGINT) % 4 = 1 AND label <> '2023-12'),
+n AS (SELECT g.process_id, g.label, count(*) AS n FROM grid g JOIN pend USING (process_id, label)
+      JOIN src2 s ON CAST(s.processId AS VARCHAR) = g.process_id AND s."timestamp" >= g.start AND s."timestamp" < g."end" GROUP BY ALL),
+recent AS (SELECT CAST(processId AS VARCHAR) AS process_id, count(*) AS c FROM src2 WHERE "timestamp" >= TIMESTAMP '{NOW}' - INTERVAL {DAYS} DAY GROUP BY 1)""", body="""
+SELECT p.process_id, CASE WHEN coalesce(any_value(c), 0) > 0 AND count(DISTINCT pend.label) > 0 THEN 'extracted' ELSE 'skipped' END AS outcome,
+       CAST(CASE WHEN coalesce(any_value(c), 0) > 0 THEN count(n.n) ELSE 0 END AS BIGINT) AS pairs,
+       CAST(CASE WHEN coalesce(any_value(c), 0) > 0 THEN coalesce(sum(n.n), 0) ELSE 0 END AS BIGINT) AS rows, CAST(0 AS BIGINT) AS errors
+FROM (SELECT DISTINCT CAST(processId AS VARCHAR) AS process_id FROM src2 WHERE processId IS NOT NULL) p
+LEFT JOIN pend USING (process_id) LEFT JOIN n USING (process_id, label) LEFT JOIN recent USING (process_id) GROUP BY 1"""))
+def extract_readings(spark, sf):
+    """The extraction flow resumed: the first month is in the done folder, the rest is
+    extracted to the dump folder; a second run finds nothing pending."""
+    source = _src(spark, sf).where("processId % 4 = 1")
+    base = session.scratch_dir(spark, "extraction")
+    g = ex.work_grid(ex.distinct_processes(source), NOW, DAYS)
+    first = g.where("label = '2023-12'").select("process_id", "label", F.format_string("processo_%s.csv", "process_id").alias("file_name"),
+                                               F.col("start").alias("ts"), F.lit("t").alias("tag_id"), F.lit(1.0).alias("value"))
+    sink_month_process_csv(first, f"{base}/made")
+    return flows.extract_readings(spark, source, f"{base}/dump", f"{base}/made", NOW, DAYS, OVERRIDES, cap=CAP)
+
+
 def _paths(spark, sf):
     ev = roles.table(spark, sf, "events")
     u, e = F.col("user_id"), F.col("event_id")
@@ -249,16 +281,11 @@ def file_name_sort_q(spark, sf):
 @register("resume_export", "S15 J5", with_ctes(SRC, MON, GRID, DONE, body="""
 SELECT process_id, label FROM grid EXCEPT SELECT process_id, label FROM done"""))
 def resume_export(spark, sf):
+    """What is left to extract, by the files in the dump and the done folder."""
     g = _grid(spark, sf)
-    rows = ex.scan_source_range(_src(spark, sf), g, OVERRIDES)
-    done_rows = rows.join(_done(g), ["process_id", "label"], "left_semi").withColumn("part", F.lit(1).cast("long"))
-    path = session.scratch_dir(spark, "exported")
-    sink_month_process_csv(done_rows, path)
-    # pairs with output on disk, from the listing alone (file contents are not read)
-    listed = list_files(spark, path, "*.csv")
-    on_disk = listed.select(F.regexp_extract("path", r"/label=([^/]+)/", 1).alias("label"),
-                            F.regexp_extract("path", r"/process_id=([^/]+)/", 1).alias("process_id")).distinct()
-    # pairs whose month had no source rows are "done" too only if they have a file; the
-    # grid minus what is on disk is what a re-run still has to extract
-    empty_done = _done(g).join(rows.select("process_id", "label").distinct(), ["process_id", "label"], "left_anti")
-    return ex.pending(g, on_disk.unionByName(empty_done)).select("process_id", "label")
+    done = _done(g).select("process_id", "label", F.format_string("processo_%s.csv", "process_id").alias("file_name"), F.lit("t").alias("tag_id"),
+                           F.to_timestamp_ntz("label", F.lit("yyyy-MM")).alias("ts"), F.lit(1.0).alias("value"))
+    base = session.scratch_dir(spark, "exported")
+    sink_month_process_csv(done.where("label = '2023-12'"), f"{base}/made")
+    sink_month_process_csv(done.where("label <> '2023-12'"), f"{base}/dump")
+    return ex.pending(g, exported_pairs(spark, f"{base}/dump", f"{base}/made")).select("process_id", "label")

@@ -195,15 +195,15 @@ def unpivot_fixed_columns(spark, sf):
                                    ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
-@register("export_counts", "A14", with_ctes(OR, f"""
-s AS (SELECT * FROM ord_r WHERE ts >= TIMESTAMP '{P_START}' AND ts <= TIMESTAMP '{P_END}')""", body="""
+@register("export_counts", "A14 A8", with_ctes(OR, f"""
+s AS (SELECT * FROM ord_r WHERE ts >= TIMESTAMP '{P_START}' AND ts <= TIMESTAMP '{P_END}'
+      QUALIFY row_number() OVER (PARTITION BY company_id, tag_id, ts ORDER BY o_orderkey DESC) = 1)""", body="""
 SELECT company_id, count(*) AS points, count(DISTINCT ts) FILTER (WHERE value IS NOT NULL) AS periods
 FROM s GROUP BY company_id"""))
 def export_counts(spark, sf):
     s = filters.period_inclusive(_ord(spark, sf), P_START, P_END)
-    return s.groupBy("company_id").agg(
-        F.count(F.lit(1)).alias("points"),
-        F.count_distinct(F.when(F.col("value").isNotNull(), F.col("ts"))).alias("periods"))
+    last = dedup.replace_dedup(s.select("company_id", "tag_id", "ts", "value", "o_orderkey"), dedup.READINGS_KEY, "o_orderkey")
+    return reshape.export_counts(last)
 
 
 # --- scalar functions ---------------------------------------------------------------------

@@ -18,10 +18,13 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
 PLAN, DONE = "_plan", "_done"
+#: Renames at once (each is a call to the file system that mostly waits).
+MOVERS = 16
 
 
 class Files:
@@ -80,6 +83,30 @@ class Files:
         if not self.move(part, path):
             raise OSError(f"could not publish {path}")
 
+    def join(self, header: str, folder: str, target: str) -> None:
+        """The files below ``folder``, in order of their names and after ``header``, as the one
+        file ``target``. Bytes pass through in blocks; the file appears whole, by a rename."""
+        part = f"{target.rpartition('/')[0]}/.{uuid.uuid4().hex}"
+        out = self._fs.create(self._path(part), True)
+        try:
+            out.write(bytearray(header.encode()))
+            for name in self.below(folder):
+                source = self._fs.open(self._path(f"{folder}/{name}"))
+                try:
+                    self._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, self._conf, False)
+                finally:
+                    source.close()
+        finally:
+            out.close()
+        self.delete(target)
+        if not self.move(part, target):
+            raise OSError(f"could not publish {target}")
+
+    def plain(self, hive_folder: str) -> str:
+        """``month=2024-01/name=a%3Ab`` → ``2024-01/a:b``."""
+        unescape = self._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        return "/".join(unescape(part.partition("=")[2]) for part in hive_folder.split("/"))
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:
@@ -102,16 +129,28 @@ def claim(spark: SparkSession, folder: str) -> int:
 def _finish(fs: Files, home: str, tx: str) -> None:
     stage = f"{home}/{tx}"
     plan = json.loads(fs.read_text(f"{stage}/{PLAN}"))
-    made = set()
+    moves, folders = [], set()
     for name, target in plan["moves"].items():
         for rel in fs.below(f"{stage}/{name}"):
             folder, _, base = rel.rpartition("/")
-            place = f"{target}/{folder}" if folder else target
-            if place not in made:
-                fs.folder(place)
-                made.add(place)
-            if not fs.move(f"{stage}/{name}/{rel}", f"{place}/{tx}-{base}") and fs.exists(f"{stage}/{name}/{rel}"):
-                raise OSError(f"could not move {rel} to {place}")
+            if name == plan["named"]:
+                place = f"{target}/{fs.plain(folder)}"
+            else:
+                place = f"{target}/{folder}/{tx}-{base}" if folder else f"{target}/{tx}-{base}"
+            folders.add(place.rpartition("/")[0])
+            moves.append((f"{stage}/{name}/{rel}", place))
+    for folder in sorted(folders):
+        fs.folder(folder)
+
+    def move(pair: tuple[str, str]) -> None:
+        if not fs.move(*pair) and fs.exists(pair[0]):
+            raise OSError(f"could not move {pair[0]} to {pair[1]}")
+    if len(moves) <= MOVERS:
+        for pair in moves:
+            move(pair)
+    else:
+        with ThreadPoolExecutor(MOVERS) as pool:
+            list(pool.map(move, moves))
     for path in plan["replaces"]:
         fs.delete(path)
     if plan["again"]:
@@ -120,7 +159,7 @@ def _finish(fs: Files, home: str, tx: str) -> None:
 
 
 def transact(spark: SparkSession, home: str, tx: str, write: Callable[[str], Iterable[str] | None], moves: dict[str, str],
-             again: bool = False) -> bool:
+             again: bool = False, named: str | None = None) -> bool:
     """Run a transaction once and for all; False when it was done before.
 
     ``write(stage)`` writes sub-folders of ``stage`` and may return older files that the new
@@ -136,7 +175,7 @@ def transact(spark: SparkSession, home: str, tx: str, write: Callable[[str], Ite
         fs.delete(stage)
         replaces = list(write(stage) or ())
         fs.folder(stage)
-        fs.write_text(f"{stage}/{PLAN}", json.dumps({"moves": moves, "replaces": replaces, "again": again}))
+        fs.write_text(f"{stage}/{PLAN}", json.dumps({"moves": moves, "replaces": replaces, "again": again, "named": named}))
     _finish(fs, home, tx)
     return True
 

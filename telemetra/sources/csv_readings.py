@@ -7,6 +7,8 @@ the file). ``value`` is read as text and coerced by P3, so text values are ``bad
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,8 @@ from telemetra.functions.numbers import finite_double
 from telemetra.functions.text import parent_dir, parse_csv_name_part, parse_csv_name_process
 from telemetra.functions.timefmt import parse_utc
 from telemetra.session import materialize
-from telemetra.sources.incremental import plain_path
+from telemetra.sources import commits
+from telemetra.sources.incremental import list_files, plain_path
 
 COLUMNS = ("ts", "tag_id", "value")
 MISSING, NOT_UTF8 = "missing column", "not UTF-8"
@@ -95,18 +98,34 @@ def scan_readings_csv(spark: SparkSession, paths, keep_text: bool = False) -> Da
     return readings_of(materialize(read_cells(spark, paths), "cells"), keep_text)
 
 
-def sink_month_process_csv(readings: DataFrame, path: str, cap: int | None = None) -> None:
-    """One folder per (month label, process, part) with ``ts, tag_id, value`` CSV files.
+def sink_month_process_csv(readings: DataFrame, path: str) -> None:
+    """``<label>/processo_<id>.csv``, or ``processo_<id>-parte<n>.csv`` where a process has
+    several parts in a month, with the columns ``ts, tag_id, value``.
 
-    ``readings`` has ``label`` (yyyy-MM of the *unshifted* query month), ``process_id``,
-    ``part`` and the three data columns. ``cap`` bounds rows per file. ts is written with
-    its ``+00:00`` offset.
+    ``readings`` has ``label`` (yyyy-MM of the *unshifted* query month), the name of the file
+    (``file_name``, see ``operators.extract.number_parts``) and the three data columns. A file
+    is written by one task, in time order: parts are chunks under the row cap (T5). All
+    files appear by renames after all are written, and a lost driver's renames are finished
+    by ``commits.recover``: a month of a process is never there in part for good. ts is
+    written with its ``+00:00`` offset.
     """
-    out = readings.select("label", "process_id", "part",
-                          F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS'+00:00'").alias("ts"),
+    out = readings.select("label", "file_name", F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS'+00:00'").alias("ts"),
                           "tag_id", F.col("value").cast("string").alias("value"))
-    w = (out.repartition("label", "process_id", "part").write.mode("overwrite")
-            .option("header", "true").partitionBy("label", "process_id", "part"))
-    if cap:
-        w = w.option("maxRecordsPerFile", cap)
-    w.csv(path)
+    out = out.repartition("label", "file_name").sortWithinPartitions("label", "file_name", "ts", "tag_id")
+
+    def write(stage: str) -> None:
+        # the transaction is the commit: tasks may put their files into the stage directly
+        (out.write.option("header", "true").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+            .partitionBy("label", "file_name").csv(f"{stage}/files"))
+    commits.transact(readings.sparkSession, f"{path}_tx", f"files-{time.time_ns()}", write, {"files": path}, named="files")
+
+
+def exported_pairs(spark: SparkSession, *roots: str) -> DataFrame:
+    """``(process_id, label)`` that have a file in one of the folders (dump, done), from
+    the listing alone. A folder that does not exist holds none."""
+    found = spark.createDataFrame([], "process_id string, label string")
+    for root in roots:
+        if commits.Files(spark, root).exists(root):
+            files = list_files(spark, root, "processo_*.csv")
+            found = found.union(files.select(parse_csv_name_process("path"), parent_dir("path")))
+    return found.distinct()

@@ -151,7 +151,7 @@ def batches(pending: DataFrame, max_bytes: int = BATCH_BYTES, max_files: int = B
         yield batch
 
 
-def _file_fault(spark: SparkSession, error: Exception) -> bool:
+def file_fault(spark: SparkSession, error: Exception) -> bool:
     """Whether a failed read may be the files' fault (not the program's or the session's)."""
     if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
         return False
@@ -160,7 +160,7 @@ def _file_fault(spark: SparkSession, error: Exception) -> bool:
     return isinstance(error, (PySparkException, Py4JError))
 
 
-def _said(error: Exception) -> str:
+def said(error: Exception) -> str:
     causes = re.findall(r"Caused by: ([^\n]+)", str(error))
     return (causes[-1] if causes else str(error).strip().split("\n")[0])[:500]
 
@@ -175,10 +175,10 @@ def stage_readable(spark: SparkSession, files: list[Row], stage: Callable[[list[
     try:
         return [stage(files)], files, []
     except Exception as error:  # noqa: BLE001 — sorted out below
-        if not _file_fault(spark, error):
+        if not file_fault(spark, error):
             raise
         if len(files) == 1:
-            return [], [], [(files[0]["file"], _said(error))]
+            return [], [], [(files[0]["file"], said(error))]
     half = len(files) // 2
     a, b = (stage_readable(spark, part, stage) for part in (files[:half], files[half:]))
     return a[0] + b[0], a[1] + b[1], a[2] + b[2]
