@@ -109,13 +109,22 @@ def _ts_from_us(c):
     return F.timestamp_micros(c).cast("timestamp_ntz")
 
 
-def _halved(rows: DataFrame, levels: int, goes_right) -> DataFrame:
-    """``rows`` with ``[_s, _e)`` (micros) halved ``levels`` times, ``_path`` the halves taken as
-    bits. ``goes_right(mid, level)`` chooses the half; the midpoint rounds half to even like
-    the original."""
-    for level in range(levels):
-        right, mid = goes_right(F.col("_m"), level), F.col("_m")
+def _descend(start, end, levels, right: str):
+    """The range (s, e, path) that is ``levels`` (a column) halvings below ``[start, end)`` in
+    micros; ``right`` is SQL over ``mid`` and the level ``i`` that chooses the half, ``path``
+    the halves taken as bits. The midpoint rounds half to even like the original."""
+    mid = "(a.s + cast(bround(cast(a.e - a.s AS DOUBLE) / 2) AS BIGINT))"
+    goes = f"({right.replace('mid', mid)})"
+    step = f"named_struct('s', if({goes}, {mid}, a.s), 'e', if({goes}, a.e, {mid}), 'path', a.path * 2 + if({goes}, 1L, 0L))"
+    return F.expr(f"aggregate(slice(sequence(0, {levels}), 1, {levels}), named_struct('s', {start}, 'e', {end}, 'path', 0L), (a, i) -> {step})")
+
+
+def _halved(rows: DataFrame, levels: int) -> DataFrame:
+    """``rows`` (``_t`` in ``[_s, _e)``) with ``_path``, the halves that ``levels`` halvings put ``_t``
+    in: the walk of ``_descend`` as plain columns, for the many rows."""
+    for _ in range(levels):
         rows = rows.withColumn("_m", F.col("_s") + F.bround((F.col("_e") - F.col("_s")).cast("double") / 2.0).cast("long"))
+        right, mid = F.col("_t") >= F.col("_m"), F.col("_m")
         rows = rows.withColumns({"_s": F.when(right, mid).otherwise(F.col("_s")), "_e": F.when(right, F.col("_e")).otherwise(mid),
                                  "_path": F.col("_path") * 2 + F.when(right, 1).otherwise(0).cast("long")}).drop("_m")
     return rows
@@ -150,14 +159,14 @@ def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE
                 .select("process_id", "label", _us(F.col("start")).alias("_s0"), _us(F.col("end")).alias("_e0"), _us(F.col("ts")).alias("_t"))
                 .transform(materialize))
     stages, still, depth = [counts], None, 0
-    begin = {"_s": F.col("_s0"), "_e": F.col("_e0"), "_path": F.lit(0).cast("long")}
-    by_time = lambda mid, _: F.col("_t") >= mid
     while True:
-        walked = _halved(live.withColumns(begin), depth, by_time)
-        if still is not None:
+        if depth == 0:
+            walked = live.withColumns({"_s": F.col("_s0"), "_e": F.col("_e0"), "_path": F.lit(0).cast("long")})
+        else:
+            walked = live.withColumn("x", _descend("_s0", "_e0", depth, "_t >= mid")).select("*", F.col("x.s").alias("_s"), F.col("x.e").alias("_e"), F.col("x.path").alias("_path")).drop("x")
             walked = walked.join(still, [*at, "_path"], "left_semi")
         top = F.col("_path")
-        cells = _halved(walked.withColumn("_top", top).withColumn("_path", F.lit(0).cast("long")), LEVELS_PER_PASS, by_time)
+        cells = _halved(walked.withColumn("_top", top).withColumn("_path", F.lit(0).cast("long")), LEVELS_PER_PASS)
         cells = cells.groupBy(*at, "_top", F.col("_path").alias("_cell")).agg(F.count(F.lit(1)).alias("n")).transform(materialize)
         stages.append(cells)
         # every range between: the cells that share its first d halves
@@ -183,15 +192,8 @@ def adaptive_range_split(source: DataFrame, ranges: DataFrame, cap: int = SOURCE
 
 def _bounds(ranges: DataFrame, depth: int) -> DataFrame:
     """``[_s, _e)`` of ranges given by their path, ``depth + d`` halves below ``[_s0, _e0)``."""
-    out = None
-    for d in range(1, LEVELS_PER_PASS + 1):
-        n = depth + d
-        own = ranges.where(F.col("d") == d).withColumnRenamed("_path", "_whole").withColumns(
-            {"_s": F.col("_s0"), "_e": F.col("_e0"), "_path": F.lit(0).cast("long")})
-        own = _halved(own, n, lambda _, level, n=n: F.shiftright("_whole", n - 1 - level).bitwiseAND(F.lit(1)) == 1)
-        own = own.drop("_path").withColumnRenamed("_whole", "_path")
-        out = own if out is None else out.unionByName(own)
-    return out
+    at = _descend("_s0", "_e0", f"({depth} + d)", f"(shiftright(_path, {depth} + d - 1 - i) & 1) = 1")
+    return ranges.withColumn("x", at).select("*", F.col("x.s").alias("_s"), F.col("x.e").alias("_e")).drop("x")
 
 
 def number_parts(chunks: DataFrame) -> DataFrame:

@@ -365,7 +365,7 @@ def export_wide(spark: SparkSession, readings: DataFrame, company_id: str, date_
     order = "ingest_seq" if "ingest_seq" in readings.columns else None
     cells = materialize(reshape.first_non_null_cells(long.observe(seen, F.count(F.lit(1)).alias("points")), order), "cells")
     try:
-        points = seen.get["points"]
+        points = session.observed(seen, "points")
         present = sorted(r["tag_id"] for r in cells.select("tag_id").distinct().collect() if r["tag_id"] is not None)  # the header
         header = ";".join(map(csv_cell, [EXPORT_TS_COLUMN, *present]))
         lines = reshape.wide_lines(cells, present).orderBy("ts").select("line")

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -91,6 +92,15 @@ def _delete(spark, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def observed(seen, name: str) -> int:
+    """A count that ``DataFrame.observe`` made while its frame was written. Of a frame that the
+    optimizer finds to be empty the count goes with it: zero."""
+    try:
+        return seen.get[name] or 0
+    except (Py4JJavaError, KeyError):
+        return 0
+
+
 def release(*frames) -> None:
     """Delete the staged tables behind frames returned by ``materialize`` once nothing reads
     them any more (e.g. the previous round of an iterative plan after the next round was

@@ -33,11 +33,10 @@ class Files:
     def __init__(self, spark: SparkSession, root: str):
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._path = self._jvm.org.apache.hadoop.fs.Path
+        self._unescape = self._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
         self._fs = self._path(root).getFileSystem(self._conf)
 
-    def _path(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
-
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
@@ -51,13 +50,16 @@ class Files:
         """Data files under a folder, relative to it, hidden ones left out."""
         if not self.exists(folder):
             return []
-        top = self._fs.makeQualified(self._path(folder)).toUri().getPath().rstrip("/")
+        top = len(self._fs.makeQualified(self._path(folder)).toUri().getPath().rstrip("/")) + 1
         found, it = [], self._fs.listFiles(self._path(folder), True)
         while it.hasNext():
-            rel = it.next().getPath().toUri().getPath()[len(top) + 1:]
-            if not any(part.startswith(("_", ".")) for part in rel.split("/")):
-                found.append(rel)
-        return sorted(found)
+            found.append(it.next().getPath().toUri().getPath()[top:])
+        return sorted(f for f in found if not any(part.startswith(("_", ".")) for part in f.split("/")))
+
+    def parts(self, folder: str) -> list[str]:
+        """The ``part-`` files in the sub-folders of a folder, relative to it, in one listing."""
+        found = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(self._fs.globStatus(self._path(f"{folder}/*/part-*")))
+        return sorted("/".join(p.toString().split("/")[-2:]) for p in found)
 
     def folder(self, path: str) -> None:
         self._fs.mkdirs(self._path(path))
@@ -103,9 +105,8 @@ class Files:
             raise OSError(f"could not publish {target}")
 
     def plain(self, hive_folder: str) -> str:
-        """``month=2024-01/name=a%3Ab`` → ``2024-01/a:b``."""
-        unescape = self._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-        return "/".join(unescape(part.partition("=")[2]) for part in hive_folder.split("/"))
+        """The value in the name of a partition's folder: ``place=2024-01%2Fx.csv`` → ``2024-01/x.csv``."""
+        return self._unescape(hive_folder.partition("=")[2])
 
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
@@ -131,7 +132,7 @@ def _finish(fs: Files, home: str, tx: str) -> None:
     plan = json.loads(fs.read_text(f"{stage}/{PLAN}"))
     moves, folders = [], set()
     for name, target in plan["moves"].items():
-        for rel in fs.below(f"{stage}/{name}"):
+        for rel in (fs.parts if name == plan["named"] else fs.below)(f"{stage}/{name}"):
             folder, _, base = rel.rpartition("/")
             if name == plan["named"]:
                 place = f"{target}/{fs.plain(folder)}"

@@ -109,14 +109,14 @@ def sink_month_process_csv(readings: DataFrame, path: str) -> None:
     by ``commits.recover``: a month of a process is never there in part for good. ts is
     written with its ``+00:00`` offset.
     """
-    out = readings.select("label", "file_name", F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS'+00:00'").alias("ts"),
+    out = readings.select(F.concat_ws("/", "label", "file_name").alias("place"), F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS'+00:00'").alias("ts"),
                           "tag_id", F.col("value").cast("string").alias("value"))
-    out = out.repartition("label", "file_name").sortWithinPartitions("label", "file_name", "ts", "tag_id")
+    out = out.repartition("place").sortWithinPartitions("place", "ts", "tag_id")
 
     def write(stage: str) -> None:
         # the transaction is the commit: tasks may put their files into the stage directly
         (out.write.option("header", "true").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-            .partitionBy("label", "file_name").csv(f"{stage}/files"))
+            .partitionBy("place").csv(f"{stage}/files"))
     commits.transact(readings.sparkSession, f"{path}_tx", f"files-{time.time_ns()}", write, {"files": path}, named="files")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from telemetra.constants import EXPORT_TS_COLUMN
+from telemetra.session import observed
 from telemetra.sources import commits
 from telemetra.operators.dedup import READINGS_KEY, replace_dedup, with_partition_cols
 from telemetra.operators.filters import active_of_type, company_filter, period_inclusive, tag_in_list
@@ -81,7 +82,7 @@ def sink_lines(lines: DataFrame, header: str, path: str, name: str) -> int:
     fs, parts, seen = commits.Files(spark, path), f"{path}/_parts-{uuid.uuid4().hex[:12]}", Observation()
     try:
         lines.observe(seen, F.count(F.lit(1)).alias("rows")).write.text(parts)
-        rows = seen.get["rows"]
+        rows = observed(seen, "rows")
         if rows:
             fs.join(f"{BOM}{header}\n", parts, f"{path}/{name}")
         else:
