@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -180,10 +180,9 @@ class WordBPE:
         by_word = dict(zip(todo, ids))
         return [[t for w in ws for t in (by_word[w] if isinstance(w, str) else (w,))] for ws in split]
 
-    def decode(self, ids: np.ndarray) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         """The vocabulary names of the ids joined by one space (the file has no decoder)."""
-        names = self.names
-        return b" ".join([names[i] for i in ids.tolist()])
+        return b" ".join(map(self.names.__getitem__, ids))
 
 
 class Encoder:
@@ -197,6 +196,7 @@ class Encoder:
         self.at: dict[bytes, int] = {}
         self.flat = np.empty(1 << 16, dtype=np.uint32)
         self.start, self.count = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.decoded: list[bytes] = []
 
     def learn(self, chunks: list[bytes]):
         ids = self.bpe.encode(chunks)
@@ -206,24 +206,35 @@ class Encoder:
         if used + more > len(self.flat):
             self.flat = np.concatenate([self.flat[:used], np.empty(max(used, more), np.uint32)])
         self.flat[used:used + more] = np.fromiter((t for x in ids for t in x), np.uint32, more)
+        self.decoded += map(self.bpe.decode, ids)
         self.count = np.concatenate([self.count, count])
         self.start = np.concatenate([self.start, used + np.cumsum(count)])
 
-    def texts(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text, as unsigned 32-bit arrays."""
+    def _places(self, texts: list[bytes]) -> list[list[int]]:
+        """The places of each text's chunks in the memory."""
         if len(self.at) > MEMORY_CHUNKS:
             self.clear()
         split = [t.split() for t in texts]
         new = set().union(*split).difference(self.at) if split else ()
         if new:
             self.learn(list(new))
-        out = []
-        for chunks in split:
-            which = np.fromiter(map(self.at.__getitem__, chunks), np.int64, len(chunks))
-            count = self.count[which]
-            skip = self.start[which] - (np.cumsum(count) - count)
-            out.append(self.flat[np.repeat(skip, count) + np.arange(int(count.sum()))])
-        return out
+        return [list(map(self.at.__getitem__, chunks)) for chunks in split]
+
+    def _ids(self, places: list[int]) -> np.ndarray:
+        which = np.array(places, np.int64)
+        count = self.count[which]
+        skip = self.start[which] - (np.cumsum(count) - count)
+        return self.flat[np.repeat(skip, count) + np.arange(int(count.sum()))]
+
+    def texts(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text, as unsigned 32-bit arrays."""
+        return list(map(self._ids, self._places(texts)))
+
+    def both(self, texts: list[bytes]) -> tuple[list[np.ndarray], list[bytes]]:
+        """Ids and decoded form of each text. Decoding joins tokens by a space, so a text's
+        form is that of its chunks joined, each decoded once; chunks without ids have none."""
+        places = self._places(texts)
+        return list(map(self._ids, places)), [b" ".join(filter(None, map(self.decoded.__getitem__, p))) for p in places]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -253,7 +264,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, text): ids of ``encode`` back to text; null or empty ids: the empty text."""
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         bpe = encoder(path).bpe
-        texts = [bpe.decode(np.array(x or [], dtype=np.uint32)) for x in batch.column(1).to_pylist()]
+        texts = [bpe.decode(x or []) for x in batch.column(1).to_pylist()]
         return [batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())]
     return map_slices(encoded.select("doc_id", "ids"), run, "doc_id long, text string")
 
@@ -262,11 +273,10 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode and decode in one pass, with
     only the digests kept. Same rows and edge cases as ``encode``."""
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        enc = encoder(path)
-        ids = enc.texts(texts_of(batch))
+        ids, decoded = encoder(path).both(texts_of(batch))
         return [batch.column(0), pa.array([len(x) for x in ids], pa.int64()),
-                pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string()),
-                pa.array([hashlib.sha256(enc.bpe.decode(x)).hexdigest() for x in ids], pa.string())]
+                pa.array([hashlib.sha256(x.astype("<u4", copy=False)).hexdigest() for x in ids], pa.string()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string())]
     return map_slices(doc_text(docs), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
@@ -287,9 +297,9 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
-                ids = enc.texts(texts_of(part))
+                ids, decoded = enc.both(texts_of(part))
                 yield pa.RecordBatch.from_arrays([
                     *part.columns[1:], pa.array([len(x) for x in ids], pa.int64()), pa.array([x.view(np.int32) for x in ids], pa.list_(pa.int32())),
-                    pa.array([hashlib.sha256(enc.bpe.decode(x)).hexdigest() for x in ids], pa.string())], [*keep, *more])
+                    pa.array([hashlib.sha256(x).hexdigest() for x in decoded], pa.string())], [*keep, *more])
 
     return rows.mapInArrow(run, schema)
