@@ -12,6 +12,7 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,15 @@ from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from telemetra.llm.common import doc_text, map_slices, texts_of
 
-#: Distinct chunks a worker remembers; the store is emptied when it is full.
-MEMORY_CHUNKS = 300_000
+#: Distinct chunks a worker remembers (some 250 MB); the store is emptied when it is full.
+MEMORY_CHUNKS = 1_000_000
 NEVER = 1 << 30
+#: Words of up to so many symbols are merged by scanning.
+SHORT = 32
+#: First symbols by which the longest token that may follow is known.
+HEAD = 5
+#: An ASCII letter as the last one of its word.
+ENDS = {chr(b): chr(b + 256) for b in range(128)}
 #: Below this letter a text is composed (NFC) and its case and classes are settled.
 LATIN_END = "\u0180"
 
@@ -80,11 +87,34 @@ class WordBPE:
         self.pair_ranks = np.array([r for r, _ in self.merges.values()], dtype=np.int64)[order]
         # a token that exact merging does not give back for its own text is never proposed
         self.tokens = {s: t for t, s in enumerate(symbols) if s and (len(s) == 1 or self.merged(s) == [t])}
-        self.longest = max(map(len, self.tokens), default=1)
+        self.reach: dict[str, int] = {}  # the longest token with the same first symbols
+        for s in self.tokens:
+            self.reach[s[:HEAD]] = max(len(s), self.reach.get(s[:HEAD], 0))
 
     def merged(self, word: str) -> list[int]:
         """Exact encoding: the pair of the lowest rank, the leftmost first, until none is left."""
         ids = [self.base[s] for s in word]
+        return self._scanned(ids) if len(ids) <= SHORT else self._heaped(ids)
+
+    def _scanned(self, ids: list[int]) -> list[int]:
+        """The next pair by a scan over all ranks, which for short words is the quicker way."""
+        find, none = self.merges.get, (NEVER, -1)
+        steps = [find(pair, none) for pair in zip(ids, ids[1:])]
+        while steps:
+            best = min(steps)
+            if best[0] == NEVER:
+                break
+            i = steps.index(best)
+            ids[i:i + 2] = [best[1]]
+            del steps[i]
+            if i:
+                steps[i - 1] = find((ids[i - 1], ids[i]), none)
+            if i < len(steps):
+                steps[i] = find((ids[i], ids[i + 1]), none)
+        return ids
+
+    def _heaped(self, ids: list[int]) -> list[int]:
+        """The next pair from a heap, for words of any length."""
         n, merges = len(ids), self.merges
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
         heap = [(*m, i) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
@@ -106,10 +136,10 @@ class WordBPE:
 
     def proposed(self, word: str) -> list[int]:
         """Greedy longest match from the left."""
-        out, i, n, tokens, longest = [], 0, len(word), self.tokens, self.longest
+        out, i, n, token, reach = [], 0, len(word), self.tokens.get, self.reach.get
         while i < n:
-            j = min(n, i + longest)
-            while (t := tokens.get(word[i:j])) is None:
+            j = min(n, i + reach(word[i:i + HEAD], HEAD - 1))
+            while (t := token(word[i:j])) is None:
                 j -= 1
             out.append(t)
             i = j
@@ -160,25 +190,30 @@ class WordBPE:
             if part in self.special:
                 out.append(self.special[part])
                 continue
-            for piece in self.pieces(part.lower()) if max(part, default="") < LATIN_END else self.unicode_pieces(part):
+            if part.isascii():
+                out += [piece[:-1] + ENDS[piece[-1]] for piece in self.pieces(part.lower())]
+                continue
+            for piece in self.pieces(part.lower()) if max(part) < LATIN_END else self.unicode_pieces(part):
                 raw = piece.encode()
                 out.append(raw[:-1].decode("latin-1") + chr(raw[-1] + 256))
         return out
 
     def encode(self, chunks: list[bytes]) -> list[list[int]]:
         """Token ids of each chunk."""
-        split = [self.words(c) for c in chunks]
-        todo = list({w for ws in split for w in ws if isinstance(w, str)})
-        ids = [self.proposed(w) for w in todo]
+        split = list(map(self.words, chunks))
+        found = set(chain.from_iterable(split))
+        by_word: dict[str | int, list[int]] = {w: [w] for w in found if isinstance(w, int)}
+        todo = [w for w in found if isinstance(w, str)]
+        ids = list(map(self.proposed, todo))
         lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((t for x in ids for t in x), np.int64, int(lens.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, int(lens.sum()))
         word = np.repeat(np.arange(len(ids)), lens)
         inner = np.flatnonzero(word[1:] == word[:-1]) if len(flat) > 1 else np.empty(0, np.int64)
         failing = np.unique(word[inner[~self.verified(flat[inner], flat[inner + 1])]])
-        for i in failing:
+        for i in failing.tolist():
             ids[i] = self.merged(todo[i])
-        by_word = dict(zip(todo, ids))
-        return [[t for w in ws for t in (by_word[w] if isinstance(w, str) else (w,))] for ws in split]
+        by_word.update(zip(todo, ids))
+        return [by_word[ws[0]] if len(ws) == 1 else [t for w in ws for t in by_word[w]] for ws in split]
 
     def decode(self, ids: Iterable[int]) -> bytes:
         """The vocabulary names of the ids joined by one space (the file has no decoder)."""
@@ -205,7 +240,7 @@ class Encoder:
         used, more = int(self.start[-1]), int(count.sum())
         if used + more > len(self.flat):
             self.flat = np.concatenate([self.flat[:used], np.empty(max(used, more), np.uint32)])
-        self.flat[used:used + more] = np.fromiter((t for x in ids for t in x), np.uint32, more)
+        self.flat[used:used + more] = np.fromiter(chain.from_iterable(ids), np.uint32, more)
         self.decoded += map(self.bpe.decode, ids)
         self.count = np.concatenate([self.count, count])
         self.start = np.concatenate([self.start, used + np.cumsum(count)])
