@@ -74,7 +74,12 @@ def _double(state: DataFrame) -> DataFrame:
 def resolve_roots(process: DataFrame) -> DataFrame:
     """For every process: ``unit_id`` (its root) or ``error`` in
     {cycle, missing, null_level, depth}, plus ``depth`` = index of the deciding node."""
-    state = _initial_state(process).transform(materialize)
+    return _outcomes(_doubled(_initial_state(process)))
+
+
+def _doubled(state: DataFrame) -> DataFrame:
+    """The state after as many rounds as it takes to close it, or all of them."""
+    state = state.transform(materialize)
     staged = state
     for r in range(ROUNDS):
         state = _double(state)
@@ -86,6 +91,10 @@ def resolve_roots(process: DataFrame) -> DataFrame:
             staged = state
             if state.where(F.col("kind").isNull()).isEmpty():
                 break
+    return state
+
+
+def _outcomes(state: DataFrame) -> DataFrame:
     limit = MAX_DEPTH - 1
     within = F.col("dist") <= limit
     # still open after 128 hops: the walk's ids are all distinct up to its first revisit and
@@ -106,6 +115,51 @@ def resolve_roots(process: DataFrame) -> DataFrame:
          .otherwise(F.least(F.col("dist"), F.lit(MAX_DEPTH))).cast("int").alias("depth"))
 
 
+def affected_nodes(process: DataFrame, previous: DataFrame, changed_ids: DataFrame) -> DataFrame:
+    """(node): the changed processes and all that lead up to one of them.
+
+    One look at the whole table narrows it to the nodes whose root was that of a changed one,
+    or that had none; from there the children of the last step's nodes are added until there
+    are no new ones, reading that part only.
+    """
+    ids = changed_ids.select(F.col("process_id").cast("string").alias("node")).where("node IS NOT NULL").distinct().transform(materialize)
+    units = previous.join(ids, previous["process_id"] == ids["node"], "left_semi").where("unit_id IS NOT NULL").select(F.col("unit_id").alias("_u")).distinct()
+    near = previous.join(units, previous["unit_id"] == units["_u"], "left_semi").unionByName(previous.where("unit_id IS NULL")).select("process_id")
+    part = _nodes(process).join(near, F.col("node") == near["process_id"], "left_semi").transform(materialize)
+    found = front = ids
+    while not front.isEmpty():
+        up = front.select(F.col("node").alias("_p"))
+        front = part.join(up, part["level"] == up["_p"], "left_semi").select("node").join(found, "node", "left_anti").transform(materialize)
+        found = found.union(front).transform(materialize)
+    release(part)
+    return found
+
+
+def update_roots(process: DataFrame, previous: DataFrame, changed_ids: DataFrame) -> DataFrame:
+    """J2 after a change of few processes: ``resolve_roots(process)``, from its ``previous`` result.
+
+    ``changed_ids`` has the ``process_id`` of every process that is new, gone or has another
+    level. Only those and the nodes below them are resolved again; a walk that comes to a
+    node that is not affected ends there and takes over what is known of it.
+    """
+    touched = affected_nodes(process, previous, changed_ids)
+    nodes = _nodes(process).join(touched, "node", "left_semi").transform(materialize)
+    known = previous.select(F.col("process_id").alias("_k"), F.col("unit_id").alias("_unit"), F.col("error").alias("_error"), F.col("depth").alias("_depth"))
+    known = known.join(touched, known["_k"] == touched["node"], "left_anti").join(nodes.select(F.col("level").alias("_l")).distinct(), F.col("_k") == F.col("_l"), "left_semi").transform(materialize)
+    begin = _initial_state(nodes.select(F.col("node").alias("process_id"), "level"))
+    begin = begin.join(known.select("_k"), begin["anc"] == known["_k"], "left")
+    closed = F.when((F.col("kind") == "missing") & F.col("_k").isNotNull(), F.lit("known")).otherwise(F.col("kind"))
+    state = _doubled(begin.select("node", "anc", "dist", closed.alias("kind"), "path"))
+    own = _outcomes(state.where("kind IS NULL OR kind <> 'known'"))
+    met = state.where("kind = 'known'").join(known, F.col("anc") == F.col("_k"))
+    depth = F.least(F.col("dist") + F.col("_depth"), F.lit(MAX_DEPTH))
+    late = depth >= MAX_DEPTH
+    taken = met.select(F.col("node").alias("process_id"), F.when(~late, F.col("_unit")).alias("unit_id"),
+                       F.when(late, F.lit("depth")).otherwise(F.col("_error")).alias("error"), depth.cast("int").alias("depth"))
+    rest = previous.join(touched, previous["process_id"] == touched["node"], "left_anti")
+    return rest.unionByName(own).unionByName(taken)
+
+
 def lookup_configs(configs: DataFrame, roots: DataFrame) -> DataFrame:
     """Each config finds its process's resolution; a process that does not exist is
     an error row (``missing`` at index 0), never a dropped config."""
