@@ -43,6 +43,17 @@ def resolve_root(spark, sf):
     return _roots(spark, sf)
 
 
+@register("update_roots", "J2 P21", with_ctes(PP, RES, body="SELECT process_id, unit_id, error, depth FROM resolved", recursive=True))
+def update_roots(spark, sf):
+    """The roots after a change: before it, one process in 97 was a root of its own and one
+    in 101 was not there yet. Only what leads to those is resolved again."""
+    now = roles.part_process(spark, sf)
+    one_in = lambda n: F.crc32(F.col("process_id").cast("string")) % n == 0
+    before = now.where(~one_in(101)).withColumn("level", F.when(one_in(97), "root").otherwise(F.col("level")))
+    known = session.materialize(h.resolve_roots(before), "roots")
+    return h.update_roots(now, known, now.where(one_in(97) | one_in(101)).select("process_id"))
+
+
 @register("scan_active_configs", "S6 P13", with_ctes(PC, _ACTIVE, body="SELECT * FROM act"))
 def scan_active(spark, sf):
     return scan_active_configs(roles.part_configs(spark, sf), T)
