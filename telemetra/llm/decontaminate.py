@@ -103,7 +103,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, containment: flo
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, size: int = 5, containment: float = 0.8) -> DataFrame:
     """``docs`` without the documents that contain an item; all columns are kept, and so
     are rows without a doc_id."""
-    bad = leaks(docs, benchmark, size, containment).select(F.col("doc_id").alias("_leak_id")).distinct()
+    bad = leaks(docs, benchmark, size, containment).select(F.col("doc_id").alias("_leak_id")).distinct()  # an anti-join returns none of its columns
     return docs.join(bad, docs["doc_id"].cast("long") == bad["_leak_id"], "left_anti")
 
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemetra.llm.common import LOWER, doc_text, map_slices, texts_of
+from telemetra.llm.common import LOWER, doc_text, free_names, map_slices, texts_of
 from telemetra.llm.components import connected_components
 from telemetra.session import materialize
 
@@ -142,9 +142,10 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     rows = rows.where("doc_id <=> component_id")
     named = rows.where("doc_id IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "row", "rows")).alias("x")).select("x.*")
     keep = named.union(rows.where("doc_id IS NULL").select("doc_id", "row", F.lit(1).cast("long").alias("rows")))
-    keep = keep.withColumnsRenamed({"doc_id": "_keep_id", "row": "_keep_row", "rows": "_keep_rows"})
-    key = F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (text_hash(docs) == F.col("_keep_row"))
+    own_id, own_row, times = free_names(docs, "_keep_id", "_keep_row", "_keep_rows")
+    keep = keep.withColumnsRenamed({"doc_id": own_id, "row": own_row, "rows": times})
+    key = docs["doc_id"].cast("long").eqNullSafe(F.col(own_id)) & (text_hash(docs) == F.col(own_row))
     kept = docs.join(keep, key)
-    once = kept.where("_keep_rows = 1").select(docs.columns)
-    again = kept.where("_keep_rows > 1").dropDuplicates(["_keep_id", "_keep_row"]).select(docs.columns)
+    once = kept.where(F.col(times) == 1).select(docs.columns)
+    again = kept.where(F.col(times) > 1).dropDuplicates([own_id, own_row]).select(docs.columns)
     return once.union(again)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemetra.llm.common import WordHashes, bit_filter, in_filter, mix64, power_of_two, texts_of
+from telemetra.llm.common import WordHashes, bit_filter, free_names, in_filter, mix64, power_of_two, texts_of
 from telemetra.session import materialize, release
 
 GRAM = 8
@@ -238,9 +238,10 @@ def cover(n_words: int, starts, window: int) -> np.ndarray:
 
 
 def _joined(docs: DataFrame, window: int) -> DataFrame:
-    """``docs`` with a column ``_starts``: the repeated suffixes of the row's text."""
-    runs = repeated(docs, window).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), F.col("starts").alias("_starts"))
-    return docs.join(runs, (docs["doc_id"].cast("long") == runs["_doc"]) & (F.xxhash64(docs["text"].cast("string")) == runs["_row"]), "left").drop("_doc", "_row")
+    """``docs`` with one more column, its last: the repeated suffixes of the row's text."""
+    doc, row, starts = free_names(docs, "_doc", "_row", "_starts")
+    runs = repeated(docs, window).select(F.col("doc_id").alias(doc), F.col("row").alias(row), F.col("starts").alias(starts))
+    return docs.join(runs, (docs["doc_id"].cast("long") == runs[doc]) & (F.xxhash64(docs["text"].cast("string")) == runs[row]), "left").drop(doc, row)
 
 
 def digests(docs: DataFrame, window: int = 50) -> DataFrame:
