@@ -94,7 +94,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = 5, containment: flo
     release(sketch)
     own = with_words(docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id")
     own = own.select("doc_id", F.explode(shingles(F.col("words"), size, lambda i: F.array_join(F.slice("words", i, size), " "))).alias("shingle"))
-    shared = own.distinct().join(items, "shingle").join(found, ["doc_id", "item_id"], "left_semi")
+    # candidate pairs meet their item's shingles first: a shingle that many items and documents share joins no other pairs
+    wanted = found.join(items, "item_id")
+    shared = own.distinct().join(wanted, ["doc_id", "shingle"])
     counted = shared.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared"), F.max("n").alias("n_shingles"))
     return counted.where(F.col("n_shared") >= F.ceil(F.lit(containment) * F.col("n_shingles") - 1e-9)).select(
         "doc_id", "item_id", "n_shingles", "n_shared", (F.col("n_shared") / F.col("n_shingles")).alias("containment"))

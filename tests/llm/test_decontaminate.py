@@ -60,6 +60,16 @@ def test_blocks_of_the_sketch(spark, monkeypatch):
     assert rows(decontaminate.leaks(*frames(spark, docs, items))) == brute(docs, items)
 
 
+def test_items_and_documents_that_share_an_opening(spark):
+    """Shingles common to many items and documents pair only what the sketches found."""
+    head = "which of the following statements about the given passage is true"
+    items = [(i, f"{head} " + " ".join(f"q{i}w{j}" for j in range(8))) for i in range(20)]
+    docs = [(d, f"{head} " + " ".join(f"q{d}w{j}" for j in range(8 if d % 2 else 1)) + " end") for d in range(20)] + [(99, head)] * 3
+    want = brute(docs, items)
+    assert [x[:2] for x in want] == [(d, d) for d in range(1, 20, 2)]
+    assert rows(decontaminate.leaks(*frames(spark, docs, items))) == want
+
+
 def test_main_path_is_native(spark):
     docs, items = frames(spark, *fixture())
     plan = decontaminate.leaks(docs, items)._jdf.queryExecution().toString()
