@@ -7,11 +7,21 @@ to the digests of the known texts.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Lines that are no part of a licence's terms.
-IGNORED_LINES = (r"(?m)^[ \t*#/;-]*(copyright[ \t]+(\(c\)|©|[0-9]{4}|by[ \t])|\(c\)|©)[^\n]*$", r"(?m)^[ \t*#/;-]*all rights reserved\.?[ \t\r]*$")
+#: Words after "Copyright" that make it a part of a sentence or heading of the terms; its
+#: first letter is then made small, so that the line stays.
+TERMS = r"(?m)^([ \t*#/;-]*)Copyright([ \t]+(?:Licen[cs]e|Notice|Holder|Owner|Law|Act|Treat|Statement|Right|Protect|And |Or |Is ))"
+#: Lines that are no part of a licence's terms: a copyright line of any holder (the word with
+#: a capital, then a name, year, sign or placeholder; or, in any case of letters, a year,
+#: sign or "by"), and the reservation of rights.
+IGNORED_LINES = (
+    r"(?m)^[ \t*#/;-]*Copyright[ \t:]+[\p{Lu}\p{N}(©<\[{][^\n]*$",
+    r"(?mi)^[ \t*#/;-]*(copyright[ \t:]+(\(c\)|©|[0-9]{4}|by[ \t])|\(c\)[ \t]|©)[^\n]*$",
+    r"(?mi)^[ \t*#/;-]*all rights reserved\.?[ \t\r]*$")
 #: Spellings that count as equal in licence texts, after public matching guidelines.
 EQUIVALENT = (
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"),
@@ -46,7 +56,45 @@ IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR
 INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
 ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
 THIS SOFTWARE."""
+BSD_SOURCE = """1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer."""
+BSD_BINARY = """2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission."""
+BSD_GRANT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met:"""
+BSD_WARRANTY = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.
+IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY,
+OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR
+PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR
+TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+POSSIBILITY OF SUCH DAMAGE."""
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all
+present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE
+FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>"""
+BSD_FORMS = {
+    "BSD-2-Clause": ("BSD 2-Clause License", (BSD_GRANT, BSD_SOURCE, BSD_BINARY, BSD_WARRANTY)),
+    "BSD-3-Clause": ("BSD 3-Clause License", (BSD_GRANT, BSD_SOURCE, BSD_BINARY, BSD_NAMES, BSD_WARRANTY)),
+}
 KNOWN = (
+    *((name, head + "\n\n".join(parts)) for name, (title, parts) in BSD_FORMS.items() for head in ("", f"{title}\n\n", f"The {title}\n\n")),
+    ("Unlicense", UNLICENSE),
+    ("Unlicense", "The Unlicense\n\n" + UNLICENSE),
     ("MIT", "MIT License\n\n" + MIT_TERMS),
     ("MIT", "The MIT License (MIT)\n\n" + MIT_TERMS),
     ("MIT", MIT_TERMS),
@@ -80,13 +128,21 @@ language governing permissions and limitations under the License."""),
     ("CC-BY-NC-4.0 notice", "Licensed under CC BY-NC 4.0."),
 )
 
+#: Whole texts of longer public licences, as they are published, by SPDX name.
+FOLDER = Path(__file__).parent / "licence_texts"
+
+
+def known_rows() -> list[tuple[str, str]]:
+    """(license_id, text): the fixed texts above and the whole texts of ``FOLDER``."""
+    return [*KNOWN, *((f.stem, f.read_text("utf-8")) for f in sorted(FOLDER.glob("*.txt")))]
+
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text; null: the empty text."""
-    out = F.lower(F.coalesce(text, F.lit("")))
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), TERMS, "$1copyright$2")
     for line in IGNORED_LINES:
         out = F.regexp_replace(out, line, "")
-    out = F.regexp_replace(out, r"\s+", " ")
+    out = F.regexp_replace(F.lower(out), r"\s+", " ")
     for one, other in EQUIVALENT:
         out = F.replace(out, F.lit(one), F.lit(other))
     return F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
@@ -100,7 +156,7 @@ def known_digests(known: DataFrame) -> DataFrame:
 
 
 def known_texts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(KNOWN), "license_id string, text string")
+    return spark.createDataFrame(known_rows(), "license_id string, text string")
 
 
 def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
@@ -117,10 +173,10 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _sql_form(column: str) -> str:
-    out = f"lower(coalesce({column}, ''))"
+    out = rf"regexp_replace(coalesce({column}, ''), '{TERMS}', '\1copyright\2', 'g')"
     for line in IGNORED_LINES:
         out = f"regexp_replace({out}, '{line}', '', 'g')"
-    out = rf"regexp_replace({out}, '\s+', ' ', 'g')"
+    out = rf"regexp_replace(lower({out}), '\s+', ' ', 'g')"
     for one, other in EQUIVALENT:
         out = f"replace({out}, '{one}', '{other}')"
     return rf"trim(regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
@@ -132,7 +188,7 @@ def _quoted(s: str) -> str:
 
 #: The same in SQL.
 SQL = f"""
-WITH known(license_id, text) AS (VALUES {', '.join(f'({_quoted(a)}, {_quoted(b)})' for a, b in KNOWN)}),
+WITH known(license_id, text) AS (VALUES {', '.join(f'({_quoted(a)}, {_quoted(b)})' for a, b in known_rows())}),
 k AS (SELECT sha256({_sql_form('text')}) AS digest, min(license_id) AS license_id FROM known GROUP BY 1),
 d AS (SELECT doc_id, sha256({_sql_form('text')}) AS digest FROM documents)
 SELECT doc_id, digest, license_id FROM d LEFT JOIN k USING (digest)

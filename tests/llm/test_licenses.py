@@ -19,6 +19,36 @@ def test_variants_of_one_text(spark):
                                                          (8, None), (9, None), (10, "MIT notice"), (11, None), (None, "MIT")], key=str)
 
 
+HOLDERS = ("Copyright Jane Doe", "Copyright (c) 2019-2024, The X Authors. All rights reserved.", "COPYRIGHT (C) 1999 ACME", "  * Copyright: 2020 A. Body <a@b.c>",
+           "Copyright <YEAR> [name]", "© 2024 x", "(c) 2001 me")
+
+
+def test_every_licence_with_another_holder(spark):
+    """Each known text after any holder's line, in another wrapping, is that licence; with a changed word it is none."""
+    rows, want = [], []
+    for i, (name, text) in enumerate(licenses.known_rows()):
+        rows += [(i, HOLDERS[i % len(HOLDERS)] + "\n\n" + text), (1000 + i, text.replace("\n", "\r\n")), (2000 + i, text + " changed")]
+        want += [(i, name), (1000 + i, name), (2000 + i, None)]
+    assert sorted(scan(spark, rows)) == sorted(want)
+    assert {"BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "Unlicense"} <= {n for _, n in want}
+
+
+def test_terms_that_start_with_the_word_stay(spark):
+    terms = ["2. Grant of\nCopyright License. Subject to this", "the\ncopyright notice 2020 must", "THE\nCOPYRIGHT HOLDERS BE LIABLE", "Copyright Notice\nof terms"]
+    known = spark.createDataFrame([(str(i), t.replace("\n", " ")) for i, t in enumerate(terms)], "license_id string, text string")
+    assert sorted(scan(spark, list(enumerate(terms)), known)) == [(i, str(i)) for i in range(len(terms))]
+
+
+def test_sql_of_the_same_forms(spark):
+    import duckdb
+    texts = [None, "", *("\n".join((h, "Terms of " + h, t)) for h in HOLDERS for t in ("Copyright Notice", "all rights reserved.", "Copyright Law x", MIT))]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").select("doc_id", licenses.canonical("text").alias("form")).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(texts)))
+    assert sorted(map(tuple, got)) == con.execute(f"SELECT doc_id, {licenses._sql_form('text')} FROM t ORDER BY 1").fetchall()
+
+
 def test_known_side(spark):
     known = spark.createDataFrame([("b", "Some terms."), ("a", "some TERMS"), (None, "other"), ("c", None), ("d", " . ")], "license_id string, text string")
     assert sorted(scan(spark, [(1, "some terms!"), (2, "other"), (3, None), (4, "")], known), key=str) == [(1, "a"), (2, None), (3, None), (4, None)]
