@@ -1,17 +1,18 @@
-"""Removal of repeated passages by prefix-partitioned suffix trees.
+"""Removal of repeated passages by groups of suffixes.
 
 A suffix starts at each word that has ``window - 1`` words after it; only its first
-``window`` words matter, so a tree is built to that depth. Suffixes are dealt out by a
-prefix of variable length, the words up to the end of the smallest ``GRAM``-word gram of
-the window: equal windows have equal prefixes, and neighbouring suffixes mostly share
-the gram, so they travel together as one piece of text. Each memory-sized group builds
-its tree by prefix doubling; the nodes of full depth are the repeats, and the smallest
-doc_id below each says which occurrences go.
-
-Prefixes met in one document only cannot repeat; a bounded filter keeps their suffixes
-from being shuffled. Prefixes with more pieces of text than a group should hold, be it in
-many documents or often in a few, are extended to the full window and reduced by a partial
-minimum, so no group is ever unbounded.
+``window`` words matter. Suffixes are dealt out by the smallest ``GRAM``-word gram of the
+window (called its prefix below): equal windows have equal grams, and neighbouring
+suffixes mostly share the gram, so they travel together as one piece of text. Each
+memory-sized group numbers its windows by prefix doubling, one level of a suffix tree, the
+only one that is asked for; no whole tree is built. Equal numbers are the repeats, and the
+smallest doc_id of each says which occurrences go.
+
+Grams met in one document only cannot repeat; a bounded filter keeps their suffixes from
+being shuffled. Grams with more pieces of text than a group should hold, be it in many
+documents or often in a few, are extended to the full window, compared by 128-bit hashes
+and reduced by a partial minimum, so no group is ever unbounded; windows that make up a
+large part of these rows are joined without moving the rows.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ GRAM = 8
 PIECE = 128
 #: Pieces of a prefix, over all texts, above which it is extended to the whole window.
 HOT = 4000
+#: One in so many repeated windows' occurrences makes a window frequent; fewer than that many can be.
+FREQUENT = 10_000
 #: Pieces a group should hold, and the most a task takes up at once.
 GROUP_PIECES = 20_000
 #: Bounds of the filters of repeated and of hot prefixes, in bits (16 MB at most); fuller
@@ -224,8 +227,13 @@ def _full_windows(docs: DataFrame, window: int, choose) -> DataFrame:
             yield _signed(h >> 64), _signed(h & (1 << 64) - 1), doc, row, s
 
     rows = materialize(_scan(docs, window, emit, "h1 long, h2 long, doc_id long, row long, s int"), "windows")
-    least = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    return rows.join(least, ["h1", "h2"]).where("doc_id > least").select("doc_id", "row", "s", F.lit(1).alias("n"))
+    least = rows.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("times"))
+    least = materialize(least.where("least < most").drop("most"), "least")
+    often = F.col("times") > (least.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0] // FREQUENT)
+    # fewer than FREQUENT windows are that frequent: they travel to the rows; the rows of all others, to theirs
+    head = F.broadcast(least.where(often).drop("times"))
+    rest = rows.join(head, ["h1", "h2"], "left_anti").join(least.where(~often).drop("times"), ["h1", "h2"])
+    return rows.join(head, ["h1", "h2"]).unionByName(rest).where("doc_id > least").select("doc_id", "row", "s", F.lit(1).alias("n"))
 
 
 def cover(n_words: int, starts, window: int) -> np.ndarray:

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from telemetra.llm import substring_dedup as sub
 
@@ -60,10 +61,12 @@ def test_against_brute_force(spark):
     assert result(sub.digests(frame(spark, rows))) == want
 
 
-def test_hot_prefixes_and_small_groups(spark, monkeypatch):
+@pytest.mark.parametrize("frequent", [1, 6, 10_000])
+def test_hot_prefixes_and_small_groups(spark, monkeypatch, frequent):
     """Every way through the operator: extended prefixes, several groups, cut pieces, a full filter."""
     rows = corpus(2)
     monkeypatch.setattr(sub, "HOT", 3)
+    monkeypatch.setattr(sub, "FREQUENT", frequent)  # none, some and all of the windows are joined as frequent ones
     monkeypatch.setattr(sub, "GROUP_PIECES", 10)
     monkeypatch.setattr(sub, "PIECE", 7)
     monkeypatch.setattr(sub, "LEAST_BITS", 64)
