@@ -32,10 +32,6 @@ ALT_PROCESSES = [
 MAX_PAST_HOURS = 4320
 # Extraction look-back, in days.
 DAYS_BACK = 180
-# Rows per write batch.
-BATCH_ROWS = 50_000
-PRED_BATCH_ROWS = 10_000
-PROJ_BATCH_ROWS = 10_000
 # Row cap of one source range query.
 SOURCE_ROW_CAP = 500_000
 # Hierarchy depth cap and the level marking a root process.

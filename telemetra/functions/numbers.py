@@ -16,10 +16,20 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def is_nan(x) -> Column:
+    """NaN (NULL stays NULL)."""
+    x = _c(x)
+    return F.when(x.isNotNull(), F.isnan(x))
+
+
+def is_inf(x) -> Column:
+    """±Infinity (NULL stays NULL)."""
+    return F.abs(_c(x)) == F.lit(float("inf"))
+
+
 def is_nan_or_inf(x) -> Column:
     """NaN or ±Infinity (NULL stays NULL)."""
-    x = _c(x)
-    return F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
+    return is_nan(x) | is_inf(x)
 
 
 def is_finite(x) -> Column:

@@ -98,11 +98,25 @@ def company(default_company: str) -> Column:
     return F.when(_has("company_id") & attr_truthy(c), attr_str(c)).otherwise(F.lit(default_company))
 
 
+def required() -> Column:
+    """The item names a process and has a timestamp."""
+    return attr_str(_get("process_id")).isNotNull() & raw_ts().isNotNull()
+
+
+def is_long() -> Column:
+    """The item is one reading with its own tag_id and value, not a row of tags."""
+    return _has("tag_id") & _has("value")
+
+
+def tag_attributes(exclude=HEADER_KEYS) -> Column:
+    """The item's attributes without the header's keys, as a map."""
+    keys = F.array(*[F.lit(k) for k in exclude])
+    return F.map_filter(F.col("item"), lambda k, _v: ~F.array_contains(keys, k))
+
+
 def tag_rows(exclude=HEADER_KEYS) -> Column:
     """R1 + P15: ARRAY<STRUCT<tag_id, value>> of the numeric non-header attributes."""
-    keys = F.array(*[F.lit(k) for k in exclude])
-    tags = F.map_filter(F.col("item"), lambda k, _v: ~F.array_contains(keys, k))
-    pairs = F.transform(F.map_entries(tags),
+    pairs = F.transform(F.map_entries(tag_attributes(exclude)),
                         lambda e: F.struct(e["key"].alias("tag_id"), attr_num(e["value"]).alias("value")))
     return F.filter(pairs, lambda p: p["value"].isNotNull())
 
@@ -115,17 +129,15 @@ def long_row() -> Column:
 
 
 def _rows(items: DataFrame, default_company: str, dispatch: bool) -> DataFrame:
-    required = attr_str(_get("process_id")).isNotNull() & raw_ts().isNotNull()       # P2
     dated = parse_utc(raw_ts()).isNotNull()
-    shaped = (F.when(_has("tag_id") & _has("value"), long_row()).otherwise(tag_rows())
-              if dispatch else tag_rows())                                            # P16
+    shaped = F.when(is_long(), long_row()).otherwise(tag_rows()) if dispatch else tag_rows()
     return (items
-            .withColumn("rows", F.when(~F.col("malformed") & required & dated, shaped)
+            .withColumn("rows", F.when(~F.col("malformed") & required() & dated, shaped)
                                  .otherwise(F.array().cast(ROWS_TYPE)))
             .withColumn("process_id", attr_str(_get("process_id")))
             .withColumn("company_id", company(default_company))
             .withColumn("ts_text", raw_ts())
-            .withColumn("bad_ts", F.coalesce(~F.col("malformed") & required & ~dated, F.lit(False)))
+            .withColumn("bad_ts", F.coalesce(~F.col("malformed") & required() & ~dated, F.lit(False)))
             .withColumn("n_rows", F.size("rows")))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from telemetra.functions import numbers
 from telemetra.functions.numbers import finite_double
 from telemetra.functions.timefmt import cutoff
 from telemetra.operators import validate
@@ -81,10 +82,7 @@ def discard_audit_by_tag(spark, sf):
 @register("nan_inf_flags", "F18", with_ctes(R, body="""
 SELECT event_id, isnan(value) AS is_nan, isinf(value) AS is_inf FROM ev_r"""))
 def nan_inf_flags(spark, sf):
-    v = F.col("value")
-    return roles.events_readings(spark, sf).select(
-        "event_id", F.when(v.isNotNull(), F.isnan(v)).alias("is_nan"),
-        (F.abs(v) == F.lit(float("inf"))).alias("is_inf"))
+    return roles.events_readings(spark, sf).select("event_id", numbers.is_nan("value").alias("is_nan"), numbers.is_inf("value").alias("is_inf"))
 
 
 _TXT = """CASE WHEN event_id % 11 = 0 THEN 'abc' WHEN event_id % 13 = 0 THEN '1e400'

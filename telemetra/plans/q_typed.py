@@ -66,8 +66,7 @@ def flatten_item(spark, sf):
 @register("required_fields", "P2", with_ctes(TI, body="""
 SELECT event_id, has_pid AND ts_mode <> 'null_ts' AS required FROM ti WHERE NOT blank AND NOT malformed"""))
 def required_fields(spark, sf):
-    req = tj.attr_str(_g("process_id")).isNotNull() & tj.raw_ts().isNotNull()
-    return _items(spark, sf).select(F.col("pos").alias("event_id"), req.alias("required"))
+    return _items(spark, sf).select(F.col("pos").alias("event_id"), tj.required().alias("required"))
 
 
 @register("header_key_exclusion", "P15", with_ctes(TI, body="""
@@ -76,22 +75,14 @@ UNION ALL SELECT event_id, 'value' FROM ti WHERE NOT blank AND NOT malformed AND
 UNION ALL SELECT event_id, event_type FROM ti WHERE NOT blank AND NOT malformed AND NOT is_long
 UNION ALL SELECT event_id, unnest(['k', 'flag', 'note', 'nul', 'lst']) FROM ti WHERE NOT blank AND NOT malformed AND NOT is_long"""))
 def header_key_exclusion(spark, sf):
-    keys = F.array(*[F.lit(k) for k in roles_header()])
-    tags = F.map_keys(F.map_filter(F.col("item"), lambda k, _v: ~F.array_contains(keys, k)))
-    return _items(spark, sf).select(F.col("pos").alias("event_id"), F.explode(tags).alias("tag"))
-
-
-def roles_header():
-    from telemetra.constants import HEADER_KEYS
-    return HEADER_KEYS
+    return _items(spark, sf).select(F.col("pos").alias("event_id"), F.explode(F.map_keys(tj.tag_attributes())).alias("tag"))
 
 
 @register("shape_dispatch", "P16", with_ctes(TI, body="""
 SELECT event_id, CASE WHEN is_long THEN 'long' ELSE 'wide' END AS shape FROM ti WHERE NOT blank AND NOT malformed"""))
 def shape_dispatch(spark, sf):
-    is_long = tj._has("tag_id") & tj._has("value")
     return _items(spark, sf).select(F.col("pos").alias("event_id"),
-                                    F.when(is_long, F.lit("long")).otherwise(F.lit("wide")).alias("shape"))
+                                    F.when(tj.is_long(), F.lit("long")).otherwise(F.lit("wide")).alias("shape"))
 
 
 @register("default_company", "P17", with_ctes(TI, body="""
