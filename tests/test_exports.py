@@ -187,3 +187,19 @@ def test_split_counts_rows_once_a_pass(spark):
     assert "Generate" not in walked._jdf.queryExecution().executedPlan().toString()
     told = session.materialize(walked).withColumn("x", ex._descend("_s0", "_e0", "8", "_t >= mid")).where("x.s = _s AND x.e = _e AND x.path = _path AND _t < _e AND (_t >= _s OR _t < 3)")
     assert told.count() == 64
+
+
+def test_small_files_are_dealt_over_tasks(spark, monkeypatch):
+    """AQE would write them all in one task, as their bytes are few; cells are as Spark writes them."""
+    rows = spark.range(200).selectExpr("'2024-01' AS label", "concat('processo_', id, '.csv') AS file_name", "timestamp_ntz '2024-01-02 00:00:00' AS ts",
+                                       "CASE id WHEN 0 THEN 'a,\"b' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE 't' END AS tag_id", "id * 1.0 AS value")
+    out, real, lists = folder(spark, "dealt"), commits.Files.write_text, []
+    monkeypatch.setattr(commits.Files, "write_text", lambda self, path, text: (lists.append(text) if path.endswith("_folders") else None, real(self, path, text))[1])
+    sink_month_process_csv(rows, out)
+    assert len(lists) == 1 and len(lists[0].split()) > 4
+    names = glob.glob(f"{out}/2024-01/*.csv")
+    assert len(names) == 200
+    spark_csv = folder(spark, "spark")
+    rows.selectExpr("'2024-01-02 00:00:00.000000+00:00' AS ts", "tag_id", "cast(value AS STRING) AS value").write.option("header", "true").csv(spark_csv)
+    lines = lambda paths: {line for p in paths for line in open(p)}
+    assert lines(names) == lines(glob.glob(f"{spark_csv}/*.csv"))
