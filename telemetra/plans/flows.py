@@ -169,9 +169,8 @@ def import_readings_csv(spark: SparkSession, dump_dir: str, table_path: str, led
                 commits.transact(spark, f"{table_path}_tx", f"{run_id}-{n}-failed-{time.time_ns()}", lambda stage, failed=failed: spark.createDataFrame(
                     failed, inc.FAILURES).withColumn("seen", F.current_timestamp()).coalesce(1).write.parquet(f"{stage}/failed"), {"failed": f"{ledger_path}_failed"})
             continue
-        relative = inc.relative_to(dump_dir, F.col("file"))
-        marked = materialize(validate.annotate(readings_of(cells).withColumn("file", relative), now, max_past_hours), "marked")
-        bad = file_faults(cells).withColumn("file", relative).union(inc.failed_files(marked)).groupBy("file").agg(F.min("error").alias("error"))
+        marked = materialize(validate.annotate(readings_of(cells, name=lambda f: inc.relative_to(dump_dir, f)), now, max_past_hours), "marked")
+        bad = file_faults(cells).withColumn("file", inc.relative_to(dump_dir, F.col("file"))).union(inc.failed_files(marked)).groupBy("file").agg(F.min("error").alias("error"))
         failed = failed + [tuple(r) for r in bad.collect()]  # failed files of one batch
         session.release(*cells._stages)
         names = {f for f, _ in failed}
@@ -248,7 +247,8 @@ class JsonJob:
         lines = read_lines(spark, paths).withColumn("file", inc.relative_to(self.dump_dir, inc.plain_path(F.col("file"))))
         if self.limit_per_file is not None:
             lines = limit_per_file(lines, self.limit_per_file).drop("line_no")
-        return lines.drop("block")
+        # a gzip file is one task's to read, whatever its size: its lines are parsed by all
+        return lines.drop("block").repartition("pos")
 
     def load(self, spark: SparkSession, run: _Run, files: list[Row], seq, tx: str, again: bool = False) -> None:
         """Import one batch of files (listing rows) as the transaction ``tx``."""

@@ -208,3 +208,31 @@ def test_repeated_json_key_keeps_the_last_and_bad_lines_are_kept(spark):
     s = tj.per_file_stats(items).first()
     assert (s.read, s.accepted, s.discarded) == (3, 1, 2)
     assert {(r.pos, r.reason) for r in tj.quarantine(items).collect()} == {(2, "bad_ts"), (3, "malformed")}
+
+
+def test_what_depends_on_the_file_is_worked_out_once_a_file(spark, tmp_path):
+    from telemetra.session import materialize
+    from telemetra.sources.csv_readings import read_cells, readings_of
+    for i in range(3):
+        (tmp_path / f"processo_{i}.csv").write_text("value,ts,tag_id\n" + "".join(f"{j}.5,2024-01-02 00:00:{j:02d}+00:00,t\n" for j in range(40)))
+    calls = spark.sparkContext.accumulator(0)
+
+    def name(file):
+        calls.add(1)
+        return file.rpartition("/")[2]
+    cells = materialize(read_cells(spark, str(tmp_path)), "cells")
+    got = readings_of(cells, name=lambda f: F.udf(name)(f)).groupBy("file", "file_process").agg(F.count("value").alias("n"), F.count("ts")).collect()
+    assert sorted(map(tuple, got)) == [(f"processo_{i}.csv", str(i), 40, 40) for i in range(3)]
+    assert calls.value <= 6
+
+
+def test_lines_of_a_gzip_file_are_parsed_by_many_tasks(spark, tmp_path):
+    """A gzip file is read by one task; its lines are dealt out, with their places kept."""
+    import gzip
+    from telemetra.plans import flows
+    with gzip.open(tmp_path / "a.json.gz", "wt") as out:
+        out.writelines(f"{i} {'x' * 4000}\n" for i in range(2000))
+    job = flows.JsonJob(str(tmp_path), "t", None, "touched", "projections", "acme")
+    rows = job.lines(spark, [str(tmp_path / "a.json.gz")]).select("pos", F.split("value", " ")[0].cast("int").alias("i"), F.spark_partition_id().alias("task")).collect()
+    assert len({r["task"] for r in rows}) > 2
+    assert [r["i"] for r in sorted(rows, key=lambda r: r["pos"])] == list(range(2000))
