@@ -195,20 +195,19 @@ def sink_month_process_csv_q(spark, sf):
 
 
 @register("extract_readings", "A15 S15 S8 T5 A11", with_ctes(SRC, MON, GRID, DONE, f"""
-src2 AS (SELECT * FROM src WHERE processId % 4 = 1),
-pend AS (SELECT process_id, label FROM grid WHERE CAST(process_id AS BIGINT) % 4 = 1 AND label <> '2023-12'),
+pend AS (SELECT process_id, label FROM grid WHERE label <> '2023-12'),
 n AS (SELECT g.process_id, g.label, count(*) AS n FROM grid g JOIN pend USING (process_id, label)
-      JOIN src2 s ON CAST(s.processId AS VARCHAR) = g.process_id AND s."timestamp" >= g.start AND s."timestamp" < g."end" GROUP BY ALL),
-recent AS (SELECT CAST(processId AS VARCHAR) AS process_id, count(*) AS c FROM src2 WHERE "timestamp" >= TIMESTAMP '{NOW}' - INTERVAL {DAYS} DAY GROUP BY 1)""", body="""
+      JOIN src s ON CAST(s.processId AS VARCHAR) = g.process_id AND s."timestamp" >= g.start AND s."timestamp" < g."end" GROUP BY ALL),
+recent AS (SELECT CAST(processId AS VARCHAR) AS process_id, count(*) AS c FROM src WHERE "timestamp" >= TIMESTAMP '{NOW}' - INTERVAL {DAYS} DAY GROUP BY 1)""", body="""
 SELECT p.process_id, CASE WHEN coalesce(any_value(c), 0) > 0 AND count(DISTINCT pend.label) > 0 THEN 'extracted' ELSE 'skipped' END AS outcome,
        CAST(CASE WHEN coalesce(any_value(c), 0) > 0 THEN count(n.n) ELSE 0 END AS BIGINT) AS pairs,
        CAST(CASE WHEN coalesce(any_value(c), 0) > 0 THEN coalesce(sum(n.n), 0) ELSE 0 END AS BIGINT) AS rows, CAST(0 AS BIGINT) AS errors
-FROM (SELECT DISTINCT CAST(processId AS VARCHAR) AS process_id FROM src2 WHERE processId IS NOT NULL) p
+FROM (SELECT DISTINCT CAST(processId AS VARCHAR) AS process_id FROM src WHERE processId IS NOT NULL) p
 LEFT JOIN pend USING (process_id) LEFT JOIN n USING (process_id, label) LEFT JOIN recent USING (process_id) GROUP BY 1"""))
 def extract_readings(spark, sf):
     """The extraction flow resumed: the first month is in the done folder, the rest is
     extracted to the dump folder; a second run finds nothing pending."""
-    source = _src(spark, sf).where("processId % 4 = 1")
+    source = _src(spark, sf)
     base = session.scratch_dir(spark, "extraction")
     g = ex.work_grid(ex.distinct_processes(source), NOW, DAYS)
     first = g.where("label = '2023-12'").select("process_id", "label", F.format_string("processo_%s.csv", "process_id").alias("file_name"),

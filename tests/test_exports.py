@@ -11,6 +11,7 @@ from telemetra.operators import extract as ex
 from telemetra.operators import reshape
 from telemetra.operators.ledger import EXPORT_LEDGER
 from telemetra.plans import flows
+from telemetra.plans.catalog import load_all
 from telemetra.sources import commits
 from telemetra.sources.csv_readings import exported_pairs, scan_readings_csv, sink_month_process_csv
 from telemetra.sources.incremental import read_ledger
@@ -170,6 +171,13 @@ def test_extraction_with_a_bad_process(spark):
     assert len(parts) > 1 and max(sum(1 for _ in open(p)) - 1 for p in parts) <= 30
 
 
+def test_extraction_query_takes_every_process(spark, tmp_path):
+    spark.range(1, 13).selectExpr("id AS event_id", "timestamp_ntz '2024-01-20 00:00:00' AS ts", "id % 6 AS user_id", "'t' AS event_type", "1.0D AS value",
+                                  "'{}' AS props").write.parquet(f"{tmp_path}/events.parquet")
+    got = load_all()["extract_readings"].build(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [(str(i), "extracted", 1, 2, 0) for i in range(6)]
+
+
 def test_outcomes(spark):
     grid = spark.createDataFrame([(p, m) for p in "abcd" for m in ("1", "2")], "process_id string, label string")
     done = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1")], "process_id string, label string")
