@@ -12,7 +12,7 @@ from telemetra.operators import reshape
 from telemetra.operators.ledger import EXPORT_LEDGER
 from telemetra.plans import flows
 from telemetra.plans.catalog import load_all
-from telemetra.sources import commits
+from telemetra.sources import commits, csv_readings
 from telemetra.sources.csv_readings import exported_pairs, scan_readings_csv, sink_month_process_csv
 from telemetra.sources.incremental import read_ledger
 from telemetra.sources.tables import read_wide_csv
@@ -144,6 +144,42 @@ def test_lost_driver_leaves_no_month_in_part(spark, monkeypatch):
     assert len(glob.glob(f"{out}/2024-01/*.csv")) == 20 and scan_readings_csv(spark, out).count() == 40
 
 
+def test_many_files_are_taken_some_at_a_time(spark, monkeypatch):
+    """What the driver lists, broadcasts and renames at once does not grow with the files; rows stay the same."""
+    rows = spark.range(60).selectExpr("'2024-01' AS label", "concat('processo_', id % 10, '=%[x].csv') AS file_name",
+                                      "timestamp_ntz '2024-01-02 00:00:00' + make_interval(0,0,0,0,0,0, id) AS ts", "'a,\"b' AS tag_id", "id * 1.0 AS value")
+    out, read, lists = folder(spark, "many"), csv_readings.read_cells, []
+    sink_month_process_csv(rows, out)
+    for name in ("2024-01/processo_bad.csv", "_hidden/processo_1.csv", "2024-01/.x.csv", "2024-01/other.txt", "_kept=1/processo_k.csv"):
+        os.makedirs(os.path.dirname(f"{out}/{name}"), exist_ok=True)
+        open(f"{out}/{name}", "w").write("ts,value\n2024-01-01,1\n" if "bad" in name else "ts,tag_id,value\n2024-01-01 00:00:00,t,1\n")
+    told = lambda: (sorted(map(str, scan_readings_csv(spark, out, keep_text=True).drop("pos").collect())), sorted(map(tuple, exported_pairs(spark, out).collect())))
+    want = told()
+    monkeypatch.setattr(csv_readings, "read_cells", lambda spark, paths: (lists.append(paths), read(spark, paths))[1])
+    monkeypatch.setattr(csv_readings, "BATCH_FILES", 4, raising=False)
+    assert told() == want and len(want[0]) == 62
+    assert len(lists) == 3 and sum(map(len, lists)) == 12 and max(map(len, lists)) == 4
+
+
+def test_named_files_are_moved_some_at_a_time(spark, monkeypatch):
+    """Also on a file system that is no mounted folder."""
+    rows = spark.range(40).selectExpr("'2024-01' AS label", "concat('processo_x=%-parte', id % 20 + 1, '.csv') AS file_name",
+                                      "timestamp_ntz '2024-01-02 00:00:00' AS ts", "'t' AS tag_id", "id * 1.0 AS value")
+    real, groups = commits._moves, []
+    monkeypatch.setattr(commits, "MOVES", 8)
+    monkeypatch.setattr(commits, "_moves", lambda *a: (groups.append(len(g)) or g for g in real(*a)))
+    for mounted in (True, False):
+        if not mounted:
+            monkeypatch.setattr(commits.Files, "posix", lambda self, path: None)
+        out = folder(spark, "moved")
+        sink_month_process_csv(rows, out)
+        assert len(glob.glob(f"{out}/2024-01/*.csv")) == 20 and sum(groups) == 20 and max(groups) < 20
+        assert scan_readings_csv(spark, out).count() == 40
+        groups.clear()
+    monkeypatch.setattr(csv_readings, "BATCH_FILES", 6)
+    assert scan_readings_csv(spark, out).count() == 40
+
+
 def source(spark):
     return spark.range(600).selectExpr("concat('p', id % 6) AS processId", "concat('t', id % 2) AS tagId", "id * 1.0 AS value",
                                        "timestamp_ntz '2024-01-05 00:00:00' + make_interval(0,0,0, cast(id % 30 AS INT), 0, 0, id) AS timestamp")
